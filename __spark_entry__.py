@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
-from functools import partial
+from functools import cached_property, partial
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -31,7 +31,11 @@ AS_OF = "1998-08-15"
 
 
 class Tables:
-    """The layers over one data directory, built on demand."""
+    """The layers over one data directory, built on demand.
+
+    Queries that need the daily costs several times take ``stored_daily``, a
+    checkpoint, so that the calls are read once.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = session.configure(spark)
@@ -46,6 +50,14 @@ class Tables:
     def daily(self) -> DataFrame:
         return gold.daily_cost_by_team(self.silver())
 
+    @cached_property
+    def cube(self) -> DataFrame:
+        return cut_lineage(gold.call_cube(self.silver()))
+
+    @cached_property
+    def stored_daily(self) -> DataFrame:
+        return cut_lineage(self.daily())
+
     def performance(self) -> DataFrame:
         return gold.model_performance_summary(self.silver())
 
@@ -62,7 +74,7 @@ class Tables:
         return features.quality_features(self.quality())
 
     def predictions(self) -> DataFrame:
-        return forecast.naive_forecast(self.cost_features(), self.daily())
+        return forecast.naive_forecast(features.cost_features(self.stored_daily), self.stored_daily)
 
     def stat_alerts(self) -> DataFrame:
         return anomaly.quality_alerts(anomaly.control_limits(self.quality_features()))
@@ -71,7 +83,7 @@ class Tables:
         return alerts.alert_summary(self.stat_alerts(), self.daily())
 
     def summary_ahead(self) -> DataFrame:
-        return alerts.alert_summary_forecast(self.predictions(), self.daily(), self.stat_alerts())
+        return alerts.alert_summary_forecast(self.predictions(), self.stored_daily, self.stat_alerts())
 
 
 def _rounded(df: DataFrame, *cols: str) -> DataFrame:
@@ -124,7 +136,7 @@ def _split(t: Tables) -> DataFrame:
 
 
 def _forecast_frame(t: Tables) -> DataFrame:
-    return _rounded(features.forecast_frame(t.cost_features(), t.daily()), *PROFILE_ROUNDED)
+    return _rounded(features.forecast_frame(features.cost_features(t.stored_daily), t.stored_daily), *PROFILE_ROUNDED)
 
 
 def _cost_features(t: Tables) -> DataFrame:
@@ -151,6 +163,11 @@ def _limits(t: Tables) -> DataFrame:
     )
 
 
+def _project_summary(t: Tables) -> DataFrame:
+    t.stored_daily = cut_lineage(gold.daily_cost_by_team(t.cube))
+    return alerts.project_summary(t.cube, t.summary_ahead(), t.predictions())
+
+
 def _valid_email(t: Tables) -> DataFrame:
     return t._of(fixtures.emails).withColumn("is_valid", is_valid_email("email"))
 
@@ -241,10 +258,10 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "alert_counters": lambda t: alerts.alert_counters(t.summary()),
     "active_critical": lambda t: serving.active_critical(t.summary()),
     "critical_quality_alerts": lambda t: serving.critical_quality_alerts(t.summary()),
-    "predicted_cost_alerts": lambda t: alerts.predicted_cost_alerts(t.predictions(), t.daily()),
+    "predicted_cost_alerts": lambda t: alerts.predicted_cost_alerts(t.predictions(), t.stored_daily),
     "alert_summary_forecast": lambda t: t.summary_ahead(),
     "alert_counts_forecast": lambda t: alerts.alert_counts(t.summary_ahead()),
-    "project_summary": lambda t: alerts.project_summary(t.silver(), t.summary_ahead(), t.predictions()),
+    "project_summary": _project_summary,
     # Dashboards
     "kpi_total_spend": lambda t: serving.kpi_total_spend(t.daily()),
     "kpi_total_spend_teams": lambda t: serving.kpi_total_spend(t.daily(), ["data", "ops"]),

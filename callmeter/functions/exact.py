@@ -25,24 +25,25 @@ def from_units(value: Column | str, places: int) -> Column:
     return col.cast("double") / F.lit(float(10**places))
 
 
-def divide_half_up(num: Column, den: Column | int) -> Column:
+def divide_half_up(num: Column, den: Column) -> Column:
     """``num / den`` on longs, halves away from zero; NULL for a zero ``den``.
 
     ``den`` must not be negative. Compares the remainder with what is missing
     to the divisor, so that nothing has to be doubled and could overflow.
     """
-    if isinstance(den, int):
-        den = F.lit(den).cast("long")
-    else:
-        den = F.nullif(den, F.lit(0).cast("long"))
+    den = F.nullif(den, F.lit(0).cast("long"))
     rest = F.abs(num % den)
     up = F.when(rest >= den - rest, F.when(num < 0, F.lit(-1)).otherwise(F.lit(1))).otherwise(F.lit(0))
     return F.call_function("div", num, den) + up.cast("long")
 
 
 def drop_places(units: Column, have: int, want: int) -> Column:
-    """Round a long count of 10^-have to a long count of 10^-want."""
-    return divide_half_up(units, 10 ** (have - want))
+    """Round a long count of 10^-have to a long count of 10^-want, with one division."""
+    step = 10 ** (have - want)
+    if step == 1:
+        return units
+    half = F.when(units < 0, F.lit(-(step // 2)).cast("long")).otherwise(F.lit(step // 2).cast("long"))
+    return F.call_function("div", units + half, F.lit(step).cast("long"))
 
 
 def sum_places(col: str, have: int, want: int) -> Column:

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Hash values are compared as fractions of this.
@@ -21,6 +21,8 @@ _HASH_RANGE = 1 << 40
 # Each tree is offered this many times its sample, and keeps the lowest hashes.
 _OVERDRAW = 4
 
+_ARRAYS = {"feature": np.int32, "threshold": float, "left": np.int32, "right": np.int32, "path": float}
+
 _NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, left int, right int, path double, sampled int"
 )
@@ -171,16 +173,41 @@ def fit(
     sampled = int(nodes["sampled"].max())
     return IsolationForest(
         columns=tuple(columns),
-        feature=packed("feature", np.int32),
-        threshold=packed("threshold", float),
-        left=packed("left", np.int32),
-        right=packed("right", np.int32),
-        path=packed("path", float),
+        **{name: packed(name, kind) for name, kind in _ARRAYS.items()},
         sample=sampled,
         height=math.ceil(math.log2(max(sampled, 2))),
     )
 
 
+def save(forest: IsolationForest, spark: SparkSession, path: str) -> None:
+    """Write the node table, one row per node, with the forest's parameters in each."""
+    trees, nodes = forest.feature.shape
+    table = pd.DataFrame(
+        {
+            "tree": np.repeat(np.arange(trees), nodes),
+            "node": np.tile(np.arange(nodes), trees),
+            **{name: getattr(forest, name).ravel() for name in _ARRAYS},
+        }
+    )
+    described = spark.createDataFrame(table).withColumns(
+        {
+            "sample": F.lit(forest.sample),
+            "height": F.lit(forest.height),
+            "columns": F.array(*[F.lit(c) for c in forest.columns]),
+        }
+    )
+    described.write.mode("overwrite").parquet(path)
+
+
+def load(spark: SparkSession, path: str) -> IsolationForest:
+    """Read a node table back; its size is that of the forest, not of any data."""
+    table = spark.read.parquet(path).toPandas().sort_values(["tree", "node"])
+    shape = (int(table["tree"].max()) + 1, int(table["node"].max()) + 1)
+    arrays = {name: table[name].to_numpy().astype(kind).reshape(shape) for name, kind in _ARRAYS.items()}
+    first = table.iloc[0]
+    return IsolationForest(tuple(first["columns"]), **arrays, sample=int(first["sample"]), height=int(first["height"]))
+
+
 def flag_share(scored: DataFrame, score: str, flag: str, contamination: float = 0.05) -> DataFrame:
     """Mark rows whose score lies below the exact ``contamination`` quantile.
 

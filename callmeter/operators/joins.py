@@ -28,5 +28,6 @@ def lookup_join(
         return facts.join(F.broadcast(lookup), key, "left")
     salts = salts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    every_salt = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
+    copies = lookup.withColumn("_salt", F.explode(every_salt))
     return salted.join(copies, [key, "_salt"], "left").drop("_salt")

@@ -7,7 +7,7 @@ whatever the number of calls behind them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callmeter.functions.exact import divide_half_up, from_units, to_units
@@ -18,10 +18,12 @@ def series(key: str, day: str):
     return Window.partitionBy(key).orderBy(day)
 
 
-def rolling_mean(value: str, places: int, frame) -> Column:
-    """Mean over a window frame of a value rounded to ``places``, rounded alike."""
+def with_rolling_mean(df: DataFrame, name: str, value: str, places: int, frame) -> DataFrame:
+    """Add the mean over a window frame of a value rounded to ``places``, rounded alike."""
     unit = to_units(value, places)
-    return from_units(divide_half_up(F.sum(unit).over(frame), F.count(unit).over(frame)), places)
+    sums = df.withColumns({"_sum": F.sum(unit).over(frame), "_count": F.count(unit).over(frame)})
+    mean = from_units(divide_half_up(F.col("_sum"), F.col("_count")), places)
+    return sums.withColumn(name, mean).drop("_sum", "_count")
 
 
 def last_rows(key: str, day: str, rows: int):

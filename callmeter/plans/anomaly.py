@@ -76,10 +76,10 @@ def score_with_forest(
 ) -> DataFrame:
     """Add ``if_anomaly_score`` and ``if_anomaly`` from a forest on the scaled columns."""
     named = {c: f"scaled_{c}" for c in columns}
-    scaled = standardise(df.withColumns({new: F.col(old) for old, new in named.items()}), tuple(named.values()))
-    ready = cut_lineage(scaled)
-    model = forest.fit(ready, tuple(named.values()), keys, trees=trees, seed=seed)
-    scored = cut_lineage(ready.withColumn("if_anomaly_score", model.score_column(ready)).drop(*named.values()))
+    ready = cut_lineage(df).withColumns({new: F.col(old) for old, new in named.items()})
+    scaled = standardise(ready, tuple(named.values()))
+    model = forest.fit(scaled, tuple(named.values()), keys, trees=trees, seed=seed)
+    scored = cut_lineage(scaled.withColumn("if_anomaly_score", model.score_column(scaled)).drop(*named.values()))
     return forest.flag_share(scored, "if_anomaly_score", "if_anomaly", CONTAMINATION)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from callmeter.functions.columns import stamped
 from callmeter.functions.exact import divide_half_up, drop_places, from_units, percent, to_units
-from callmeter.operators.windows import last_days, last_rows, rolling_mean
+from callmeter.operators.windows import last_days, last_rows, with_rolling_mean
 from callmeter.schemas import CALL_COST_PLACES, DAILY_COST_PLACES, PERCENT_PLACES
 
 ROLLING = 7
@@ -86,19 +86,15 @@ def daily_cost_by_team(source: DataFrame, loaded_at: Column | None = None) -> Da
         F.col("tokens").alias("total_tokens_used"),
     )
     frame = last_rows("team", "event_date", ROLLING)
-    rolled = daily.withColumn("rolling_7d_avg_cost", rolling_mean("total_cost_usd", DAILY_COST_PLACES, frame))
+    rolled = with_rolling_mean(daily, "rolling_7d_avg_cost", "total_cost_usd", DAILY_COST_PLACES, frame)
     return stamped(rolled, "gold_loaded_at", loaded_at)
 
 
 def rolling_cost_calendar(daily_cost: DataFrame) -> DataFrame:
     """The rolling mean over 7 calendar days; differs from the row form where days are missing."""
     frame = last_days("team", "event_date", ROLLING)
-    return daily_cost.select(
-        "event_date",
-        "team",
-        "total_cost_usd",
-        rolling_mean("total_cost_usd", DAILY_COST_PLACES, frame).alias("rolling_7_calendar_days"),
-    )
+    costs = daily_cost.select("event_date", "team", "total_cost_usd")
+    return with_rolling_mean(costs, "rolling_7_calendar_days", "total_cost_usd", DAILY_COST_PLACES, frame)
 
 
 def model_performance_summary(
@@ -148,7 +144,5 @@ def quality_score_daily(feedback: DataFrame, loaded_at: Column | None = None) ->
     )
     scored = daily.withColumn("quality_score_pct", percent(F.col("thumbs_up_count"), F.col("total_feedback")))
     frame = last_rows("model", "feedback_date", ROLLING)
-    rolled = scored.withColumn(
-        "rolling_7d_quality_score", rolling_mean("quality_score_pct", PERCENT_PLACES, frame)
-    )
+    rolled = with_rolling_mean(scored, "rolling_7d_quality_score", "quality_score_pct", PERCENT_PLACES, frame)
     return stamped(rolled, "gold_loaded_at", loaded_at)

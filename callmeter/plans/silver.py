@@ -6,14 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callmeter.functions.columns import stamped
-from callmeter.functions.exact import divide_half_up, from_units
+from callmeter.functions.exact import drop_places, from_units
 from callmeter.operators import rules
 from callmeter.operators.joins import lookup_join
 from callmeter.schemas import CALL_COST_PLACES, ERROR_STATUS, PRICE_PLACES, SLOW_AFTER_MS
 
 CALL_TEXT = ("team", "model", "feature", "environment", "status")
-# Tokens are priced per 1,000, hence three more places than the price has.
-_COST_SCALE = PRICE_PLACES + 3 - CALL_COST_PLACES
 
 
 def unify_calls(historical: DataFrame, live: DataFrame | None) -> DataFrame:
@@ -52,8 +50,8 @@ def price_calls(calls: DataFrame, pricing: DataFrame) -> DataFrame:
     """Add ``cost_usd``, rounded to six places per call.
 
     Calls of a model without a price keep a NULL cost, and every price row of
-    a model yields its own copy of the call. The cost is worked out in longs;
-    one call of more than 92 million dollars would raise an overflow error.
+    a model yields its own copy of the call. Prices are per 1,000 tokens, so
+    the product has three places more. It is worked out in longs; one call of more than 92 million dollars would raise an overflow error.
     """
     rates = pricing.select(
         F.trim("model").alias("model"),
@@ -65,7 +63,7 @@ def price_calls(calls: DataFrame, pricing: DataFrame) -> DataFrame:
     ) * F.col("_completion_rate")
     return (
         lookup_join(calls, rates, "model")
-        .withColumn("cost_usd", from_units(divide_half_up(cost, 10**_COST_SCALE), CALL_COST_PLACES))
+        .withColumn("cost_usd", from_units(drop_places(cost, PRICE_PLACES + 3, CALL_COST_PLACES), CALL_COST_PLACES))
         .drop("_prompt_rate", "_completion_rate")
     )
 

@@ -9,6 +9,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM interprets methods above this size instead of compiling them;
+    # Spark then runs such a stage expression by expression, which is faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,12 +25,18 @@ def append_stream(lake: Lake, stream: DataFrame, table: str, checkpoint_root: st
     )
 
 
-def run_bronze(lake: Lake, streams: Mapping[str, DataFrame], checkpoint_root: str) -> dict[str, int]:
-    """Bring the given bronze tables up to date side by side; returns the rows added to each."""
+def run_bronze(lake: Lake, streams: Mapping[str, DataFrame], checkpoint_root: str) -> dict[str, StreamingQuery]:
+    """Bring the given bronze tables up to date side by side; returns the ended queries.
+
+    All tables are waited for before the first failure, if any, is raised.
+    """
     running = {table: append_stream(lake, stream, table, checkpoint_root) for table, stream in streams.items()}
+    failures = []
     for query in running.values():
-        query.awaitTermination()
-    return {
-        table: sum(progress["numInputRows"] for progress in query.recentProgress)
-        for table, query in running.items()
-    }
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as failure:
+            failures.append(failure)
+    if failures:
+        raise failures[0]
+    return running
