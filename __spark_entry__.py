@@ -226,12 +226,17 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "model_quality_stats": lambda t: stats.model_quality_stats(t.quality()),
     "quality_feature_summary": lambda t: stats.describe(t.quality_features(), features.QUALITY_FEATURES),
     "dataset_overview": lambda t: stats.dataset_overview(t.silver()),
+    "cost_history_overview": lambda t: stats.series_overview(t.daily(), "event_date", "team"),
+    "quality_history_overview": lambda t: stats.series_overview(t.quality(), "feedback_date", "model"),
     "model_cost_ratio": lambda t: stats.model_cost_ratio(t.performance()),
     # Features and forecasts
     "cost_features": _cost_features,
     "train_test_split": _split,
     "team_last_profile": lambda t: _rounded(features.team_last_profile(t.cost_features()), *PROFILE_ROUNDED),
     "forecast_frame": _forecast_frame,
+    "forecast_coverage": lambda t: features.forecast_coverage(
+        features.cost_features(t.stored_daily), t.stored_daily
+    ),
     "naive_forecast": lambda t: t.predictions(),
     "naive_forecast_metrics": lambda t: forecast.naive_metrics(t.cost_features()),
     "prediction_summary": lambda t: stats.prediction_summary(t.predictions()),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from callmeter.schemas import MODELS, TEAMS
@@ -39,14 +39,31 @@ def keep(df: DataFrame, rules: Rules) -> DataFrame:
     return df.filter(reduce(Column.__and__, rules.values()))
 
 
+def _passing(rules: Rules, reported: Rules | None) -> dict[str, Column]:
+    """Each rule's outcome with unknown as failure, and ``all_rules`` for the records kept."""
+    known = {name: F.coalesce(cond, F.lit(False)) for name, cond in {**rules, **(reported or {})}.items()}
+    return {**known, "all_rules": reduce(Column.__and__, [known[name] for name in rules])}
+
+
+def observed(df: DataFrame, rules: Rules, observation: Observation | None, reported: Rules | None = None) -> DataFrame:
+    """Count failures per rule while some later action reads ``df``, without another pass.
+
+    After the action ``observation.get`` holds the number of records and, by
+    rule, how many of them failed.
+    """
+    if observation is None:
+        return df
+    failing = [F.count_if(~cond).alias(name) for name, cond in _passing(rules, reported).items()]
+    return df.observe(observation, F.count(F.lit(1)).alias("records"), *failing)
+
+
 def counts(df: DataFrame, rules: Rules, reported: Rules | None = None) -> DataFrame:
     """One row (rule, passed_records, failed_records) per rule, in one pass.
 
     ``reported`` holds conditions that are counted but never drop a row. The
     row ``all_rules`` counts the records kept and dropped.
     """
-    known = {name: F.coalesce(cond, F.lit(False)) for name, cond in {**rules, **(reported or {})}.items()}
-    known["all_rules"] = reduce(Column.__and__, [known[name] for name in rules])
+    known = _passing(rules, reported)
     totals = df.agg(
         F.count(F.lit(1)).alias("_records"),
         *[F.count_if(cond).alias(name) for name, cond in known.items()],

@@ -139,6 +139,16 @@ def forecast_frame(features: DataFrame, daily_cost: DataFrame, days: int = HORIZ
     )
 
 
+def forecast_coverage(features: DataFrame, daily_cost: DataFrame) -> DataFrame:
+    """Days of history and usable feature rows per team; a team without the latter gets no forecast."""
+    used = features.groupBy("team").agg(F.count(F.lit(1)).alias("_used"))
+    rows = F.coalesce(F.col("_used"), F.lit(0).cast("long"))
+    history = daily_cost.groupBy("team").agg(F.count(F.lit(1)).alias("history_rows"))
+    return history.join(used, "team", "left").select(
+        "team", "history_rows", rows.alias("feature_rows"), (rows > 0).alias("has_forecast")
+    )
+
+
 def quality_features(quality: DataFrame) -> DataFrame:
     """Daily scores with their distance from recent and overall history; rows with any NULL are dropped."""
     w = series("model", "feedback_date")

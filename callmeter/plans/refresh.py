@@ -2,25 +2,38 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from callmeter.operators.durable import cut_lineage
 from callmeter.plans import alerts, anomaly, features, forecast, gold, silver
+from callmeter.schemas import TABLES
 from callmeter.sources.lake import Lake
 
 
-def refresh_silver(lake: Lake) -> None:
-    """Silver calls, stored by day, and the two small tables. Live calls are optional."""
+def refresh_silver(lake: Lake, by_day: bool = False) -> dict[str, dict[str, int]]:
+    """Store the silver tables; returns records and failures per rule of each.
+
+    The calls are written by the tasks that read them, with no shuffle: every
+    gold table reads all days anyway. ``by_day`` shuffles them into one folder
+    per day instead, for lakes whose readers pick days and whose days are
+    large. Live calls are optional. The rules are counted during the write.
+    """
     now = F.current_timestamp()
+    counted = {table: Observation(table) for table in TABLES["silver"]}
     calls = silver.api_calls(
         lake.load("bronze", "api_calls_historical"),
         lake.load("bronze", "model_pricing"),
         lake.load_if_exists("bronze", "api_calls_live"),
         now,
+        counted["api_calls"],
     )
-    lake.materialize(calls, "silver", "api_calls", partition_by="event_date")
-    lake.materialize(silver.quality_feedback(lake.load("bronze", "quality_feedback"), now), "silver", "quality_feedback")
-    lake.materialize(silver.model_pricing(lake.load("bronze", "model_pricing"), now), "silver", "model_pricing")
+    feedback = silver.quality_feedback(lake.load("bronze", "quality_feedback"), now, counted["quality_feedback"])
+    prices = silver.model_pricing(lake.load("bronze", "model_pricing"), now, counted["model_pricing"])
+    lake.materialize(calls, "silver", "api_calls", partition_by="event_date" if by_day else None)
+    lake.materialize(feedback, "silver", "quality_feedback")
+    lake.materialize(prices, "silver", "model_pricing")
+    return {table: observation.get for table, observation in counted.items()}
 
 
 def refresh_gold(lake: Lake) -> None:

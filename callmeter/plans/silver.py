@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from callmeter.functions.columns import stamped
@@ -73,20 +73,33 @@ def api_calls(
     pricing: DataFrame,
     live: DataFrame | None = None,
     loaded_at: Column | None = None,
+    observation: Observation | None = None,
 ) -> DataFrame:
-    """Silver calls. The rules look at call columns only, so they run before the join."""
+    """Silver calls. The rules look at call columns only, so they run before the join.
+
+    An ``observation`` receives the rule counts of the action that reads the
+    result; without one, the rules on plain columns reach the scan.
+    """
     cleaned = clean_calls(unify_calls(historical, live))
-    priced = price_calls(rules.keep(cleaned, rules.call_rules()), pricing)
+    counted = rules.observed(cleaned, rules.call_rules(), observation, _reported())
+    priced = price_calls(rules.keep(counted, rules.call_rules()), pricing)
     return stamped(priced, "silver_loaded_at", loaded_at)
 
 
+def _reported() -> dict[str, Column]:
+    """Conditions that are counted but drop nothing."""
+    return {"parsable_timestamp": F.col("event_timestamp").isNotNull()}
+
+
 def call_rule_counts(historical: DataFrame, live: DataFrame | None = None) -> DataFrame:
     """Pass and fail counts of the call rules, and of times that do not parse."""
     cleaned = clean_calls(unify_calls(historical, live))
-    return rules.counts(cleaned, rules.call_rules(), {"parsable_timestamp": F.col("event_timestamp").isNotNull()})
+    return rules.counts(cleaned, rules.call_rules(), _reported())
 
 
-def quality_feedback(feedback: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+def quality_feedback(
+    feedback: DataFrame, loaded_at: Column | None = None, observation: Observation | None = None
+) -> DataFrame:
     """Silver feedback; values that are no date or no number become NULL first."""
     typed = (
         feedback.withColumns(
@@ -99,10 +112,13 @@ def quality_feedback(feedback: DataFrame, loaded_at: Column | None = None) -> Da
         .withColumn("thumbs_up_bool", F.coalesce(F.col("thumbs_up") == 1, F.lit(False)))
         .drop("date", "ingested_at")
     )
-    return stamped(rules.keep(typed, rules.feedback_rules()), "silver_loaded_at", loaded_at)
+    counted = rules.observed(typed, rules.feedback_rules(), observation)
+    return stamped(rules.keep(counted, rules.feedback_rules()), "silver_loaded_at", loaded_at)
 
 
-def model_pricing(pricing: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+def model_pricing(
+    pricing: DataFrame, loaded_at: Column | None = None, observation: Observation | None = None
+) -> DataFrame:
     """Silver price list, prices as doubles."""
     typed = pricing.withColumns(
         {
@@ -113,4 +129,5 @@ def model_pricing(pricing: DataFrame, loaded_at: Column | None = None) -> DataFr
             },
         }
     ).drop("ingested_at")
-    return stamped(rules.keep(typed, rules.pricing_rules()), "silver_loaded_at", loaded_at)
+    counted = rules.observed(typed, rules.pricing_rules(), observation)
+    return stamped(rules.keep(counted, rules.pricing_rules()), "silver_loaded_at", loaded_at)

@@ -108,6 +108,16 @@ def dataset_overview(source: DataFrame) -> DataFrame:
     )
 
 
+def series_overview(daily: DataFrame, day: str, key: str) -> DataFrame:
+    """Rows, date range and names of the teams or models of a daily table."""
+    return daily.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.min(day).alias("first_date"),
+        F.max(day).alias("last_date"),
+        F.array_join(F.array_sort(F.collect_set(key)), ", ").alias("names"),
+    )
+
+
 def model_cost_ratio(performance: DataFrame, dear: str = "gpt-4o", cheap: str = "gpt-3.5-turbo") -> DataFrame:
     """Total cost of one model over that of another, and the same per call."""
 

@@ -354,6 +354,12 @@ SELECT model, {mean_of('quality_score_pct', 2)} AS mean_score, {places('stddev_s
 SELECT count(*) AS total_calls, {scaled(half_up('sum(micros)', '10000'), 2)} AS total_cost_usd, min(event_date) AS first_date,
  max(event_date) AS last_date, count(DISTINCT event_date) AS days_covered, count(DISTINCT team) AS teams,
  count(DISTINCT model) AS models, count(DISTINCT feature) AS features FROM silver""",
+    "cost_history_overview": """
+SELECT count(*) AS row_count, min(event_date) AS first_date, max(event_date) AS last_date,
+ string_agg(DISTINCT team, ', ' ORDER BY team) AS names FROM daily""",
+    "quality_history_overview": """
+SELECT count(*) AS row_count, min(feedback_date) AS first_date, max(feedback_date) AS last_date,
+ string_agg(DISTINCT model, ', ' ORDER BY model) AS names FROM quality""",
     "model_cost_ratio": f"""
 SELECT 'gpt-4o' AS model, 'gpt-3.5-turbo' AS compared_with, {places(COST_RATIO, 4)} AS total_cost_ratio,
  {places(f'{COST_RATIO} * {CALL_RATIO}', 4)} AS cost_per_call_ratio FROM perf""",
@@ -363,6 +369,9 @@ SELECT 'gpt-4o' AS model, 'gpt-3.5-turbo' AS compared_with, {places(COST_RATIO,
     "forecast_frame": f"""
 SELECT team, prediction_date, prediction_horizon_days, {calendar('prediction_date')}, {TEAM_CODE},
  {rounded([f'cost_lag_{k}d' for k in LAGS] + COST_ROUNDED + ['total_calls', 'rolling_7d_avg_cost'])} FROM ahead""",
+    "forecast_coverage": """
+SELECT team, count(*) AS history_rows, (SELECT count(*) FROM cost_feat f WHERE f.team = d.team) AS feature_rows,
+ (SELECT count(*) FROM cost_feat f WHERE f.team = d.team) > 0 AS has_forecast FROM daily d GROUP BY team""",
     "naive_forecast": "SELECT * FROM predictions",
     "naive_forecast_metrics": f"SELECT {ERRORS} FROM split WHERE split = 'test'",
     "prediction_summary": f"""

@@ -70,8 +70,11 @@ def test_streams_read_only_new_files(spark, tmp_path):
     assert history.select(names).exceptAll(batch).isEmpty() and batch.exceptAll(history.select(names)).isEmpty()
     assert history.filter("ingested_at is null").isEmpty()
 
-    refresh.refresh_silver(lake)
+    counted = refresh.refresh_silver(lake, by_day=True)
+    assert counted["api_calls"]["records"] == 7 and counted["api_calls"]["valid_call_id"] == 2
     stored = lake.load("silver", "api_calls")
+    pruned = stored.filter("event_date = date'2026-01-15'").select("cost_usd")
+    assert "PartitionFilters: [isnotnull(event_date" in pruned._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.call_id for r in stored.collect()) == ["a1", "a2", "b1", "k1", "k2"]
     assert {"kafka_timestamp", "silver_loaded_at", "cost_usd"} <= set(stored.columns)
     assert not {"timestamp", "ingested_at", "provider"} & set(stored.columns)
@@ -95,7 +98,9 @@ def test_refresh_builds_every_table(spark, sf_dir, tmp_path):
     lake.materialize(fixtures.prices(spark), "bronze", "model_pricing")
     lake.materialize(fixtures.feedback(spark, sf_dir), "bronze", "quality_feedback")
     assert not lake.exists("bronze", "api_calls_live")
-    refresh.refresh_silver(lake)
+    counted = refresh.refresh_silver(lake)
+    assert counted["api_calls"]["records"] == 6000 and counted["api_calls"]["all_rules"] == 0
+    assert counted["quality_feedback"] == {"records": 1000, "valid_feedback_model": 0, "valid_thumbs": 0, "all_rules": 0}
     refresh.refresh_gold(lake)
     refresh.refresh_models(lake, str(tmp_path / "model"), maxIter=3)
     refresh.refresh_alerts(lake)
@@ -111,8 +116,6 @@ def test_refresh_builds_every_table(spark, sf_dir, tmp_path):
     assert lake.load("gold", "cost_predictions").count() % 30 == 0
     figures = {r.metric: r.value for r in lake.load("gold", "project_summary").collect()}
     assert figures["Total API calls processed"] == 6000 and figures["Days of cost forecasted"] == 30
-    pruned = lake.load("silver", "api_calls").filter("event_date = date'1995-01-01'").select("cost_usd")
-    assert "PartitionFilters: [isnotnull(event_date" in pruned._jdf.queryExecution().executedPlan().toString()
 
 
 def test_unknown_table_name(spark):

@@ -100,10 +100,11 @@ def test_large_lookup_joins_by_salt(spark):
     assert small.count() == 500 + 167
 
 
-def test_rules_run_before_the_join(spark, tmp_path):
+def test_rules_run_before_the_join(spark, tmp_path, capsys):
     path = str(tmp_path / "calls")
     calls(spark, {}).write.parquet(path)
-    plan = silver.api_calls(spark.read.parquet(path), prices(spark))._jdf.queryExecution().executedPlan().toString()
+    silver.api_calls(spark.read.parquet(path), prices(spark)).explain("formatted")
+    plan = capsys.readouterr().out
     for pushed in ("IsNotNull(call_id)", "GreaterThan(prompt_tokens,0)", "GreaterThanOrEqual(latency_ms,0)"):
         assert pushed in plan
 
