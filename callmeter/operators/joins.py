@@ -22,7 +22,8 @@ def lookup_join(
     ``broadcast_rows + 1`` of its rows. A larger one is joined by shuffle with
     the key salted, because a handful of key values would otherwise put all of
     ``facts`` into as many tasks. The salt hashes the whole row and is thus
-    the same when a lost task is run again.
+    the same when a lost task is run again; many copies of one row share a
+    salt, and are split by the skew handling of adaptive execution.
     """
     if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
         return facts.join(F.broadcast(lookup), key, "left")

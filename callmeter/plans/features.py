@@ -187,10 +187,13 @@ def standardise(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
             *[F.stddev_pop(c).alias(f"{c}_std") for c in columns],
         )
     ).scalar()
-    return wide.withColumns(
+    # One column holds the moments, so that they are worked out once and not
+    # once for every place they are used in.
+    joined = wide.withColumn("_moments", moments)
+    spread = {c: F.col(f"_moments.{c}_std") for c in columns}
+    return joined.withColumns(
         {
-            c: (F.col(c) - moments[f"{c}_mean"])
-            / F.when(moments[f"{c}_std"] == 0, F.lit(1.0)).otherwise(moments[f"{c}_std"])
+            c: (F.col(c) - F.col(f"_moments.{c}_mean")) / F.when(spread[c] == 0, F.lit(1.0)).otherwise(spread[c])
             for c in columns
         }
-    )
+    ).drop("_moments")
