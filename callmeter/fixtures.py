@@ -34,10 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _renamed(col: str, names: dict[str, str]) -> Column:
-    chain = F
-    for old, new in names.items():
-        chain = chain.when(F.col(col) == old, F.lit(new))
-    return chain
+    return F.coalesce(*[F.when(F.col(col) == old, F.lit(new)) for old, new in names.items()])
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,11 +10,7 @@ from pyspark.sql import functions as F
 
 def code_of(col: str, codes: Mapping[str, int]) -> Column:
     """Integer code of a category; NULL for one that is not listed."""
-    result = None
-    for name, code in codes.items():
-        hit = F.col(col) == F.lit(name)
-        result = F.when(hit, F.lit(code)) if result is None else result.when(hit, F.lit(code))
-    return result
+    return F.coalesce(*[F.when(F.col(col) == name, F.lit(code)) for name, code in codes.items()])
 
 
 def calendar_columns(date_col: str) -> dict[str, Column]:

@@ -13,6 +13,9 @@ from callmeter.schemas import MODELS, TEAMS
 Rules = Mapping[str, Column]
 
 
+# Names and conditions of the rules.
+
+
 def call_rules() -> dict[str, Column]:
     return {
         "valid_call_id": F.col("call_id").isNotNull(),

@@ -11,15 +11,39 @@ from callmeter.plans.gold import roll_up
 from callmeter.plans.stats import team_cost_baseline
 from callmeter.schemas import CALL_COST_PLACES
 
-# Thresholds, and the quality that a score is compared with.
+# Thresholds, the quality that a score is compared with, and the
+# names and messages that readers of the alert tables look for.
 SPIKE_FACTOR = 1.5
 PREDICTED_WARNING = 1.2
 PREDICTED_CRITICAL = 1.5
 EXPECTED_QUALITY = 88.0
+QUALITY_DROP = "quality_drop"
+COST_SPIKE = "cost_spike"
+SPIKE_PREDICTED = "cost_spike_predicted"
+DROP_DETECTED = "quality_drop_detected"
+BY_FORECAST = "cost_forecasting_model"
+BY_DETECTOR = "anomaly_detection_model"
+QUALITY_MESSAGE = ("Quality dropped to ", "% (rolling avg: ", "%)")
+SPIKE_MESSAGE = ("Daily cost $", " exceeds 150% of 7-day avg $", "")
+FIGURES = (
+    "Total API calls processed",
+    "Total cost tracked (USD)",
+    "Days of data",
+    "Cost spike alerts generated",
+    "Quality drop alerts generated",
+    "Days of cost forecasted",
+)
 
 ALL = "All"
 
 
+def _message(text: tuple[str, str, str], value: Column, baseline: Column, places: int) -> Column:
+    """Text around a value and its baseline."""
+    shown = [round_places(number, places).cast("string") for number in (value, baseline)]
+    before, between, after = map(F.lit, text)
+    return F.concat(before, shown[0], between, shown[1], after).alias("alert_message")
+
+
 def cost_spikes(daily_cost: DataFrame) -> DataFrame:
     """Days that cost more than half as much again as the rolling mean, which includes the day."""
     mean = F.col("rolling_7d_avg_cost")
@@ -34,15 +58,9 @@ def alert_summary(quality_alerts: DataFrame, daily_cost: DataFrame) -> DataFrame
         F.col("feedback_date").alias("alert_date"),
         "model",
         none.alias("team"),
-        F.lit("quality_drop").alias("alert_type"),
+        F.lit(QUALITY_DROP).alias("alert_type"),
         "alert_severity",
-        F.concat(
-            F.lit("Quality dropped to "),
-            round_places(score, 1).cast("string"),
-            F.lit("% (rolling avg: "),
-            round_places(rolling, 1).cast("string"),
-            F.lit("%)"),
-        ).alias("alert_message"),
+        _message(QUALITY_MESSAGE, score, rolling, 1),
         score.alias("metric_value"),
         rolling.alias("baseline_value"),
     )
@@ -51,14 +69,9 @@ def alert_summary(quality_alerts: DataFrame, daily_cost: DataFrame) -> DataFrame
         F.col("event_date").alias("alert_date"),
         none.alias("model"),
         "team",
-        F.lit("cost_spike").alias("alert_type"),
+        F.lit(COST_SPIKE).alias("alert_type"),
         F.lit("warning").alias("alert_severity"),
-        F.concat(
-            F.lit("Daily cost $"),
-            round_places(cost, 3).cast("string"),
-            F.lit(" exceeds 150% of 7-day avg $"),
-            round_places(mean, 3).cast("string"),
-        ).alias("alert_message"),
+        _message(SPIKE_MESSAGE, cost, mean, 3),
         cost.alias("metric_value"),
         mean.alias("baseline_value"),
     )
@@ -85,8 +98,8 @@ def predicted_cost_alerts(predictions: DataFrame, daily_cost: DataFrame) -> Data
         mean.alias("baseline_value"),
         F.coalesce(predicted > mean * PREDICTED_WARNING, F.lit(False)).alias("is_alert"),
         level.alias("severity"),
-        F.lit("cost_spike_predicted").alias("alert_type"),
-        F.lit("cost_forecasting_model").alias("detected_by"),
+        F.lit(SPIKE_PREDICTED).alias("alert_type"),
+        F.lit(BY_FORECAST).alias("detected_by"),
     )
 
 
@@ -111,8 +124,8 @@ def alert_summary_forecast(
         F.lit(EXPECTED_QUALITY).alias("baseline_value"),
         (F.lit(True) if flag_every_day else level != "normal").alias("is_alert"),
         level.alias("severity"),
-        F.lit("quality_drop_detected").alias("alert_type"),
-        F.lit("anomaly_detection_model").alias("detected_by"),
+        F.lit(DROP_DETECTED).alias("alert_type"),
+        F.lit(BY_DETECTOR).alias("detected_by"),
     )
     return stamped(predicted_cost_alerts(predictions, daily_cost).unionByName(drops), "created_at", created_at)
 
@@ -136,20 +149,20 @@ def project_summary(source: DataFrame, alerts: DataFrame, predictions: DataFrame
     cube = roll_up(source, "event_date", "team", "feature", "model")
     total = from_units(drop_places(F.sum("cost_micros"), CALL_COST_PLACES, 2), 2)
     calls = cube.agg(
-        F.sum("calls").cast("double").alias("Total API calls processed"),
-        total.alias("Total cost tracked (USD)"),
-        F.count_distinct("event_date").cast("double").alias("Days of data"),
+        F.sum("calls").cast("double").alias(FIGURES[0]),
+        total.alias(FIGURES[1]),
+        F.count_distinct("event_date").cast("double").alias(FIGURES[2]),
     )
 
     def raised(kind: str) -> Column:
         return F.count_if((F.col("alert_type") == kind) & F.col("is_alert")).cast("double")
 
     counted = alerts.agg(
-        raised("cost_spike_predicted").alias("Cost spike alerts generated"),
-        raised("quality_drop_detected").alias("Quality drop alerts generated"),
+        raised(SPIKE_PREDICTED).alias(FIGURES[3]),
+        raised(DROP_DETECTED).alias(FIGURES[4]),
     )
     ahead = predictions.agg(
-        F.count_distinct("prediction_date").cast("double").alias("Days of cost forecasted")
+        F.count_distinct("prediction_date").cast("double").alias(FIGURES[5])
     )
     tall = [part.unpivot([], part.columns, "metric", "value") for part in (calls, counted, ahead)]
     return tall[0].unionByName(tall[1]).unionByName(tall[2])

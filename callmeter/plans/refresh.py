@@ -17,7 +17,9 @@ def refresh_silver(lake: Lake, by_day: bool = False) -> dict[str, dict[str, int]
     The calls are written by the tasks that read them, with no shuffle: every
     gold table reads all days anyway. ``by_day`` shuffles them into one folder
     per day instead, for lakes whose readers pick days and whose days are
-    large. Live calls are optional. The rules are counted during the write.
+    large. Live calls are optional. The rules are counted during the write;
+    where a lost executor makes a shuffle of ``by_day`` run again, records of
+    the repeated tasks count twice.
     """
     now = F.current_timestamp()
     counted = {table: Observation(table) for table in TABLES["silver"]}
@@ -43,7 +45,7 @@ def refresh_gold(lake: Lake) -> None:
     cube = cut_lineage(gold.call_cube(calls))
     lake.materialize(gold.daily_cost_by_team(cube, now), "gold", "daily_cost_by_team")
     lake.materialize(gold.feature_cost_breakdown(cube, now), "gold", "feature_cost_breakdown")
-    lake.materialize(gold.model_performance_summary(calls, now), "gold", "model_performance_summary")
+    lake.materialize(gold.model_performance_summary(calls, now, cube=cube), "gold", "model_performance_summary")
     lake.materialize(gold.quality_score_daily(lake.load("silver", "quality_feedback"), now), "gold", "quality_score_daily")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from callmeter.functions.columns import only_teams
 from callmeter.functions.exact import mean_places, percent, sum_places
+from callmeter.plans.alerts import QUALITY_DROP
 from callmeter.schemas import CALL_COST_PLACES, DAILY_COST_PLACES, PERCENT_PLACES
 
 Teams = Sequence[str] | None
@@ -182,5 +183,5 @@ def active_critical(summary: DataFrame) -> DataFrame:
 
 
 def critical_quality_alerts(summary: DataFrame) -> DataFrame:
-    hit = (F.col("alert_type") == "quality_drop") & (F.col("alert_severity") == "critical")
+    hit = (F.col("alert_type") == QUALITY_DROP) & (F.col("alert_severity") == "critical")
     return summary.agg(F.count_if(hit).alias("val"))

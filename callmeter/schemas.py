@@ -21,6 +21,7 @@ PERCENT_PLACES = 2
 # Prices are held to 8 places per 1,000 tokens.
 PRICE_PLACES = 8
 
+# The fields of a call, of a price and of a feedback entry.
 CALL_SCHEMA = T.StructType(
     [
         T.StructField("call_id", T.StringType()),

@@ -18,6 +18,9 @@ def test_cube_gives_the_same_tables(spark, sf_dir):
     cube = gold.call_cube(dirty)
     for build in (gold.daily_cost_by_team, gold.feature_cost_breakdown, stats.dataset_overview):
         assert stored(build(dirty)) == stored(build(cube))
+    by_cube = gold.model_performance_summary(dirty, cube=cube)
+    assert stored(by_cube) == stored(gold.model_performance_summary(dirty))
+    assert by_cube.filter("event_date is null").count() > 0
 
 
 def test_group_without_any_cost(spark):
