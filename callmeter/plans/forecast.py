@@ -35,13 +35,18 @@ SETTINGS = {
 }
 
 
+# Rows of training input stored beside a model, to show what it expects.
+SAMPLE_ROWS = 5
+
+
 @dataclass
 class Forecaster:
-    """A fitted model with the settings it was trained with and its test errors."""
+    """A fitted model with its settings, its training and test figures and a few input rows."""
 
     model: PipelineModel
     settings: dict
     metrics: DataFrame
+    sample: DataFrame
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -58,13 +63,18 @@ def train(features: DataFrame, test_days: int = TEST_DAYS, **changed) -> Forecas
     of every tree.
     """
     settings = {**SETTINGS, **changed}
-    ready = cut_lineage(label_split(features, test_days).select("event_date", "team", "total_cost_usd", "split", *COST_FEATURES))
+    marked = label_split(features, test_days)
+    ready = cut_lineage(marked.select("event_date", "team", "total_cost_usd", "split", *COST_FEATURES))
     inputs = ready.withColumns({c: F.col(c).cast("double") for c in COST_FEATURES})
+    training = inputs.filter(F.col("split") == "train")
     learner = GBTRegressor(featuresCol="features", labelCol="total_cost_usd", lossType="squared", **settings)
     assembler = VectorAssembler(inputCols=list(COST_FEATURES), outputCol="features")
-    model = Pipeline(stages=[assembler, learner]).fit(inputs.filter(F.col("split") == "train"))
+    model = Pipeline(stages=[assembler, learner]).fit(training)
     test = predict(model, ready.filter(F.col("split") == "test"))
-    return Forecaster(model, settings, forecast_metrics(test, "total_cost_usd", "predicted_cost_usd"))
+    errors = forecast_metrics(test, "total_cost_usd", "predicted_cost_usd")
+    first = training.orderBy("team", "event_date").limit(SAMPLE_ROWS)
+    metrics = errors.withColumn("train_rows", F.lit(training.count()))
+    return Forecaster(model, settings, metrics, first.select("total_cost_usd", *COST_FEATURES))
 
 
 def feature_importance(forecaster: Forecaster, spark: SparkSession) -> DataFrame:
@@ -105,7 +115,7 @@ def naive_metrics(features: DataFrame, test_days: int = TEST_DAYS) -> DataFrame:
 
 
 def save(forecaster: Forecaster, path: str) -> None:
-    """Write the model, and its settings and test errors as a one-row table, below ``path``."""
+    """Write the model, its settings and figures as a one-row table, and the sample below ``path``."""
     forecaster.model.write().overwrite().save(f"{path}/model")
     described = forecaster.metrics.select(
         F.lit(json.dumps(forecaster.settings, sort_keys=True)).alias("settings"),
@@ -113,9 +123,11 @@ def save(forecaster: Forecaster, path: str) -> None:
         "*",
     )
     described.write.mode("overwrite").parquet(f"{path}/training")
+    forecaster.sample.write.mode("overwrite").parquet(f"{path}/sample")
 
 
 def load(spark: SparkSession, path: str) -> Forecaster:
     training = spark.read.parquet(f"{path}/training")
     settings = json.loads(training.select("settings").first()[0])
-    return Forecaster(PipelineModel.load(f"{path}/model"), settings, training.drop("settings", "features"))
+    metrics, sample = training.drop("settings", "features"), spark.read.parquet(f"{path}/sample")
+    return Forecaster(PipelineModel.load(f"{path}/model"), settings, metrics, sample)

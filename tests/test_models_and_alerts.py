@@ -26,7 +26,7 @@ def trained(history):
 
 def test_metrics_are_finite_and_small(trained):
     row = trained.metrics.first()
-    assert row.test_rows == 28
+    assert (row.train_rows, row.test_rows) == (72, 28)
     assert 0 < row.mae <= row.rmse < 1 and row.mape < 100
 
 
@@ -62,6 +62,7 @@ def test_save_and_load(spark, history, trained, tmp_path):
     ours, theirs = (
         forecast.predict(m.model, inputs).agg(F.sum("predicted_cost_usd")).first()[0] for m in (trained, back)
     )
+    assert back.sample.count() == 5 and set(features.COST_FEATURES) < set(back.sample.columns)
     assert ours == theirs and back.settings == trained.settings and back.metrics.first() == trained.metrics.first()
 
 
