@@ -57,6 +57,17 @@ def mean_places(col: str, places: int) -> Column:
     return from_units(divide_half_up(F.sum(unit), F.count(unit)), places)
 
 
+def mean_over(col: str, places: int, window) -> Column:
+    """Unrounded mean over a window of a column rounded to ``places``.
+
+    The sum is taken in units, so that the mean of equal values is that very
+    value, and none of them seems to lie below it.
+    """
+    unit = to_units(col, places)
+    count = F.nullif(F.count(unit).over(window), F.lit(0).cast("long"))
+    return from_units(F.sum(unit).over(window).cast("double") / count, places)
+
+
 def percent(part: Column, whole: Column) -> Column:
     """100 * part / whole of two longs, to two places."""
     return from_units(divide_half_up(part * F.lit(10_000).cast("long"), whole), 2)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callmeter.functions.exact import round_places
+from callmeter.functions.exact import mean_over, round_places
 from callmeter.operators import forest
 from callmeter.operators.durable import cut_lineage
 from callmeter.plans.features import QUALITY_FEATURES, SPIKE_FEATURES, standardise
+from callmeter.schemas import PERCENT_PLACES
 
 # Fixed values of the detector.
 TREES = 200
@@ -36,11 +37,8 @@ def control_limits(features: DataFrame) -> DataFrame:
     """Lower control limit per model, and the days that fall below it."""
     whole = Window.partitionBy("model")
     score = F.col("quality_score_pct")
-    limited = features.withColumns(
-        {
-            "quality_mean": F.avg(score).over(whole),
-            "stat_threshold": F.avg(score).over(whole) - F.lit(SIGMAS) * F.stddev_samp(score).over(whole),
-        }
+    limited = features.withColumn("quality_mean", mean_over("quality_score_pct", PERCENT_PLACES, whole)).withColumn(
+        "stat_threshold", F.col("quality_mean") - F.lit(SIGMAS) * F.stddev_samp(score).over(whole)
     )
     # A model with a single day has no deviation, hence no limit and no anomaly.
     return limited.withColumn("stat_anomaly", F.coalesce(score < F.col("stat_threshold"), F.lit(False)).cast("int"))

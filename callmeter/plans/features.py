@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callmeter.functions.columns import calendar_columns, code_of
+from callmeter.functions.exact import mean_over
 from callmeter.operators.windows import rows_before, series
-from callmeter.schemas import MODEL_CODES, TEAM_CODES
+from callmeter.schemas import MODEL_CODES, PERCENT_PLACES, TEAM_CODES
 
 # Lags in rows, and the learners' inputs in order.
 COST_LAGS = (1, 3, 7, 14, 30)
@@ -154,7 +155,7 @@ def quality_features(quality: DataFrame) -> DataFrame:
     w = series("model", "feedback_date")
     whole = Window.partitionBy("model")
     score = F.col("quality_score_pct")
-    mean = F.avg(score).over(whole)
+    mean = mean_over("quality_score_pct", PERCENT_PLACES, whole)
     derived = {
         "deviation_from_7d_avg": score - F.col("rolling_7d_quality_score"),
         "z_score": (score - mean) / (F.stddev_samp(score).over(whole) + F.lit(STD_FLOOR)),

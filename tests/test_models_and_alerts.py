@@ -100,6 +100,17 @@ def test_single_day_has_no_limit(scores):
     assert one == 0
 
 
+@pytest.mark.parametrize("score", [91.2, 88.87, 70.01])
+def test_steady_quality_is_no_anomaly(spark, score):
+    """Eleven equal scores: a mean in doubles may come out above them."""
+    same = spark.createDataFrame(
+        [(day(i), "gpt-4o", 30, score, score) for i in range(11)],
+        "feedback_date date, model string, total_feedback long, quality_score_pct double, rolling_7d_quality_score double",
+    )
+    limited = anomaly.control_limits(features.quality_features(same))
+    assert limited.agg(F.sum("stat_anomaly"), F.max(F.abs("z_score"))).first()[:] == (0, 0.0)
+
+
 def test_forest_share(scores):
     scored = anomaly.score_with_forest(
         features.quality_features(scores), features.QUALITY_FEATURES, ("feedback_date", "model"), trees=40
