@@ -139,10 +139,9 @@ def _forecast_frame(t: Tables) -> DataFrame:
     return _rounded(features.forecast_frame(features.cost_features(t.stored_daily), t.stored_daily), *PROFILE_ROUNDED)
 
 
-def _cost_features(t: Tables) -> DataFrame:
-    return _rounded(t.cost_features(), *COST_ROUNDED).select(
-        "event_date", "team", "total_cost_usd", *features.COST_FEATURES
-    )
+def _cost_features(t: Tables, leak_free: bool = False) -> DataFrame:
+    inputs = features.cost_features(t.daily(), leak_free)
+    return _rounded(inputs, *COST_ROUNDED).select("event_date", "team", "total_cost_usd", *features.COST_FEATURES)
 
 
 def _quality_features(t: Tables) -> DataFrame:
@@ -207,12 +206,16 @@ def _forest_scores(t: Tables) -> DataFrame:
 
 _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # Bronze and silver
-    "decode_calls": lambda t: _plain_time(decode_calls(fixtures.messages(t._of(fixtures.calls_dirty))), "kafka_timestamp"),
+    "decode_calls": lambda t: _plain_time(
+        decode_calls(fixtures.messages(t._of(fixtures.calls_dirty))), "kafka_timestamp"
+    ),
     "calls_unified": _calls_unified,
     "silver_api_calls": _silver_dirty,
     "silver_quality_feedback": lambda t: silver.quality_feedback(t._of(fixtures.feedback_dirty)),
     "silver_model_pricing": lambda t: silver.model_pricing(t._of(fixtures.raw_prices)),
     "dq_rule_counts": lambda t: silver.call_rule_counts(t._of(fixtures.calls_dirty)),
+    "dq_feedback_rule_counts": lambda t: silver.feedback_rule_counts(t._of(fixtures.feedback_dirty)),
+    "dq_pricing_rule_counts": lambda t: silver.pricing_rule_counts(t._of(fixtures.raw_prices)),
     "valid_email": _valid_email,
     # Gold
     "daily_cost_by_team": lambda t: t.daily(),
@@ -231,6 +234,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "model_cost_ratio": lambda t: stats.model_cost_ratio(t.performance()),
     # Features and forecasts
     "cost_features": _cost_features,
+    "cost_features_leak_free": partial(_cost_features, leak_free=True),
     "train_test_split": _split,
     "team_last_profile": lambda t: _rounded(features.team_last_profile(t.cost_features()), *PROFILE_ROUNDED),
     "forecast_frame": _forecast_frame,

@@ -46,7 +46,8 @@ def refresh_gold(lake: Lake) -> None:
     lake.materialize(gold.daily_cost_by_team(cube, now), "gold", "daily_cost_by_team")
     lake.materialize(gold.feature_cost_breakdown(cube, now), "gold", "feature_cost_breakdown")
     lake.materialize(gold.model_performance_summary(calls, now, cube=cube), "gold", "model_performance_summary")
-    lake.materialize(gold.quality_score_daily(lake.load("silver", "quality_feedback"), now), "gold", "quality_score_daily")
+    feedback = lake.load("silver", "quality_feedback")
+    lake.materialize(gold.quality_score_daily(feedback, now), "gold", "quality_score_daily")
 
 
 def refresh_models(lake: Lake, model_path: str | None = None, **settings) -> forecast.Forecaster:

@@ -58,9 +58,8 @@ def price_calls(calls: DataFrame, pricing: DataFrame) -> DataFrame:
         _price_units("prompt_price_per_1k_tokens").alias("_prompt_rate"),
         _price_units("completion_price_per_1k_tokens").alias("_completion_rate"),
     )
-    cost = F.col("prompt_tokens").cast("long") * F.col("_prompt_rate") + F.col("completion_tokens").cast(
-        "long"
-    ) * F.col("_completion_rate")
+    prompt, completion = F.col("prompt_tokens").cast("long"), F.col("completion_tokens").cast("long")
+    cost = prompt * F.col("_prompt_rate") + completion * F.col("_completion_rate")
     return (
         lookup_join(calls, rates, "model")
         .withColumn("cost_usd", from_units(drop_places(cost, PRICE_PLACES + 3, CALL_COST_PLACES), CALL_COST_PLACES))
@@ -97,11 +96,9 @@ def call_rule_counts(historical: DataFrame, live: DataFrame | None = None) -> Da
     return rules.counts(cleaned, rules.call_rules(), _reported())
 
 
-def quality_feedback(
-    feedback: DataFrame, loaded_at: Column | None = None, observation: Observation | None = None
-) -> DataFrame:
-    """Silver feedback; values that are no date or no number become NULL first."""
-    typed = (
+def clean_feedback(feedback: DataFrame) -> DataFrame:
+    """Typed feedback; values that are no date or no number become NULL. Drops nothing."""
+    return (
         feedback.withColumns(
             {
                 "feedback_date": F.col("date").try_cast("date"),
@@ -112,22 +109,35 @@ def quality_feedback(
         .withColumn("thumbs_up_bool", F.coalesce(F.col("thumbs_up") == 1, F.lit(False)))
         .drop("date", "ingested_at")
     )
-    counted = rules.observed(typed, rules.feedback_rules(), observation)
+
+
+def quality_feedback(
+    feedback: DataFrame, loaded_at: Column | None = None, observation: Observation | None = None
+) -> DataFrame:
+    """Silver feedback."""
+    counted = rules.observed(clean_feedback(feedback), rules.feedback_rules(), observation)
     return stamped(rules.keep(counted, rules.feedback_rules()), "silver_loaded_at", loaded_at)
 
 
+def feedback_rule_counts(feedback: DataFrame) -> DataFrame:
+    return rules.counts(clean_feedback(feedback), rules.feedback_rules())
+
+
+def clean_pricing(pricing: DataFrame) -> DataFrame:
+    """Price list with trimmed names and prices as doubles. Drops nothing."""
+    prices = ("prompt_price_per_1k_tokens", "completion_price_per_1k_tokens")
+    return pricing.withColumns(
+        {"model": F.trim("model"), **{price: F.col(price).cast("double") for price in prices}}
+    ).drop("ingested_at")
+
+
 def model_pricing(
     pricing: DataFrame, loaded_at: Column | None = None, observation: Observation | None = None
 ) -> DataFrame:
-    """Silver price list, prices as doubles."""
-    typed = pricing.withColumns(
-        {
-            "model": F.trim("model"),
-            **{
-                f"{kind}_price_per_1k_tokens": F.col(f"{kind}_price_per_1k_tokens").cast("double")
-                for kind in ("prompt", "completion")
-            },
-        }
-    ).drop("ingested_at")
-    counted = rules.observed(typed, rules.pricing_rules(), observation)
+    """Silver price list."""
+    counted = rules.observed(clean_pricing(pricing), rules.pricing_rules(), observation)
     return stamped(rules.keep(counted, rules.pricing_rules()), "silver_loaded_at", loaded_at)
+
+
+def pricing_rule_counts(pricing: DataFrame) -> DataFrame:
+    return rules.counts(clean_pricing(pricing), rules.pricing_rules())

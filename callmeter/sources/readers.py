@@ -19,7 +19,8 @@ def _received(stream: DataFrame) -> DataFrame:
 
 def _csv(spark: SparkSession, path: str, schema: StructType, options: dict) -> DataFrame:
     # A file whose header does not name the schema's columns in order is
-    # refused, rather than read into the wrong columns.
+    # refused, rather than read into the wrong columns. Files with further
+    # columns need a schema that lists them.
     reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
     return _received(reader.options(**options).csv(path))
 

@@ -274,6 +274,7 @@ CALL_RULES = {
     "valid_model": "model IN ('gpt-4o','gpt-3.5-turbo','claude-3-sonnet')",
 }
 CALL_COLUMNS = "call_id, team, feature, model, environment, prompt_tokens, completion_tokens, latency_ms, status, status_code, user_id"
+IN_MODELS = "trim(model) IN ('gpt-4o','gpt-3.5-turbo','claude-3-sonnet')"
 THUMBS = "TRY_CAST(thumbs_up AS INTEGER)"
 ERRORS = "count(*) AS test_rows, {mae} AS mae, {rmse} AS rmse, {mape} AS mape".format(
     mae=places("avg(abs(total_cost_usd - rolling_mean_7d))", 6),
@@ -322,6 +323,17 @@ FROM silver_dirty""",
             "all_rules": " AND ".join(f"coalesce({c}, false)" for c in CALL_RULES.values()),
         }.items()
     ),
+    "dq_feedback_rule_counts": " UNION ALL ".join(
+        rule(name, cond, "feedback_dirty")
+        for name, cond in {
+            "valid_feedback_model": IN_MODELS,
+            "valid_thumbs": f"{THUMBS} IN (0, 1)",
+            "all_rules": f"{IN_MODELS} AND coalesce({THUMBS} IN (0, 1), false)",
+        }.items()
+    ),
+    "dq_pricing_rule_counts": " UNION ALL ".join(
+        rule(name, "p_partkey % 4 <> 3", "part") for name in ("valid_pricing_model", "all_rules")
+    ),
     "silver_quality_feedback": f"""
 SELECT TRY_CAST("date" AS DATE) AS feedback_date, trim(model) AS model, {THUMBS} AS thumbs_up, {THUMBS} = 1 AS thumbs_up_bool
 FROM feedback_dirty WHERE trim(model) IN ('gpt-4o','gpt-3.5-turbo','claude-3-sonnet') AND {THUMBS} IN (0, 1)""",
@@ -364,6 +376,10 @@ SELECT count(*) AS row_count, min(feedback_date) AS first_date, max(feedback_dat
 SELECT 'gpt-4o' AS model, 'gpt-3.5-turbo' AS compared_with, {places(COST_RATIO, 4)} AS total_cost_ratio,
  {places(f'{COST_RATIO} * {CALL_RATIO}', 4)} AS cost_per_call_ratio FROM perf""",
     "cost_features": f"SELECT {', '.join(COST_KEPT)}, {rounded(COST_ROUNDED)} FROM cost_feat",
+    "cost_features_leak_free": f"""
+SELECT * EXCLUDE (total_calls, rolling_7d_avg_cost, before_calls, before_rolling), before_calls AS total_calls, before_rolling AS rolling_7d_avg_cost
+FROM (SELECT {', '.join(COST_KEPT)}, {rounded(COST_ROUNDED)}, {lag('total_calls', 1)} AS before_calls, {lag('rolling_7d_avg_cost', 1)} AS before_rolling
+ FROM cost_raw) WHERE cost_lag_30d IS NOT NULL""",
     "train_test_split": "SELECT split, count(*) AS row_count, min(event_date) AS first_date, max(event_date) AS last_date FROM split GROUP BY split",
     "team_last_profile": f"SELECT team, {rounded([f'cost_lag_{k}d' for k in LAGS] + COST_ROUNDED + ['total_calls', 'rolling_7d_avg_cost'])} FROM profile",
     "forecast_frame": f"""
