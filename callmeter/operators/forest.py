@@ -8,14 +8,20 @@ table, at most ``trees * (2 * sample - 1)`` rows, passes through the driver.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The functions below travel to the executors with the tasks that call them,
+# so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Hash values are compared as fractions of this.
 _HASH_RANGE = 1 << 40
 # Each tree is offered this many times its sample, and keeps the lowest hashes.
@@ -56,44 +62,43 @@ def grow(points: np.ndarray, rng: np.random.Generator, height: int) -> list[tupl
     return nodes
 
 
+def scores(points: np.ndarray, nodes: dict[str, np.ndarray], sample: int, height: int) -> np.ndarray:
+    """Minus the anomaly score of each point: near -1 is anomalous, about -0.5 is normal.
+
+    All points walk down all trees together, one level at a time.
+    """
+    trees = np.arange(nodes["feature"].shape[0])[None, :]
+    at = np.zeros((len(points), trees.shape[1]), dtype=np.int32)
+    rows = np.arange(len(points))[:, None]
+    for _ in range(height):
+        value = points[rows, np.maximum(nodes["feature"][trees, at], 0)]
+        goes_left = value <= nodes["threshold"][trees, at]
+        at = np.where(goes_left, nodes["left"][trees, at], nodes["right"][trees, at])
+    depth = nodes["path"][trees, at].mean(axis=1)
+    scale = float(mean_path(sample)[0]) or 1.0
+    return -np.power(2.0, -depth / scale)
+
+
 @dataclass
 class IsolationForest:
-    """A grown forest: node arrays of shape (trees, nodes)."""
+    """A grown forest: node arrays of shape (trees, nodes), by name."""
 
     columns: tuple[str, ...]
-    feature: np.ndarray
-    threshold: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    path: np.ndarray
+    nodes: dict[str, np.ndarray]
     sample: int
     height: int
 
-    def paths(self, points: np.ndarray) -> np.ndarray:
-        """Mean path length of each point over the trees."""
-        trees = np.arange(self.feature.shape[0])[None, :]
-        at = np.zeros((len(points), trees.shape[1]), dtype=np.int32)
-        rows = np.arange(len(points))[:, None]
-        for _ in range(self.height):
-            value = points[rows, np.maximum(self.feature[trees, at], 0)]
-            goes_left = value <= self.threshold[trees, at]
-            at = np.where(goes_left, self.left[trees, at], self.right[trees, at])
-        return self.path[trees, at].mean(axis=1)
-
     def scores(self, points: np.ndarray) -> np.ndarray:
-        """Minus the anomaly score: near -1 is anomalous, about -0.5 is normal."""
-        scale = float(mean_path(self.sample)[0]) or 1.0
-        return -np.power(2.0, -self.paths(points) / scale)
+        return scores(points, self.nodes, self.sample, self.height)
 
     def score_column(self, df: DataFrame) -> Column:
         """The score as a column of ``df``; only the feature columns go to Python."""
-        model = df.sparkSession.sparkContext.broadcast(self)
+        model = df.sparkSession.sparkContext.broadcast((self.nodes, self.sample, self.height))
 
         @F.pandas_udf("double")
         def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-            forest = model.value
             for batch in batches:
-                yield pd.Series(forest.scores(batch.to_numpy(dtype=float)), index=batch.index)
+                yield pd.Series(scores(batch.to_numpy(dtype=float), *model.value), index=batch.index)
 
         return score(F.struct(*[F.col(c).cast("double").alias(c) for c in self.columns]))
 
@@ -173,7 +178,7 @@ def fit(
     sampled = int(nodes["sampled"].max())
     return IsolationForest(
         columns=tuple(columns),
-        **{name: packed(name, kind) for name, kind in _ARRAYS.items()},
+        nodes={name: packed(name, kind) for name, kind in _ARRAYS.items()},
         sample=sampled,
         height=math.ceil(math.log2(max(sampled, 2))),
     )
@@ -181,12 +186,12 @@ def fit(
 
 def save(forest: IsolationForest, spark: SparkSession, path: str) -> None:
     """Write the node table, one row per node, with the forest's parameters in each."""
-    trees, nodes = forest.feature.shape
+    trees, nodes = forest.nodes["feature"].shape
     table = pd.DataFrame(
         {
             "tree": np.repeat(np.arange(trees), nodes),
             "node": np.tile(np.arange(nodes), trees),
-            **{name: getattr(forest, name).ravel() for name in _ARRAYS},
+            **{name: array.ravel() for name, array in forest.nodes.items()},
         }
     )
     described = spark.createDataFrame(table).withColumns(
@@ -205,7 +210,7 @@ def load(spark: SparkSession, path: str) -> IsolationForest:
     shape = (int(table["tree"].max()) + 1, int(table["node"].max()) + 1)
     arrays = {name: table[name].to_numpy().astype(kind).reshape(shape) for name, kind in _ARRAYS.items()}
     first = table.iloc[0]
-    return IsolationForest(tuple(first["columns"]), **arrays, sample=int(first["sample"]), height=int(first["height"]))
+    return IsolationForest(tuple(first["columns"]), arrays, int(first["sample"]), int(first["height"]))
 
 
 def flag_share(scored: DataFrame, score: str, flag: str, contamination: float = 0.05) -> DataFrame:

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+import os
+import subprocess
+import sys
 
 import numpy as np
 import pandas as pd
@@ -10,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from callmeter.operators import forest
+from conftest import ROOT
 
 COLUMNS = ("a", "b")
 
@@ -32,10 +36,11 @@ def grown(points):
 
 def walk(f: forest.IsolationForest, tree: int, point) -> float:
     node = 0
-    while f.feature[tree, node] >= 0:
-        left = point[f.feature[tree, node]] <= f.threshold[tree, node]
-        node = (f.left if left else f.right)[tree, node]
-    return f.path[tree, node]
+    n = f.nodes
+    while n["feature"][tree, node] >= 0:
+        left = point[n["feature"][tree, node]] <= n["threshold"][tree, node]
+        node = (n["left"] if left else n["right"])[tree, node]
+    return n["path"][tree, node]
 
 
 def test_mean_path():
@@ -56,8 +61,8 @@ def test_trees_equal_those_grown_on_the_same_rows(points, grown):
         kept = rows.sort_values(["_order", "_tie"]).head(64)
         nodes = forest.grow(kept[["x0", "x1"]].to_numpy(), np.random.default_rng([3, tree]), 6)
         assert len(kept) == 64
-        assert [n[0] for n in nodes] == list(grown.feature[tree][: len(nodes)])
-        assert np.allclose([n[4] for n in nodes], grown.path[tree][: len(nodes)])
+        assert [n[0] for n in nodes] == list(grown.nodes["feature"][tree][: len(nodes)])
+        assert np.allclose([n[4] for n in nodes], grown.nodes["path"][tree][: len(nodes)])
 
 
 def test_leaves_hold_every_sampled_point():
@@ -81,8 +86,8 @@ def test_same_seed_same_forest(points, grown):
     shuffled = points.repartition(7)
     again = forest.fit(shuffled, COLUMNS, ("id",), trees=50, sample=64, seed=3)
     other = forest.fit(points, COLUMNS, ("id",), trees=50, sample=64, seed=4)
-    assert np.array_equal(again.threshold, grown.threshold)
-    assert other.threshold.shape != grown.threshold.shape or not np.array_equal(other.threshold, grown.threshold)
+    assert np.array_equal(again.nodes["threshold"], grown.nodes["threshold"])
+    assert not np.array_equal(other.nodes["threshold"], grown.nodes["threshold"])
 
 
 def test_large_table_is_thinned(spark):
@@ -110,3 +115,22 @@ def test_save_and_load(spark, points, grown, tmp_path):
     back = forest.load(spark, str(tmp_path / "forest"))
     sample = np.array([[0.1, 0.2], [8.0, 8.0]])
     assert back.columns == grown.columns and np.array_equal(back.scores(sample), grown.scores(sample))
+
+
+def test_tasks_do_not_need_the_package(tmp_path):
+    """Python tasks of a session whose workers cannot import the package."""
+    script = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from pyspark.sql import SparkSession
+from callmeter.operators import forest
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+df = spark.range(50).selectExpr("id", "double(id) a", "double(id * id) b")
+grown = forest.fit(df, ("a", "b"), ("id",), trees=5)
+print("scored", df.withColumn("s", grown.score_column(df)).where("s < 0").count())
+"""
+    elsewhere = {name: value for name, value in os.environ.items() if name != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=300, env=elsewhere
+    )
+    assert "scored 50" in done.stdout, done.stderr[-2000:]
