@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as registered
+from callmeter.plans import forecast
 from check_oracles import connect, difference
 
 ORACLE = registered.oracle_sql()
@@ -39,6 +40,33 @@ def test_equals_sql(spark, sf_dir, duck, name):
     assert found is None, found
 
 
+def test_forecast_queries(spark, sf_dir, monkeypatch):
+    """The queries on the trained model, with a few trees instead of 300."""
+    monkeypatch.setitem(forecast.SETTINGS, "maxIter", 3)
+    monkeypatch.setattr(registered, "_trained", {})
+    rows = {"cost_forecast": 150, "forecast_metrics": 1, "feature_importance": 16, "batch_score": 1221}
+    run = {name: registered.queries()[name](spark, sf_dir).toArrow() for name in rows}
+    assert {name: table.num_rows for name, table in run.items()} == rows
+    naive = registered.queries()["naive_forecast"](spark, sf_dir).toArrow()
+    assert run["cost_forecast"].schema == naive.schema
+
+
+@pytest.mark.parametrize("name", ["quality_alerts", "quality_forest_scores", "cost_forest_scores"])
+def test_forest_queries(spark, sf_dir, name):
+    table = registered.queries()[name](spark, sf_dir).toPandas()
+    assert table["if_anomaly_score"].between(-1, 0).all()
+    # Below the 5 % quantile lie at most 5 % of the rows, and close to that many.
+    assert 0.03 < table["if_anomaly"].mean() <= 0.06
+
+
+def test_forest_flags_add_to_the_control_limits(spark, sf_dir):
+    both = registered.queries()["quality_alerts"](spark, sf_dir)
+    stat = registered.queries()["quality_alerts_stat"](spark, sf_dir)
+    assert both.dtypes == stat.dtypes
+    keys = ["feedback_date", "model"]
+    assert stat.filter("is_anomaly = 1").join(both.filter("is_anomaly = 0"), keys).isEmpty()
+
+
 def test_differences_are_found(spark, duck, sf_dir):
     """The comparison itself: a change in the last place of one sum must show."""
     result = registered.queries()["team_cost_stats"](spark, sf_dir).toArrow()
