@@ -96,7 +96,8 @@ def messages(calls_df: DataFrame) -> DataFrame:
 
 def prices(spark: SparkSession) -> DataFrame:
     """The price list of the three models."""
-    return spark.createDataFrame(PRICES, "model string, p string, q string, provider string").select(
+    rows = ", ".join(map(str, PRICES))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS prices(model, p, q, provider)").select(
         "model",
         F.col("p").cast(PRICING_SCHEMA["prompt_price_per_1k_tokens"].dataType).alias("prompt_price_per_1k_tokens"),
         F.col("q")
