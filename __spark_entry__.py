@@ -25,6 +25,14 @@ from callmeter.operators.durable import cut_lineage  # noqa: E402
 from callmeter.plans import alerts, anomaly, features, forecast, gold, serving, silver, stats  # noqa: E402
 from callmeter.sources.readers import decode_calls  # noqa: E402
 
+try:  # The subpackage and its pipeline may be absent; the other queries do without.
+    import corpus_pipeline  # noqa: E402
+    from callmeter.llm import registry as llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "callmeter.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = "1998-08-15"
@@ -304,9 +312,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """One entry per operator: (spark, directory of the tables) to DataFrame."""
-    return {name: partial(_run, build) for name, build in _QUERIES.items()}
+    own = {name: partial(_run, build) for name, build in _QUERIES.items()}
+    return own if llm is None else own | {"pipeline": corpus_pipeline.run} | llm.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results in DuckDB's SQL, for every query that SQL can express."""
-    return {name: oracles.sql(name) for name in oracles.QUERIES}
+    own = {name: oracles.sql(name) for name in oracles.QUERIES}
+    return own if llm is None else own | llm.ORACLE_SQL
