@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from callmeter.llm import langid, quality
+from callmeter.llm import decontaminate, langid, lm, ngram_join, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,9 +24,31 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_scores(_table(spark, sf_dir, "documents"))
 
 
+def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(_table(spark, sf_dir, "documents"))
+
+
+def similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = ngram_join.similar_documents(_table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "n_links")
+
+
+def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
+    "op3_packing": packed,
     "op5_quality_classifier": quality_classifier,
     "op6_language_id": language_id,
+    "op7_language_model": language_model,
+    "op8_ngram_jaccard": similar_documents,
+    "op10_decontamination": contamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
