@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from callmeter.llm import decontaminate, langid, lm, ngram_join, packing, quality
+from callmeter.llm import decontaminate, langid, lm, ngram_join, packing, page_text, quality, topk, trie_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,13 +42,50 @@ def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.main_text(_table(spark, sf_dir, "pages"))
+
+
+def web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records(_table(spark, sf_dir, "pages"))
+
+
+def top_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.embedding_neighbours(_table(spark, sf_dir, "embeddings"))
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_main_text": main_text,
+    "op2_top_inner_products": top_neighbours,
     "op3_packing": packed,
+    "op4_web_archives": web_archives,
     "op5_quality_classifier": quality_classifier,
     "op6_language_id": language_id,
     "op7_language_model": language_model,
     "op8_ngram_jaccard": similar_documents,
+    "op9_token_counts": token_counts,
     "op10_decontamination": contamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+TOP_INNER_PRODUCTS_SQL = """
+WITH whole AS (
+  SELECT vec_id, row_number() OVER () AS line, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scores AS (
+  SELECT q.line, q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.line <> c.line
+  WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY line ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_top_inner_products": TOP_INNER_PRODUCTS_SQL}
