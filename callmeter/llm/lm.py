@@ -204,7 +204,7 @@ def _statistics(counts: DataFrame) -> Model:
     unseen = np.zeros(CLASSES)
     unseen[HEAD_CLASSES:END_CLASS] = np.where(tail_words > 0, (once + 0.5) / (tail_n + 1), 1.0)
     mass = np.ones(CLASSES)
-    mass[HEAD_CLASSES:END_CLASS] = tail_n + 0.1 * tail_words
+    mass[HEAD_CLASSES:END_CLASS] = np.maximum(tail_n + 0.1 * tail_words, 0.1)
     size = np.zeros(CLASSES)
     np.add.at(size, np.arange(len(rank)) // CLASS_WORDS, n[rank])
     # A class without words keeps a little, but for those of the head.
