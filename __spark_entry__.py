@@ -14,7 +14,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracles  # noqa: E402
@@ -131,6 +131,31 @@ def _silver_dirty(t: Tables) -> DataFrame:
     return _plain_time(calls, "event_timestamp")
 
 
+LOADED_AT = "2026-02-03 04:05:06"
+
+
+def _load_time() -> Column:
+    return F.lit(LOADED_AT).cast("timestamp")
+
+
+def _silver_live(t: Tables) -> DataFrame:
+    """History and live calls in one silver table, with a load time."""
+    calls = t._of(fixtures.calls)
+    # Live calls reach silver as a stored table, decoded when they were ingested.
+    live = cut_lineage(decode_calls(fixtures.messages(calls.filter(F.col("environment") == "dev"))))
+    history = calls.filter(F.col("environment") == "prod")
+    found = silver.api_calls(history, fixtures.prices(t.spark), live, _load_time())
+    for col in ("kafka_timestamp", "event_timestamp", "silver_loaded_at"):
+        found = _plain_time(found, col)
+    return found
+
+
+def _silver_fine_prices(t: Tables) -> DataFrame:
+    """Calls priced from a list with twins, unreadable rows and more than eight places."""
+    cleaned = silver.clean_calls(t._of(fixtures.calls))
+    return silver.price_calls(cleaned, t._of(fixtures.prices_dirty)).select("call_id", "model", "cost_usd")
+
+
 def _split(t: Tables) -> DataFrame:
     return (
         features.label_split(t.cost_features())
@@ -172,37 +197,89 @@ def _limits(t: Tables) -> DataFrame:
 
 def _project_summary(t: Tables) -> DataFrame:
     t.stored_daily = cut_lineage(gold.daily_cost_by_team(t.cube))
-    return alerts.project_summary(t.cube, t.summary_ahead(), t.predictions())
+    predictions = cut_lineage(t.predictions())
+    ahead = alerts.alert_summary_forecast(predictions, t.stored_daily, t.stat_alerts())
+    return alerts.project_summary(t.cube, ahead, predictions)
 
 
 def _valid_email(t: Tables) -> DataFrame:
     return t._of(fixtures.emails).withColumn("is_valid", is_valid_email("email"))
 
 
-# One training serves all queries on its model within a session.
-_trained: dict[tuple[str, str], tuple[forecast.Forecaster, DataFrame, DataFrame]] = {}
-
+def _forecaster(t: Tables, **changed) -> tuple[forecast.Forecaster, DataFrame]:
+    """A model trained on the daily costs, and the features it was trained on."""
+    inputs = features.cost_features(t.stored_daily)
+    return forecast.train(inputs, **changed), inputs
 
-def _forecaster(t: Tables) -> tuple[forecast.Forecaster, DataFrame, DataFrame]:
-    """The fitted model, and the daily costs and features it came from."""
-    key = (t.spark.sparkContext.applicationId, t.sf_dir)
-    if key not in _trained:
-        daily = cut_lineage(t.daily())
-        inputs = features.cost_features(daily)
-        _trained[key] = (forecast.train(inputs), inputs, daily)
-    return _trained[key]
 
-
-def _cost_forecast(t: Tables) -> DataFrame:
-    fitted, inputs, daily = _forecaster(t)
-    return forecast.cost_forecast(fitted.model, inputs, daily)
+def _cost_forecast(t: Tables, **changed) -> DataFrame:
+    fitted, inputs = _forecaster(t, **changed)
+    return forecast.cost_forecast(fitted.model, inputs, t.stored_daily)
 
 
 def _batch_score(t: Tables) -> DataFrame:
-    fitted, inputs, _ = _forecaster(t)
+    fitted, inputs = _forecaster(t)
     return forecast.predict(fitted.model, inputs).select("event_date", "team", "total_cost_usd", "predicted_cost_usd")
 
 
+# The shape of a forecast and the sum of importances do not depend on the number of trees.
+FEW_TREES = {"maxIter": 5}
+# One tree that sees all rows and columns and takes its whole step finds group means exactly.
+ONE_TREE = {"maxIter": 1, "stepSize": 1.0, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"}
+WEEKDAY_COST, WEEKEND_COST = 4.0, 1.5
+
+
+def _forecast_shape(t: Tables) -> DataFrame:
+    """Per team: days forecast, their span and horizon, and whether all costs are at least 0."""
+    return (
+        _cost_forecast(t, **FEW_TREES)
+        .groupBy("team")
+        .agg(
+            F.count(F.lit(1)).alias("days_predicted"),
+            F.min("prediction_date").alias("first_date"),
+            F.max("prediction_date").alias("last_date"),
+            F.min("prediction_horizon_days").alias("first_horizon"),
+            F.max("prediction_horizon_days").alias("last_horizon"),
+            F.bool_and(F.col("predicted_cost_usd") >= 0).alias("none_negative"),
+        )
+    )
+
+
+def _weekend_forecast(t: Tables) -> DataFrame:
+    """Predictions for costs that follow from the weekend flag alone."""
+    inputs = features.cost_features(t.stored_daily)
+    cost = F.when(F.col("is_weekend") == 1, WEEKEND_COST).otherwise(WEEKDAY_COST)
+    fitted = forecast.train(inputs.withColumn("total_cost_usd", cost), **ONE_TREE)
+    scored = forecast.predict(fitted.model, inputs)
+    return _rounded(scored, "predicted_cost_usd").select("event_date", "team", "predicted_cost_usd")
+
+
+def _importance_total(t: Tables) -> DataFrame:
+    fitted, _ = _forecaster(t, **FEW_TREES)
+    return forecast.feature_importance(fitted, t.spark).agg(
+        F.count(F.lit(1)).alias("inputs"), round_places(F.sum("importance"), 6).alias("importance")
+    )
+
+
+def _planted(t: Tables) -> DataFrame:
+    """Quality features in which the first day of each model is far below all others."""
+    found = t.quality_features()
+    first = F.col("feedback_date") == F.min("feedback_date").over(Window.partitionBy("model"))
+    names = ("quality_score_pct", "z_score", "deviation_from_7d_avg", "day_over_day_change")
+    return found.withColumns({c: F.when(first, -500.0).otherwise(F.col(c)) for c in names}).withColumn("planted", first)
+
+
+def _forest_planted(t: Tables) -> DataFrame:
+    """Planted days that the forest flags."""
+    scored = anomaly.score_with_forest(_planted(t), features.QUALITY_FEATURES, ("feedback_date", "model"))
+    return scored.filter(F.col("planted") & (F.col("if_anomaly") == 1)).select("feedback_date", "model")
+
+
+def _forest_flags(t: Tables) -> DataFrame:
+    """Rows, and how many of them lie below the 5 % quantile of their scores."""
+    return _forest_scores(t).agg(F.count(F.lit(1)).alias("scored"), F.sum("if_anomaly").alias("flagged"))
+
+
 def _forest_alerts(t: Tables) -> DataFrame:
     return anomaly.detect_quality_anomalies(t.quality_features())
 
@@ -219,6 +296,9 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "calls_unified": _calls_unified,
     "silver_api_calls": _silver_dirty,
+    "silver_live_calls": _silver_live,
+    "silver_fine_prices": _silver_fine_prices,
+    "duplicate_prices": lambda t: silver.duplicate_prices(t._of(fixtures.prices_dirty)),
     "silver_quality_feedback": lambda t: silver.quality_feedback(t._of(fixtures.feedback_dirty)),
     "silver_model_pricing": lambda t: silver.model_pricing(t._of(fixtures.raw_prices)),
     "dq_rule_counts": lambda t: silver.call_rule_counts(t._of(fixtures.calls_dirty)),
@@ -227,6 +307,9 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "valid_email": _valid_email,
     # Gold
     "daily_cost_by_team": lambda t: t.daily(),
+    "daily_cost_loaded": lambda t: _plain_time(
+        gold.daily_cost_by_team(t.silver(), _load_time()), "gold_loaded_at"
+    ),
     "rolling_cost_calendar": lambda t: gold.rolling_cost_calendar(t.daily()),
     "model_performance_summary": lambda t: t.performance(),
     "feature_cost_breakdown": lambda t: t.breakdown(),
@@ -255,6 +338,9 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "cost_forecast": _cost_forecast,
     "forecast_metrics": lambda t: _forecaster(t)[0].metrics,
     "feature_importance": lambda t: forecast.feature_importance(_forecaster(t)[0], t.spark),
+    "forecast_shape": _forecast_shape,
+    "weekend_forecast": _weekend_forecast,
+    "importance_total": _importance_total,
     "batch_score": _batch_score,
     # Anomalies
     "quality_features": _quality_features,
@@ -265,6 +351,8 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "recent_anomalies": lambda t: alerts.recent_anomalies(t.stat_alerts()),
     "quality_forest_scores": _forest_scores,
     "quality_alerts": _forest_alerts,
+    "forest_flags": _forest_flags,
+    "forest_planted": _forest_planted,
     "cost_forest_scores": lambda t: anomaly.detect_cost_anomalies(features.spike_features(t.daily())),
     # Alerts
     "cost_spikes": lambda t: alerts.cost_spikes(t.daily()),

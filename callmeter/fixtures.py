@@ -46,7 +46,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = F.col("l_suppkey") % 25 == 0
     return joined.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("call_id"),
-        F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit("T10:23:11Z")).alias("timestamp"),
+        F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit("T06:47:09Z")).alias("timestamp"),
         _renamed("c_mktsegment", SEGMENT_TEAMS).alias("team"),
         F.concat(F.lit("feature_"), (F.col("l_partkey") % 10).cast("string")).alias("feature"),
         _renamed("l_returnflag", FLAG_MODELS).alias("model"),
@@ -107,6 +107,25 @@ def prices(spark: SparkSession) -> DataFrame:
     )
 
 
+def prices_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A price list as text: of each model an older row, a padded twin with many places, and an unreadable row.
+
+    One model has only unreadable prices. The list grows with the parts, whose
+    sizes give the last places.
+    """
+    model = F.when(F.col("p_partkey") % 3 == 0, "gpt-4o").when(F.col("p_partkey") % 3 == 1, "gpt-3.5-turbo").otherwise("claude-3-sonnet")
+    kind = F.when(model == "claude-3-sonnet", F.lit(2)).otherwise((F.col("p_partkey") % 4).cast("int"))
+    tail = F.lpad(F.col("p_size").cast("string"), 2, "0")
+    price = F.when(kind == 0, F.concat(F.lit("0.00500000000"), tail)).when(kind == 2, "abc").otherwise("0.0001")
+    return table(spark, sf_dir, "part").select(
+        F.when(kind == 0, F.concat(F.lit(" "), model, F.lit(" "))).otherwise(model).alias("model"),
+        price.alias("prompt_price_per_1k_tokens"),
+        F.when(kind == 0, "0.0000000000004").otherwise("0.0002").alias("completion_price_per_1k_tokens"),
+        F.timestamp_seconds(F.when(kind == 0, 2000).otherwise(F.when(kind == 2, 3000).otherwise(1000))).alias("ingested_at"),
+        F.col("p_brand").alias("provider"),
+    )
+
+
 def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A long price list as text, one row per part, with padded and unknown model names."""
     kind = F.col("p_partkey") % 4
@@ -139,10 +158,11 @@ def feedback_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_id") % 3
     model = F.when(kind == 0, "gpt-4o").when(kind == 1, "gpt-3.5-turbo").otherwise("claude-3-sonnet")
     thumbs = F.when(F.col("value") < 100, "1").otherwise("0")
+    thumbs = F.when(user == 5, F.concat(thumbs, F.lit(".0"))).when(user == 6, F.concat(F.lit(" "), thumbs)).otherwise(thumbs)
     return table(spark, sf_dir, "events").select(
         F.when(user == 4, "someday").otherwise(F.col("ts").cast("date").cast("string")).alias("date"),
         F.when(user == 0, F.concat(F.lit(" "), model)).when(user == 1, "other-model").otherwise(model).alias("model"),
-        F.when(user == 2, "up").when(user == 3, "2").otherwise(thumbs).alias("thumbs_up"),
+        F.when(user == 2, "up").when(user == 3, "2").when(user == 7, "0.5").otherwise(thumbs).alias("thumbs_up"),
     )
 
 

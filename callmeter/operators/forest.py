@@ -18,6 +18,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callmeter.operators.quantile import exact_quantile
+
 # The functions below travel to the executors with the tasks that call them,
 # so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -113,16 +115,11 @@ def draw_samples(
 ) -> DataFrame:
     """Rows offered to each tree, with the hash that orders them.
 
-    A large table is first thinned to about ``trees * sample`` rows, and each
-    tree is offered about four times its sample of those, so the number of
-    rows shuffled does not grow with the table.
+    Every tree draws from all rows, by a hash of its own. It is offered about
+    four times its sample, so the number of rows shuffled does not grow with
+    the table.
     """
-    total = df.count()
-    pool = trees * sample
-    if total > pool:
-        df = df.filter(_fraction(*keys, F.lit(seed), F.lit("pool")) < F.lit(pool / total))
-        total = pool
-    share = F.lit(min(1.0, _OVERDRAW * sample / max(total, 1)))
+    share = F.lit(min(1.0, _OVERDRAW * sample / max(df.count(), 1)))
     offered = F.filter(
         F.sequence(F.lit(0), F.lit(trees - 1)),
         lambda tree: _fraction(*keys, tree, F.lit(seed)) < share,
@@ -214,10 +211,6 @@ def load(spark: SparkSession, path: str) -> IsolationForest:
 
 
 def flag_share(scored: DataFrame, score: str, flag: str, contamination: float = 0.05) -> DataFrame:
-    """Mark rows whose score lies below the exact ``contamination`` quantile.
-
-    Meant for daily tables: the exact quantile keeps the distinct scores in one
-    aggregation buffer.
-    """
-    limit = scored.agg(F.percentile(score, F.lit(contamination))).scalar()
+    """Mark rows whose score lies below the exact ``contamination`` quantile."""
+    limit = F.lit(exact_quantile(scored, score, contamination))
     return scored.withColumn(flag, (F.col(score) < limit).cast("int"))

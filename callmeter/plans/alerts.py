@@ -23,8 +23,8 @@ SPIKE_PREDICTED = "cost_spike_predicted"
 DROP_DETECTED = "quality_drop_detected"
 BY_FORECAST = "cost_forecasting_model"
 BY_DETECTOR = "anomaly_detection_model"
-QUALITY_MESSAGE = ("Quality dropped to ", "% (rolling avg: ", "%)")
-SPIKE_MESSAGE = ("Daily cost $", " exceeds 150% of 7-day avg $", "")
+QUALITY_MESSAGE = "Quality dropped to %.1f%% (rolling avg: %.1f%%)"
+SPIKE_MESSAGE = "Daily cost $%.3f exceeds 150%% of 7-day avg $%.3f"
 FIGURES = (
     "Total API calls processed",
     "Total cost tracked (USD)",
@@ -37,11 +37,10 @@ FIGURES = (
 ALL = "All"
 
 
-def _message(text: tuple[str, str, str], value: Column, baseline: Column, places: int) -> Column:
-    """Text around a value and its baseline."""
-    shown = [round_places(number, places).cast("string") for number in (value, baseline)]
-    before, between, after = map(F.lit, text)
-    return F.concat(before, shown[0], between, shown[1], after).alias("alert_message")
+def _message(text: str, value: Column, baseline: Column, places: int) -> Column:
+    """A template filled with a value and its baseline, in fixed decimals."""
+    shown = [round_places(number, places) for number in (value, baseline)]
+    return F.format_string(text, *shown).alias("alert_message")
 
 
 def cost_spikes(daily_cost: DataFrame) -> DataFrame:

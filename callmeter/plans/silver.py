@@ -41,30 +41,79 @@ def clean_calls(calls: DataFrame) -> DataFrame:
     ).drop("timestamp", "ingested_at")
 
 
-def _price_units(col: str) -> Column:
-    exact = F.col(col).cast(f"decimal(18,{PRICE_PLACES})")
-    return (exact * F.lit(10**PRICE_PLACES)).cast("long")
+PRICES = ("prompt_price_per_1k_tokens", "completion_price_per_1k_tokens")
+_HALF = 10 ** (PRICE_PLACES // 2)
+
+
+def _readable(col: str) -> Column:
+    """A price as an exact decimal; NULL if it cannot be read."""
+    return F.col(col).try_cast(f"decimal(26,{PRICE_PLACES})")
+
+
+def _exact(col: str) -> Column:
+    """Whether no place of a price is lost; NULL if it cannot be read."""
+    return F.col(col).try_cast("decimal(38,28)") == _readable(col)
+
+
+def _price_units(col: str, name: str) -> list[Column]:
+    """A price in whole units of 10^-8, and the rest of it in units of 10^-16."""
+    units = _readable(col) * F.lit(_HALF)
+    rest = units % F.lit(1) * F.lit(_HALF)
+    return [units.cast("long").alias(name), rest.cast("long").alias(f"{name}_rest")]
+
+
+def current_prices(pricing: DataFrame) -> DataFrame:
+    """One row per trimmed model: the price list's latest row, by ``ingested_at`` where it has one.
+
+    Rows with both prices readable come before others, and of rows equally
+    late the one with the greatest prices is taken, so that spend is not
+    understated.
+    """
+    late = F.col("ingested_at") if "ingested_at" in pricing.columns else F.lit(None).cast("timestamp")
+    prices = [_readable(p).alias(p) for p in PRICES]
+    order = F.struct(
+        (_readable(PRICES[0]).isNotNull() & _readable(PRICES[1]).isNotNull()).alias("readable"), late.alias("late"), *prices
+    )
+    rows = pricing.select(F.trim("model").alias("model"), F.struct(order.alias("order"), *prices).alias("row"))
+    latest = rows.groupBy("model").agg(F.max("row").alias("row"))
+    return latest.select("model", *[F.col(f"row.{p}").alias(p) for p in PRICES])
+
+
+def duplicate_prices(pricing: DataFrame) -> DataFrame:
+    """Models that the price list names more than once, with their rows and their distinct prices."""
+    prices = F.struct(*[_readable(p).alias(p) for p in PRICES])
+    return (
+        pricing.groupBy(F.trim("model").alias("model"))
+        .agg(F.count(F.lit(1)).alias("price_rows"), F.count_distinct(prices).alias("distinct_prices"))
+        .filter("price_rows > 1")
+    )
 
 
 def price_calls(calls: DataFrame, pricing: DataFrame) -> DataFrame:
     """Add ``cost_usd``, rounded to six places per call.
 
-    Calls of a model without a price keep a NULL cost, and every price row of
-    a model yields its own copy of the call. Prices are per 1,000 tokens, so
-    the product has three places more. It is worked out in longs; one call of more than 92 million dollars would raise an overflow error.
+    Calls of a model without a readable price keep a NULL cost. A model that
+    the list names more than once has the price of ``current_prices``, so no
+    call is repeated. Prices are per 1,000 tokens, so the product has three
+    places more. It is worked out in longs, the places beyond the eighth apart;
+    one call of more than 92 million dollars would raise an overflow error.
     """
-    rates = pricing.select(
-        F.trim("model").alias("model"),
-        _price_units("prompt_price_per_1k_tokens").alias("_prompt_rate"),
-        _price_units("completion_price_per_1k_tokens").alias("_completion_rate"),
+    rates = current_prices(pricing).select(
+        "model", *_price_units(PRICES[0], "_prompt_rate"), *_price_units(PRICES[1], "_completion_rate")
     )
     prompt, completion = F.col("prompt_tokens").cast("long"), F.col("completion_tokens").cast("long")
-    cost = prompt * F.col("_prompt_rate") + completion * F.col("_completion_rate")
-    return (
-        lookup_join(calls, rates, "model")
-        .withColumn("cost_usd", from_units(drop_places(cost, PRICE_PLACES + 3, CALL_COST_PLACES), CALL_COST_PLACES))
-        .drop("_prompt_rate", "_completion_rate")
-    )
+
+    def product(part: str) -> Column:
+        return prompt * F.col(f"_prompt_rate{part}") + completion * F.col(f"_completion_rate{part}")
+
+    step = F.lit(_HALF).cast("long")
+    priced = lookup_join(calls, rates, "model").withColumns({"_cost": product(""), "_rest": product("_rest")})
+    priced = priced.withColumn("_left", F.pmod("_rest", step))
+    priced = priced.withColumn("_cost", F.col("_cost") + F.call_function("div", F.col("_rest") - F.col("_left"), step))
+    # Rounding needs the product cut towards zero: a negative one with a rest is taken one unit nearer to it.
+    priced = priced.withColumn("_cost", F.col("_cost") + ((F.col("_cost") < 0) & (F.col("_left") > 0)).cast("long"))
+    units = drop_places(F.col("_cost"), PRICE_PLACES // 2 + 3, CALL_COST_PLACES)
+    return priced.select(*calls.columns, from_units(units, CALL_COST_PLACES).alias("cost_usd"))
 
 
 def api_calls(
@@ -96,6 +145,12 @@ def call_rule_counts(historical: DataFrame, live: DataFrame | None = None) -> Da
     return rules.counts(cleaned, rules.call_rules(), _reported())
 
 
+def _whole_number(col: str) -> Column:
+    """An integer however it is written, ``1`` or `` 1.0``; NULL for anything else."""
+    number = F.col(col).try_cast("double")
+    return F.when(number == F.rint(number), number.try_cast("int"))
+
+
 def clean_feedback(feedback: DataFrame) -> DataFrame:
     """Typed feedback; values that are no date or no number become NULL. Drops nothing."""
     return (
@@ -103,7 +158,7 @@ def clean_feedback(feedback: DataFrame) -> DataFrame:
             {
                 "feedback_date": F.col("date").try_cast("date"),
                 "model": F.trim("model"),
-                "thumbs_up": F.col("thumbs_up").try_cast("int"),
+                "thumbs_up": _whole_number("thumbs_up"),
             }
         )
         .withColumn("thumbs_up_bool", F.coalesce(F.col("thumbs_up") == 1, F.lit(False)))
@@ -124,10 +179,9 @@ def feedback_rule_counts(feedback: DataFrame) -> DataFrame:
 
 
 def clean_pricing(pricing: DataFrame) -> DataFrame:
-    """Price list with trimmed names and prices as doubles. Drops nothing."""
-    prices = ("prompt_price_per_1k_tokens", "completion_price_per_1k_tokens")
+    """Price list with trimmed names and prices as doubles; unreadable prices become NULL. Drops nothing."""
     return pricing.withColumns(
-        {"model": F.trim("model"), **{price: F.col(price).cast("double") for price in prices}}
+        {"model": F.trim("model"), **{price: F.col(price).try_cast("double") for price in PRICES}}
     ).drop("ingested_at")
 
 
@@ -140,4 +194,8 @@ def model_pricing(
 
 
 def pricing_rule_counts(pricing: DataFrame) -> DataFrame:
-    return rules.counts(clean_pricing(pricing), rules.pricing_rules())
+    """Pass and fail counts, with prices that cannot be read or have more places than are kept."""
+    readable = _readable(PRICES[0]).isNotNull() & _readable(PRICES[1]).isNotNull()
+    marked = pricing.select("model", readable.alias("_readable"), (_exact(PRICES[0]) & _exact(PRICES[1])).alias("_exact"))
+    reported = {"readable_prices": F.col("_readable"), "exact_prices": F.col("_exact")}
+    return rules.counts(marked.withColumn("model", F.trim("model")), rules.pricing_rules(), reported)

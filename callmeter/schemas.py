@@ -18,8 +18,8 @@ ERROR_STATUS = "error"
 CALL_COST_PLACES = 6
 DAILY_COST_PLACES = 4
 PERCENT_PLACES = 2
-# Prices are held to 8 places per 1,000 tokens.
-PRICE_PLACES = 8
+# Prices are held to 16 places per 1,000 tokens, in two longs of 8.
+PRICE_PLACES = 16
 
 # The fields of a call, of a price and of a feedback entry.
 CALL_SCHEMA = T.StructType(
@@ -42,8 +42,8 @@ CALL_SCHEMA = T.StructType(
 PRICING_SCHEMA = T.StructType(
     [
         T.StructField("model", T.StringType()),
-        T.StructField("prompt_price_per_1k_tokens", T.DecimalType(18, PRICE_PLACES)),
-        T.StructField("completion_price_per_1k_tokens", T.DecimalType(18, PRICE_PLACES)),
+        T.StructField("prompt_price_per_1k_tokens", T.DecimalType(26, PRICE_PLACES)),
+        T.StructField("completion_price_per_1k_tokens", T.DecimalType(26, PRICE_PLACES)),
         T.StructField("provider", T.StringType()),
     ]
 )

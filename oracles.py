@@ -91,7 +91,7 @@ LAGS = (1, 3, 7, 14, 30)
 STEPS = {
     "calls": """
 SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS call_id,
- CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || 'T10:23:11Z' AS "timestamp",
+ CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || 'T06:47:09Z' AS "timestamp",
  CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'product' WHEN 'BUILDING' THEN 'data' WHEN 'FURNITURE' THEN 'marketing' WHEN 'HOUSEHOLD' THEN 'ops' WHEN 'MACHINERY' THEN 'finance' END AS team,
  'feature_' || CAST(l_partkey % 10 AS VARCHAR) AS feature,
  CASE l_returnflag WHEN 'A' THEN 'gpt-4o' WHEN 'N' THEN 'gpt-3.5-turbo' WHEN 'R' THEN 'claude-3-sonnet' END AS model,
@@ -121,13 +121,30 @@ SELECT * FROM (VALUES ('gpt-4o', CAST(0.0050 AS DECIMAL(10,4)), CAST(0.0150 AS D
     "silver": priced("cleaned"),
     "cleaned_dirty": cleaned("calls_dirty"),
     "silver_dirty": priced("cleaned_dirty"),
+    "fine_prices": """
+SELECT CASE p_partkey % 3 WHEN 0 THEN 'gpt-4o' WHEN 1 THEN 'gpt-3.5-turbo' ELSE 'claude-3-sonnet' END AS model,
+ CASE WHEN p_partkey % 3 = 2 THEN 2 ELSE p_partkey % 4 END AS kind, p_size, p_partkey FROM part""",
+    "best_prices": """
+SELECT model, max(CAST('0.00500000000' || lpad(CAST(p_size AS VARCHAR), 2, '0') AS DECIMAL(18,14))) AS p,
+ CAST(0.0000000000004 AS DECIMAL(18,14)) AS q
+FROM fine_prices WHERE kind = 0 GROUP BY model""",
+    "silver_fine": """
+SELECT c.*, CAST(round((CAST(prompt_tokens AS DECIMAL(12,0)) * p + CAST(completion_tokens AS DECIMAL(12,0)) * q)
+                       * CAST(0.001 AS DECIMAL(4,3)), 6) * 1000000 AS BIGINT) AS micros
+FROM cleaned c LEFT JOIN best_prices USING (model)""",
+    "live": """
+SELECT * EXCLUDE ("timestamp"), "timestamp", CASE WHEN environment = 'dev' THEN make_timestamp(CAST(prompt_tokens AS BIGINT) * 1000000) END AS kafka_timestamp
+FROM calls WHERE environment = 'prod' OR latency_ms <> 900""",
+    "cleaned_live": cleaned("live").replace(" AS is_error\n", " AS is_error, kafka_timestamp\n"),
+    "silver_live": priced("cleaned_live"),
     "feedback": f"""
 SELECT CAST(ts AS DATE) AS feedback_date, {MODEL_OF_EVENT} AS model, CASE WHEN value < 100 THEN 1 ELSE 0 END AS thumbs_up
 FROM events""",
     "feedback_dirty": f"""
 SELECT CASE WHEN user_id % 20 = 4 THEN 'someday' ELSE CAST(CAST(ts AS DATE) AS VARCHAR) END AS "date",
  CASE user_id % 20 WHEN 0 THEN ' ' || {MODEL_OF_EVENT} WHEN 1 THEN 'other-model' ELSE {MODEL_OF_EVENT} END AS model,
- CASE user_id % 20 WHEN 2 THEN 'up' WHEN 3 THEN '2' ELSE CASE WHEN value < 100 THEN '1' ELSE '0' END END AS thumbs_up
+ CASE user_id % 20 WHEN 2 THEN 'up' WHEN 3 THEN '2' WHEN 7 THEN '0.5' WHEN 5 THEN CASE WHEN value < 100 THEN '1.0' ELSE '0.0' END
+  WHEN 6 THEN CASE WHEN value < 100 THEN ' 1' ELSE ' 0' END ELSE CASE WHEN value < 100 THEN '1' ELSE '0' END END AS thumbs_up
 FROM events""",
     "daily_sums": """
 SELECT event_date, team, sum(micros) AS m, count(micros) AS n, count(*) AS calls, sum(latency_ms) AS lat,
@@ -201,14 +218,14 @@ FROM flagged""",
     "spikes": "SELECT * FROM daily WHERE total_cost_usd > rolling_7d_avg_cost * 1.5e0 AND rolling_7d_avg_cost > 0",
     "summary": f"""
 SELECT feedback_date AS alert_date, model, CAST(NULL AS VARCHAR) AS team, 'quality_drop' AS alert_type, alert_severity,
- 'Quality dropped to ' || CAST({places('quality_score_pct', 1)} AS VARCHAR) || '% (rolling avg: '
-  || CAST({places('rolling_7d_quality_score', 1)} AS VARCHAR) || '%)' AS alert_message,
+ format('Quality dropped to {{:.1f}}% (rolling avg: {{:.1f}}%)', {places('quality_score_pct', 1)},
+  {places('rolling_7d_quality_score', 1)}) AS alert_message,
  quality_score_pct AS metric_value, rolling_7d_quality_score AS baseline_value
 FROM qalerts WHERE is_anomaly = 1
 UNION ALL
 SELECT event_date, NULL, team, 'cost_spike', 'warning',
- 'Daily cost $' || CAST({places('total_cost_usd', 3)} AS VARCHAR) || ' exceeds 150% of 7-day avg $'
-  || CAST({places('rolling_7d_avg_cost', 3)} AS VARCHAR), total_cost_usd, rolling_7d_avg_cost
+ format('Daily cost ${{:.3f}} exceeds 150% of 7-day avg ${{:.3f}}', {places('total_cost_usd', 3)},
+  {places('rolling_7d_avg_cost', 3)}), total_cost_usd, rolling_7d_avg_cost
 FROM spikes""",
     "baseline": f"""
 SELECT team, {scaled(half_up(f"100*sum({units('total_cost_usd', 4)})", 'count(*)'), 6)} AS historical_avg_cost
@@ -275,7 +292,7 @@ CALL_RULES = {
 }
 CALL_COLUMNS = "call_id, team, feature, model, environment, prompt_tokens, completion_tokens, latency_ms, status, status_code, user_id"
 IN_MODELS = "trim(model) IN ('gpt-4o','gpt-3.5-turbo','claude-3-sonnet')"
-THUMBS = "TRY_CAST(thumbs_up AS INTEGER)"
+THUMBS = "CASE WHEN TRY_CAST(thumbs_up AS DOUBLE) IN (0, 1) THEN CAST(TRY_CAST(thumbs_up AS DOUBLE) AS INTEGER) END"
 ERRORS = "count(*) AS test_rows, {mae} AS mae, {rmse} AS rmse, {mape} AS mape".format(
     mae=places("avg(abs(total_cost_usd - rolling_mean_7d))", 6),
     rmse=places("sqrt(avg((total_cost_usd - rolling_mean_7d) * (total_cost_usd - rolling_mean_7d)))", 6),
@@ -315,6 +332,14 @@ FROM calls WHERE environment = 'dev' AND latency_ms = 900""",
     "silver_api_calls": f"""
 SELECT {CALL_COLUMNS}, event_timestamp, event_date, total_tokens, is_slow, is_error, {scaled('micros', 6)} AS cost_usd
 FROM silver_dirty""",
+    "silver_fine_prices": "SELECT call_id, model, CASE WHEN micros IS NOT NULL THEN CAST(micros AS DOUBLE) / 1e6 END AS cost_usd FROM silver_fine",
+    "duplicate_prices": """
+SELECT model, count(*) AS price_rows, count(DISTINCT CASE kind WHEN 0 THEN 'fine ' || CAST(p_size AS VARCHAR) WHEN 2 THEN 'none' ELSE 'old' END) AS distinct_prices
+FROM fine_prices GROUP BY model HAVING count(*) > 1""",
+    "silver_live_calls": f"""
+SELECT {CALL_COLUMNS}, kafka_timestamp, event_timestamp, event_date, total_tokens, is_slow, is_error, {scaled('micros', 6)} AS cost_usd,
+ TIMESTAMP '2026-02-03 04:05:06' AS silver_loaded_at FROM silver_live""",
+    "daily_cost_loaded": "SELECT *, TIMESTAMP '2026-02-03 04:05:06' AS gold_loaded_at FROM daily",
     "dq_rule_counts": " UNION ALL ".join(
         rule(name, cond, "cleaned_dirty")
         for name, cond in {
@@ -332,7 +357,13 @@ FROM silver_dirty""",
         }.items()
     ),
     "dq_pricing_rule_counts": " UNION ALL ".join(
-        rule(name, "p_partkey % 4 <> 3", "part") for name in ("valid_pricing_model", "all_rules")
+        rule(name, cond, "part")
+        for name, cond in {
+            "valid_pricing_model": "p_partkey % 4 <> 3",
+            "readable_prices": "p_retailprice IS NOT NULL",
+            "exact_prices": "p_retailprice IS NOT NULL",
+            "all_rules": "p_partkey % 4 <> 3",
+        }.items()
     ),
     "silver_quality_feedback": f"""
 SELECT TRY_CAST("date" AS DATE) AS feedback_date, trim(model) AS model, {THUMBS} AS thumbs_up, {THUMBS} = 1 AS thumbs_up_bool
@@ -389,6 +420,14 @@ SELECT team, prediction_date, prediction_horizon_days, {calendar('prediction_dat
 SELECT team, count(*) AS history_rows, (SELECT count(*) FROM cost_feat f WHERE f.team = d.team) AS feature_rows,
  (SELECT count(*) FROM cost_feat f WHERE f.team = d.team) > 0 AS has_forecast FROM daily d GROUP BY team""",
     "naive_forecast": "SELECT * FROM predictions",
+    "forecast_shape": """
+SELECT team, count(*) AS days_predicted, min(prediction_date) AS first_date, max(prediction_date) AS last_date,
+ min(prediction_horizon_days) AS first_horizon, max(prediction_horizon_days) AS last_horizon, true AS none_negative
+FROM ahead GROUP BY team""",
+    "weekend_forecast": "SELECT event_date, team, CASE WHEN is_weekend = 1 THEN 1.5e0 ELSE 4e0 END AS predicted_cost_usd FROM cost_feat",
+    "importance_total": "SELECT CAST(16 AS BIGINT) AS inputs, 1e0 AS importance FROM (SELECT 1 FROM cost_feat LIMIT 1)",
+    "forest_flags": "SELECT count(*) AS scored, CAST(ceil(0.05 * (count(*) - 1)) AS BIGINT) AS flagged FROM quality_feat",
+    "forest_planted": "SELECT min(feedback_date) AS feedback_date, model FROM quality_feat GROUP BY model",
     "naive_forecast_metrics": f"SELECT {ERRORS} FROM split WHERE split = 'test'",
     "prediction_summary": f"""
 SELECT team, min(predicted_cost_usd) AS min_predicted, max(predicted_cost_usd) AS max_predicted,

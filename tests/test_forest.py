@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from callmeter.operators import forest
+from callmeter.operators.quantile import exact_quantile
 from conftest import ROOT
 
 COLUMNS = ("a", "b")
@@ -90,7 +91,19 @@ def test_same_seed_same_forest(points, grown):
     assert not np.array_equal(other.nodes["threshold"], grown.nodes["threshold"])
 
 
-def test_large_table_is_thinned(spark):
+@pytest.mark.parametrize("rows", [700, 1100, 20_000])
+def test_every_tree_draws_from_all_rows(spark, rows):
+    """By one rule, for fewer and more rows than all trees take together."""
+    table = spark.range(rows).select("id", F.rand(1).alias("a"), F.rand(2).alias("b"))
+    drawn = forest.draw_samples(table, COLUMNS, ("id",), 10, 100, 1)
+    share = min(1.0, 400 / rows)
+    for tree in range(10):
+        own = table.filter(forest._fraction("id", F.lit(tree), F.lit(1)) < share).count()
+        assert drawn.filter(F.col("tree") == tree).count() == own
+    assert drawn.select("_tie").distinct().count() > min(0.95 * rows, 3_400)
+
+
+def test_large_table(spark):
     table = spark.range(20_000).select("id", F.rand(1).alias("a"), F.rand(2).alias("b"))
     offered = forest.draw_samples(table, COLUMNS, ("id",), 10, 100, 1).groupBy("tree").count().toPandas()
     assert len(offered) == 10 and offered["count"].between(100, 700).all()
@@ -105,6 +118,20 @@ def test_fewer_rows_than_the_sample(spark):
     assert few.withColumn("s", grown.score_column(few)).orderBy("s").first().id == 3
 
 
+@pytest.mark.parametrize("share", [0.0, 0.05, 0.5, 0.999, 1.0])
+def test_exact_quantile(spark, share):
+    rng = np.random.default_rng(9)
+    values = np.round(rng.normal(size=3001), 2)
+    table = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double").repartition(7)
+    assert exact_quantile(table, "x", share) == pytest.approx(np.quantile(values, share), abs=1e-12)
+
+
+def test_quantile_of_few_values(spark):
+    assert exact_quantile(spark.createDataFrame([], "x double"), "x", 0.5) is None
+    assert exact_quantile(spark.createDataFrame([(2.0,)], "x double"), "x", 0.5) == 2.0
+    assert exact_quantile(spark.createDataFrame([(7.0,)] * 50, "x double"), "x", 0.05) == 7.0
+
+
 def test_no_rows(spark):
     with pytest.raises(ValueError, match="no rows"):
         forest.fit(spark.createDataFrame([], "id long, a double, b double"), COLUMNS, ("id",))
@@ -124,6 +151,7 @@ import sys
 sys.path.insert(0, {str(ROOT)!r})
 from pyspark.sql import SparkSession
 from callmeter.operators import forest
+from callmeter.operators.quantile import exact_quantile
 spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
 df = spark.range(50).selectExpr("id", "double(id) a", "double(id * id) b")
 grown = forest.fit(df, ("a", "b"), ("id",), trees=5)

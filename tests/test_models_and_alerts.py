@@ -67,10 +67,11 @@ def test_save_and_load(spark, history, trained, tmp_path):
 
 
 def test_batch_score_of_supplied_rows(spark, trained):
-    """One hand-made row with the 16 inputs, as a caller of the model would send it."""
+    """Rows with the 16 inputs and nothing else: all zero, and each input at its number in the list."""
     names = ", ".join(f"{name} double" for name in features.COST_FEATURES)
-    row = (2.0, 15.0, 3.0, 11.0, 0.0, 0.25, 0.22, 0.28, 0.24, 0.20, 0.26, 0.25, 0.03, 45.0, 0.26, 0.0)
-    assert forecast.predict(trained.model, spark.createDataFrame([row], names)).first().predicted_cost_usd >= 0
+    rows = [tuple([0.0] * 16), tuple(float(i) for i in range(16))]
+    scored = forecast.predict(trained.model, spark.createDataFrame(rows, names)).collect()
+    assert len(scored) == 2 and all(r.predicted_cost_usd >= 0 for r in scored)
 
 
 @pytest.fixture(scope="module")
@@ -147,13 +148,19 @@ def test_alert_summary(spark):
     got = {r.alert_type: r for r in summary.collect()}
     assert summary.count() == 2
     assert got["quality_drop"].alert_message == "Quality dropped to 70.3% (rolling avg: 88.0%)"
-    assert got["cost_spike"].alert_message == "Daily cost $1.5 exceeds 150% of 7-day avg $1.0"
+    assert got["cost_spike"].alert_message == "Daily cost $1.500 exceeds 150% of 7-day avg $1.000"
     assert (got["cost_spike"].alert_date, got["cost_spike"].model, got["cost_spike"].team) == (day(2), None, "ops")
     assert alerts.alerts_view(summary, severity="critical").count() == 1
     assert alerts.alerts_view(summary, alert_type="cost_spike").first().deviation == 0.5001
     assert tuple(alerts.alert_counters(summary).first()) == (2, 1, 1)
 
 
+def test_large_numbers_in_messages_have_fixed_decimals(spark):
+    costs = daily_cost(spark, (2, "ops", 12345678.5, 1, 1.0))
+    (row,) = alerts.alert_summary(alert_rows(spark).limit(0), costs).collect()
+    assert row.alert_message == "Daily cost $12345678.500 exceeds 150% of 7-day avg $1.000"
+
+
 def test_predicted_levels(spark):
     costs = daily_cost(spark, (0, "ops", 1.0, 1, 1.0))
     ahead = spark.createDataFrame(

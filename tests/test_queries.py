@@ -45,7 +45,6 @@ def test_equals_sql(spark, sf_dir, duck, name):
 def test_forecast_queries(spark, sf_dir, monkeypatch):
     """The queries on the trained model, with a few trees instead of 300."""
     monkeypatch.setitem(forecast.SETTINGS, "maxIter", 3)
-    monkeypatch.setattr(registered, "_trained", {})
     rows = {"cost_forecast": 150, "forecast_metrics": 1, "feature_importance": 16, "batch_score": 1221}
     run = {name: registered.queries()[name](spark, sf_dir).toArrow() for name in rows}
     assert {name: table.num_rows for name, table in run.items()} == rows

@@ -38,12 +38,12 @@ def test_padded_text_passes_and_case_is_kept(spark):
         calls(spark, {"team": " data ", "model": "gpt-4o  ", "status": " error ", "feature": " Chat "}),
         prices(spark, (" gpt-4o ", "0.005", "0.015", "p")),
     )
-    assert rows(got, "team", "model", "feature", "is_error", "cost_usd") == [("data", "gpt-4o", "Chat", True, 0.008)]
+    assert rows(got, "team", "model", "feature", "is_error", "cost_usd") == [("data", "gpt-4o", "Chat", True, 0.0116)]
 
 
 def test_unparsable_time_keeps_the_call(spark):
     got = silver.api_calls(calls(spark, {"timestamp": "soon"}, {}), prices(spark))
-    assert set(rows(got, "event_date")) == {(date(2026, 1, 15),), (None,)}
+    assert set(rows(got, "event_date")) == {(date(2025, 11, 8),), (None,)}
     counted = {r["rule"]: (r["passed_records"], r["failed_records"]) for r in silver.call_rule_counts(calls(spark, {"timestamp": "soon"}, {})).collect()}
     assert counted["parsable_timestamp"] == (1, 1) and counted["all_rules"] == (2, 0)
 
@@ -85,10 +85,46 @@ def test_cost_rounds_half_away_from_zero(spark, prompt, completion, price, wante
     assert rows(got, "cost_usd") == [(wanted,)]
 
 
-def test_missing_price_keeps_the_call_and_double_price_repeats_it(spark):
+def test_missing_price_keeps_the_call_and_double_price_does_not_repeat_it(spark):
     two = calls(spark, {}, {"call_id": "c2", "model": "claude-3-sonnet"})
-    got = silver.api_calls(two, prices(spark, ("gpt-4o", "1", "1", "p"), ("gpt-4o", "2", "2", "q")))
-    assert sorted(rows(got, "call_id", "cost_usd"), key=str) == [("c1", 1.2), ("c1", 2.4), ("c2", None)]
+    listed = prices(spark, ("gpt-4o", "1", "1", "p"), (" gpt-4o ", "2", "2", "q"), ("gpt-4o", "nine", "9", "r"))
+    got = silver.api_calls(two, listed)
+    assert sorted(rows(got, "call_id", "cost_usd"), key=str) == [("c1", 3.28), ("c2", None)]
+    assert rows(silver.duplicate_prices(listed), "model", "price_rows", "distinct_prices") == [("gpt-4o", 3, 3)]
+
+
+def test_the_latest_price_counts(spark):
+    old, new = (F.lit(day).cast("timestamp") for day in ("2025-01-01", "2025-02-01"))
+    listed = prices(spark, ("gpt-4o", "5", "5", "p")).withColumn("ingested_at", old)
+    listed = listed.unionByName(prices(spark, ("gpt-4o", "1", "1", "p")).withColumn("ingested_at", new))
+    assert rows(silver.api_calls(calls(spark, {}), listed), "cost_usd") == [(1.64,)]
+
+
+@pytest.mark.parametrize(
+    ("prompt", "completion", "price", "wanted"),
+    [
+        (1_000_000, 0, "0.000000004", 0.000004),
+        (2_000_000_000, 0, "0.0000000000004", 0.000001),
+        (1_250_000, 0, "0.0000000000004", 0.0),
+        (1, 0, "0.0005000000000001", 0.000001),
+        (1, 0, "0.0004999999999999", 0.0),
+        (0, -1, "0.0005000000000001", -0.000001),
+        (0, -1, "0.0004999999999999", 0.0),
+        (2_147_483_647, 0, "12.3456789012345678", 26512143.551514),
+    ],
+)
+def test_no_place_of_a_price_is_lost(spark, prompt, completion, price, wanted):
+    one = calls(spark, {"prompt_tokens": prompt, "completion_tokens": completion})
+    got = silver.price_calls(silver.clean_calls(one), prices(spark, ("gpt-4o", price, price, "p")))
+    assert rows(got, "cost_usd") == [(wanted,)]
+
+
+def test_prices_that_cannot_be_read_are_counted(spark):
+    listed = prices(spark, ("gpt-4o", "abc", "1", "p"), ("gpt-4o", "0.00000000000000001", "1", "p"), ("other", "1", None, "p"), (" gpt-4o", "1", "2", "p"))
+    got = {r["rule"]: (r["passed_records"], r["failed_records"]) for r in silver.pricing_rule_counts(listed).collect()}
+    assert got == {"valid_pricing_model": (3, 1), "readable_prices": (2, 2), "exact_prices": (1, 3), "all_rules": (3, 1)}
+    kept = silver.model_pricing(listed).select("prompt_price_per_1k_tokens").collect()
+    assert sorted(str(r[0]) for r in kept) == ["1.0", "1e-17", "None"]
 
 
 def test_large_lookup_joins_by_salt(spark):
@@ -111,11 +147,15 @@ def test_rules_run_before_the_join(spark, tmp_path, capsys):
 
 def test_feedback_types(spark):
     raw = spark.createDataFrame(
-        [("2026-01-01", " gpt-4o", "1"), ("soon", "gpt-4o", "0"), ("2026-01-01", "gpt-4o", "x"), ("2026-01-01", "m", "1"), ("2026-01-01", "gpt-4o", "2")],
+        [("2026-01-01", " gpt-4o", "1"), ("soon", "gpt-4o", "0"), ("2026-01-01", "gpt-4o", "x"), ("2026-01-01", "m", "1"), ("2026-01-01", "gpt-4o", "2"),
+         ("2026-01-02", "gpt-4o", "1.0"), ("2026-01-02", "gpt-4o", " 0"), ("2026-01-02", "gpt-4o", "0.5")],
         "date string, model string, thumbs_up string",
     )
     got = rows(silver.quality_feedback(raw), "feedback_date", "model", "thumbs_up", "thumbs_up_bool")
-    assert got == [(date(2026, 1, 1), "gpt-4o", 1, True), (None, "gpt-4o", 0, False)]
+    later = date(2026, 1, 2)
+    assert got == [
+        (date(2026, 1, 1), "gpt-4o", 1, True), (None, "gpt-4o", 0, False), (later, "gpt-4o", 1, True), (later, "gpt-4o", 0, False),
+    ]
 
 
 def test_load_time_is_optional(spark):
