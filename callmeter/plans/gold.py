@@ -97,25 +97,36 @@ def rolling_cost_calendar(daily_cost: DataFrame) -> DataFrame:
     return with_rolling_mean(costs, "rolling_7_calendar_days", "total_cost_usd", DAILY_COST_PLACES, frame)
 
 
+def _users(approximate: bool) -> Column:
+    return (F.approx_count_distinct if approximate else F.count_distinct)("user_id").alias("unique_users")
+
+
+def daily_users(calls: DataFrame, approximate: bool = False) -> DataFrame:
+    """Distinct users per day and model, which do not add up from a finer grain."""
+    return calls.groupBy("event_date", "model").agg(_users(approximate))
+
+
 def model_performance_summary(
     calls: DataFrame,
     loaded_at: Column | None = None,
     approximate_users: bool = False,
     cube: DataFrame | None = None,
+    users: DataFrame | None = None,
 ) -> DataFrame:
     """Latency, errors, cost and distinct users per day and model.
 
     Exact distinct users shuffle on (date, model, user) first, so one hot
     model spreads over its users. ``approximate_users`` trades that shuffle
     for a sketch. With a ``cube`` at hand the calls are read for their users
-    only: three columns, and rows of three columns in the shuffle.
+    only: three columns, and rows of three columns in the shuffle; with the
+    ``daily_users`` as well they are not read at all.
     """
-    users = (F.approx_count_distinct if approximate_users else F.count_distinct)("user_id").alias("unique_users")
     if cube is None:
-        daily = roll_up(calls, "event_date", "model", extra=(users,))
+        daily = roll_up(calls, "event_date", "model", extra=(_users(approximate_users),))
     else:
         daily = roll_up(cube, "event_date", "model")
-        counted = calls.groupBy(F.col("event_date").alias("_date"), F.col("model").alias("_model")).agg(users)
+        counted = daily_users(calls, approximate_users) if users is None else users
+        counted = counted.withColumnsRenamed({"event_date": "_date", "model": "_model"})
         same = F.col("event_date").eqNullSafe(F.col("_date")) & F.col("model").eqNullSafe(F.col("_model"))
         daily = daily.join(counted, same).drop("_date", "_model")
     summary = daily.select(

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Observation
+from collections.abc import Sequence
+from datetime import date
+
+from pyspark.sql import Column, Observation
 from pyspark.sql import functions as F
 
-from callmeter.operators.durable import cut_lineage
 from callmeter.plans import alerts, anomaly, features, forecast, gold, silver
 from callmeter.schemas import TABLES
-from callmeter.sources.lake import Lake
+from callmeter.sources.lake import Lake, on_dates
 
 
 def refresh_silver(lake: Lake, by_day: bool = False) -> dict[str, dict[str, int]]:
@@ -38,14 +40,35 @@ def refresh_silver(lake: Lake, by_day: bool = False) -> dict[str, dict[str, int]
     return {table: observation.get for table, observation in counted.items()}
 
 
-def refresh_gold(lake: Lake) -> None:
-    """The four daily tables, with two reads of the calls: one for the cube, one for distinct users."""
+def touched_dates(lake: Lake, since: Column) -> list[date | None]:
+    """The dates of calls that reached the bronze tables at ``since`` or later; None stands for times that do not parse."""
+    calls = silver.unify_calls(lake.load("bronze", "api_calls_historical"), lake.load_if_exists("bronze", "api_calls_live"))
+    found = silver.clean_calls(calls.filter(F.col("ingested_at") >= since)).select("event_date").distinct()
+    return [row["event_date"] for row in found.collect()]
+
+
+def refresh_gold(lake: Lake, dates: Sequence[date | None] | None = None) -> None:
+    """The cube of calls, their daily users and the four daily tables.
+
+    With ``dates``, those that ``touched_dates`` names, only the calls of these
+    dates are read, and their part of the stored cube and users is replaced; a
+    silver table in folders by day lets Spark skip all others. The daily
+    tables, whose rolling means reach over following days, are made anew from
+    the cube, whose size does not depend on the number of calls.
+    """
     now = F.current_timestamp()
     calls = lake.load("silver", "api_calls")
-    cube = cut_lineage(gold.call_cube(calls))
+    if dates is None:
+        cube = lake.materialize(gold.call_cube(calls), "gold", "call_cube")
+        users = lake.materialize(gold.daily_users(calls), "gold", "daily_users")
+    else:
+        calls = calls.filter(on_dates("event_date", dates))
+        cube = lake.replace_dates(gold.call_cube(calls), "gold", "call_cube", "event_date", dates)
+        users = lake.replace_dates(gold.daily_users(calls), "gold", "daily_users", "event_date", dates)
     lake.materialize(gold.daily_cost_by_team(cube, now), "gold", "daily_cost_by_team")
     lake.materialize(gold.feature_cost_breakdown(cube, now), "gold", "feature_cost_breakdown")
-    lake.materialize(gold.model_performance_summary(calls, now, cube=cube), "gold", "model_performance_summary")
+    performance = gold.model_performance_summary(calls, now, cube=cube, users=users)
+    lake.materialize(performance, "gold", "model_performance_summary")
     feedback = lake.load("silver", "quality_feedback")
     lake.materialize(gold.quality_score_daily(feedback, now), "gold", "quality_score_daily")
 
@@ -71,5 +94,5 @@ def refresh_alerts(lake: Lake) -> None:
     lake.materialize(alerts.alert_summary(flagged, daily), "gold", "alert_summary")
     ahead = alerts.alert_summary_forecast(predictions, daily, flagged, created_at=F.current_timestamp())
     stored = lake.materialize(ahead, "gold", "alert_summary_forecast")
-    summary = alerts.project_summary(lake.load("silver", "api_calls"), stored, predictions)
+    summary = alerts.project_summary(lake.load("gold", "call_cube"), stored, predictions)
     lake.materialize(summary, "gold", "project_summary")

@@ -61,6 +61,8 @@ TABLES = {
     "bronze": ("api_calls_historical", "api_calls_live", "model_pricing", "quality_feedback"),
     "silver": ("api_calls", "model_pricing", "quality_feedback"),
     "gold": (
+        "call_cube",
+        "daily_users",
         "daily_cost_by_team",
         "model_performance_summary",
         "feature_cost_breakdown",

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callmeter.schemas import TABLES
 
 
+def on_dates(date_col: str, dates: Sequence[date | None]) -> Column:
+    """Whether a date is one of ``dates``, which may hold None."""
+    listed = F.coalesce(F.col(date_col).isin([d for d in dates if d is not None]), F.lit(False))
+    return listed | F.col(date_col).isNull() if None in dates else listed
+
+
 @dataclass(frozen=True)
 class Lake:
     """Tables by layer; ``prefix`` keeps several lakes apart in one catalog."""
@@ -41,19 +49,42 @@ class Lake:
         return self.load(layer, table) if self.exists(layer, table) else None
 
     def materialize(self, df: DataFrame, layer: str, table: str, partition_by: str | None = None) -> DataFrame:
-        """Replace a table by the rows of ``df`` and return the stored table.
-
-        A partitioned table is rebalanced by its partition column first: small
-        partitions end up in one file each, a large one is split over tasks.
+        """Replace a table by the rows of ``df``, which may come from it, and return the stored table.
+
+        The rows are written as a new version, to which a view of the table's
+        name is then switched: if the write fails, the old version stays. The
+        version before is kept for readers that have begun with it, older ones
+        are dropped. A partitioned table is rebalanced by its partition column
+        first: small partitions end up in one file each, a large one is split
+        over tasks.
         """
+        name = self.name(layer, table)
+        versions = self._versions(layer, table)
+        new = f"{name}__{max(versions, default=0) + 1}"
         if partition_by is not None:
             df = df.hint("rebalance", F.col(partition_by))
         writer = df.write.mode("overwrite").format(self.format)
         if partition_by is not None:
             writer = writer.partitionBy(partition_by)
-        writer.saveAsTable(self.name(layer, table))
+        writer.saveAsTable(new)
+        if self.exists(layer, table) and self.spark.catalog.getTable(name).tableType != "VIEW":
+            # A table that was not written by this method, such as one that a stream appended to.
+            self.spark.sql(f"DROP TABLE {name}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {new}")
+        for version in versions[:-1]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}__{version}")
         return self.load(layer, table)
 
+    def _versions(self, layer: str, table: str) -> list[int]:
+        """The numbers of the stored versions, a failed write's among them, in order."""
+        listed = self.spark.catalog.listTables(self.database(layer), f"{table}__*")
+        return sorted(int(t.name.rpartition("__")[2]) for t in listed if t.name.startswith(f"{table}__"))
+
+    def replace_dates(self, df: DataFrame, layer: str, table: str, date_col: str, dates: Sequence[date | None]) -> DataFrame:
+        """Replace the rows of the given dates by ``df``; all other rows stay."""
+        kept = self.load(layer, table).filter(~on_dates(date_col, dates))
+        return self.materialize(kept.unionByName(df), layer, table)
+
     def layer_tables(self) -> DataFrame:
         """The stored tables (layer, table_name)."""
         found = [
@@ -61,6 +92,6 @@ class Lake:
             for layer in TABLES
             if self.spark.catalog.databaseExists(self.database(layer))
             for t in self.spark.catalog.listTables(self.database(layer))
-            if not t.isTemporary
+            if not t.isTemporary and "__" not in t.name
         ]
         return self.spark.createDataFrame(found, "layer string, table_name string")

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from callmeter import fixtures
 from callmeter.plans import gold, refresh, silver
-from callmeter.schemas import CALL_SCHEMA, TABLES
+from callmeter.schemas import CALL_SCHEMA, FEEDBACK_SCHEMA, TABLES
 from callmeter.sources import readers
-from callmeter.sources.lake import Lake
+from callmeter.sources.lake import Lake, on_dates
 from callmeter.streaming.bronze import run_bronze
 
 from builders import CALL
@@ -56,7 +56,9 @@ def test_streams_read_only_new_files(spark, tmp_path):
         return {table: sum(p["numInputRows"] for p in query.recentProgress) for table, query in ended.items()}
 
     first = run()
-    assert first == {"api_calls_historical": 3, "model_pricing": 1, "quality_feedback": 2, "api_calls_live": 2}
+    # Input rows of CSV streams are files.
+    assert first == {"api_calls_historical": 3, "model_pricing": 1, "quality_feedback": 1, "api_calls_live": 2}
+    assert lake.load("bronze", "quality_feedback").count() == 2
     write_json(logs, "b.json", {"call_id": "b1"})
     messages(json.dumps({**CALL, "call_id": "k2"}))
     second = run()
@@ -73,21 +75,85 @@ def test_streams_read_only_new_files(spark, tmp_path):
     counted = refresh.refresh_silver(lake, by_day=True)
     assert counted["api_calls"]["records"] == 7 and counted["api_calls"]["valid_call_id"] == 2
     stored = lake.load("silver", "api_calls")
-    pruned = stored.filter("event_date = date'2026-01-15'").select("cost_usd")
+    pruned = stored.filter("event_date = date'2025-11-08'").select("cost_usd")
     assert "PartitionFilters: [isnotnull(event_date" in pruned._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.call_id for r in stored.collect()) == ["a1", "a2", "b1", "k1", "k2"]
     assert {"kafka_timestamp", "silver_loaded_at", "cost_usd"} <= set(stored.columns)
     assert not {"timestamp", "ingested_at", "provider"} & set(stored.columns)
 
 
-def test_csv_in_another_column_order_is_refused(spark, tmp_path):
+def test_csv_is_read_by_its_header(spark, tmp_path):
+    """Columns in any order and further ones; files that lack a column are refused and listed."""
     votes = tmp_path / "votes"
     votes.mkdir()
-    (votes / "f.csv").write_text("model,date,thumbs_up\ngpt-4o,2026-01-01,1\n")
-    lake = Lake(spark, "refused_")
+    (votes / "a.csv").write_text("date,model,thumbs_up\n2026-01-01,gpt-4o,1\n")
+    (votes / "b.csv").write_bytes(
+        b'\xef\xbb\xbfid,thumbs_up,comment, model ,date\r\n7,0,"so, so",gpt-4o,2026-01-02\r\n8,,"",m\r\n\r\n'
+    )
+    (votes / "c.csv").write_text("date,model\n2026-01-03,gpt-4o\n")
+    (votes / "d.csv").write_text("\n")
+    (votes / "e.csv").write_text("thumbs_up,date,model\n")
+    lake = Lake(spark, "by_header_")
     lake.create()
-    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+    for _ in range(2):
         run_bronze(lake, {"quality_feedback": readers.feedback_csv(spark, str(votes))}, str(tmp_path / "progress"))
+    stored = lake.load("bronze", "quality_feedback")
+    assert sorted((r["date"], r["model"], r["thumbs_up"]) for r in stored.filter("date is not null").collect()) == [
+        ("2026-01-01", "gpt-4o", "1"),
+        ("2026-01-02", "gpt-4o", "0"),
+    ]
+    assert stored.filter("date is null").select("model", "thumbs_up").collect() == [("m", None)]
+    refused = readers.refused_csv(spark, str(votes), FEEDBACK_SCHEMA).collect()
+    assert sorted((r["path"][-5:], r["missing"]) for r in refused) == [
+        ("c.csv", ["thumbs_up"]),
+        ("d.csv", ["date", "model", "thumbs_up"]),
+    ]
+
+
+def test_a_failed_write_leaves_the_old_table(spark):
+    lake = Lake(spark, "swap_")
+    lake.create()
+    good = spark.range(5).withColumn("team", F.lit("ops"))
+    lake.materialize(good, "gold", "cost_predictions")
+    bad = lake.load("gold", "cost_predictions").withColumn("team", F.raise_error(F.lit("broken off")).cast("string"))
+    with pytest.raises(Exception, match="broken off"):
+        lake.materialize(bad, "gold", "cost_predictions")
+    assert lake.load("gold", "cost_predictions").count() == 5
+    # A table may be replaced by rows of its own.
+    lake.materialize(lake.load("gold", "cost_predictions").filter("id < 2"), "gold", "cost_predictions")
+    assert lake.load("gold", "cost_predictions").count() == 2
+    assert [tuple(r) for r in lake.layer_tables().collect()] == [("gold", "cost_predictions")]
+    assert len(spark.catalog.listTables("swap_gold")) <= 3
+
+
+def test_refresh_of_touched_dates_equals_a_full_one(spark, sf_dir):
+    lake = Lake(spark, "dates_")
+    lake.create()
+    early, late = (F.lit(t).cast("timestamp") for t in ("2026-01-01", "2026-01-02"))
+    calls = fixtures.calls_dirty(spark, sf_dir).filter("timestamp LIKE '1995-0%' OR timestamp LIKE 'not%'")
+    days = [r[0] for r in calls.filter("timestamp LIKE '1995%'").select("timestamp").distinct().orderBy("timestamp").take(9)]
+    second = F.col("timestamp").isin(days[3], days[8], "not-a-time")
+    lake.materialize(fixtures.prices(spark), "bronze", "model_pricing")
+    lake.materialize(fixtures.feedback(spark, sf_dir), "bronze", "quality_feedback")
+    lake.materialize(calls.filter(~second).withColumn("ingested_at", early), "bronze", "api_calls_historical")
+    refresh.refresh_silver(lake, by_day=True)
+    refresh.refresh_gold(lake)
+    both = calls.withColumn("ingested_at", F.when(second, late).otherwise(early))
+    lake.materialize(both, "bronze", "api_calls_historical")
+    refresh.refresh_silver(lake, by_day=True)
+    dates = refresh.touched_dates(lake, late)
+    assert {str(d) for d in dates} == {days[3][:10], days[8][:10], "None"}
+    refresh.refresh_gold(lake, dates)
+    names = ("call_cube", "daily_users", "daily_cost_by_team", "feature_cost_breakdown", "model_performance_summary")
+    found = {name: lake.load("gold", name).drop("gold_loaded_at").toPandas() for name in names}
+    refresh.refresh_gold(lake)
+    for name in names:
+        whole = lake.load("gold", name).drop("gold_loaded_at").toPandas()
+        ours, theirs = (x.astype(str).sort_values(list(x.columns)).reset_index(drop=True) for x in (found[name], whole))
+        assert ours.equals(theirs), name
+    touched = lake.load("silver", "api_calls").filter(on_dates("event_date", dates))
+    assert "PartitionFilters: [" in touched._jdf.queryExecution().executedPlan().toString()
+    assert touched.select("event_date").distinct().count() == len(dates)
 
 
 def test_refresh_builds_every_table(spark, sf_dir, tmp_path):
