@@ -12,6 +12,11 @@ DAYS_AHEAD = 30
 
 
 def places(expr: str, digits: int) -> str:
+    return f"round(CAST({expr} AS DOUBLE), {digits})"
+
+
+def decimal_places(expr: str, digits: int) -> str:
+    """For quantiles and means of values with two places: these are short decimals, and often halves."""
     return f"CAST(round(CAST({expr} AS DECIMAL(28,10)), {digits}) AS DOUBLE)"
 
 
@@ -272,10 +277,10 @@ def standard(col: str) -> str:
 
 def described(col: str) -> str:
     plain = col.strip('"')
-    return f"""SELECT '{plain}' AS feature, count({col}) AS "count", {places(f'avg({col})', 3)} AS mean,
- {places(f'stddev_samp({col})', 3)} AS std, {places(f'min({col})', 3)} AS "min",
- {places(f'quantile_cont(CAST({col} AS DOUBLE), 0.25)', 3)} AS p25, {places(f'quantile_cont(CAST({col} AS DOUBLE), 0.5)', 3)} AS p50,
- {places(f'quantile_cont(CAST({col} AS DOUBLE), 0.75)', 3)} AS p75, {places(f'max({col})', 3)} AS "max" FROM quality_feat"""
+    return f"""SELECT '{plain}' AS feature, count({col}) AS "count", {decimal_places(f'avg({col})', 3)} AS mean,
+ {decimal_places(f'stddev_samp({col})', 3)} AS std, {decimal_places(f'min({col})', 3)} AS "min",
+ {decimal_places(f'quantile_cont(CAST({col} AS DOUBLE), 0.25)', 3)} AS p25, {decimal_places(f'quantile_cont(CAST({col} AS DOUBLE), 0.5)', 3)} AS p50,
+ {decimal_places(f'quantile_cont(CAST({col} AS DOUBLE), 0.75)', 3)} AS p75, {decimal_places(f'max({col})', 3)} AS "max" FROM quality_feat"""
 
 
 def rule(name: str, cond: str, source: str) -> str:
