@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from callmeter.llm.text import Hasher, find_words, mix, n_grams, seeds, slices
+from callmeter.llm.text import Hasher, find_words, mix, n_grams, release_memory, seeds, slices
 from callmeter.operators.durable import cut_lineage
 
 # Members of a bucket in one block.
@@ -217,6 +217,7 @@ def _verify(units: DataFrame, least: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for batch in batches:
+            release_memory()
             table = pa.Table.from_batches([batch])
             table = table if held is None else pa.concat_tables([held, table])
             key = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("bucket", "low", "high")], axis=1)

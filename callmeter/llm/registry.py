@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from callmeter.llm import decontaminate, langid, lm, ngram_join, packing, page_text, quality, topk, trie_counts, warc
+from callmeter.llm.text import bound_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bound_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Words of many texts at once, as 64-bit hashes in numpy arrays.
 
-Texts come as Arrow batches. A batch is cut into slices of a few megabytes;
+Texts come as Arrow batches. A batch is cut into slices of a megabyte;
 within a slice one pass over the bytes finds all words and one prefix sum of
 a polynomial hash gives the hash of each, without a Python object per word.
 Two different words share a hash with a chance of about 2**-64.
@@ -8,13 +8,20 @@ Two different words share a hash with a chance of about 2**-64.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
+BATCH_LIMITS = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
 
 _U = np.uint64
 
@@ -79,6 +86,20 @@ class Hasher:
         return mix((sums[ends] - sums[starts]) * self._down[starts] + (ends - starts).astype(_U))
 
 
+def bound_batches(spark: SparkSession) -> SparkSession:
+    """Have the session hand batches of at most 8 MB and 2,000 rows to Python, which hold several copies of them."""
+    for key, most in BATCH_LIMITS.items():
+        spark.conf.set(key, most)
+    return spark
+
+
+def release_memory() -> None:
+    """Give memory that earlier batches and tasks of this worker have freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 @dataclass
 class Slice:
     """Some rows of a batch with their text as one array of bytes.
@@ -110,8 +131,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches, column: str = "text") -> Iterator[Slice]:
-    """The rows of the batches in slices of some two megabytes of text, one row at least."""
+    """The rows of the batches in slices of about a megabyte of text, one row at least."""
     for batch in batches:
+        release_memory()
         if batch.num_rows == 0:
             continue
         data, offsets = text_bytes(batch.column(column))

@@ -13,31 +13,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from callmeter.llm import decontaminate, langid, ngram_join, packing, quality
+from callmeter.llm.text import bound_batches
 from callmeter.operators.durable import ensure_checkpoint_dir
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    return quality.keep_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.keep_quality(docs, bound_batches(spark).read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is determined."""
+    bound_batches(spark)
     return langid.keep_identified(docs)
 
 
 def deduplication_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of least id."""
+    bound_batches(spark)
     return ngram_join.keep_one_of_each(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.drop_contaminated(docs, bound_batches(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces in training sequences."""
+    bound_batches(spark)
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return packing.pack_documents(docs, ranks, public_tokenizers.PATTERN)
 
