@@ -26,8 +26,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from callmeter.llm.text import Hasher, Slice, find_words, n_grams, slices
@@ -275,6 +276,7 @@ def contamination(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Da
             StructField("end_word", LongType()),
         ]
     )
+    item_type = to_arrow_type(item_field.dataType)
     found = docs.sparkSession.createDataFrame([], schema)
     for block in _blocks(items, docs):
         ids = [r["item_id"] for r in block]
@@ -295,7 +297,7 @@ def contamination(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Da
                 yield pa.RecordBatch.from_arrays(
                     [
                         s.rows.column(0).take(rows),
-                        pa.array([item for _, item in best], _arrow(item_field)),
+                        pa.array([item for _, item in best], item_type),
                         pa.array([v[0] for v in best.values()], pa.float64()),
                         pa.array([-v[1] for v in best.values()], pa.int64()),
                         pa.array([v[2] for v in best.values()], pa.int64()),
@@ -307,10 +309,6 @@ def contamination(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Da
     return found
 
 
-def _arrow(field: StructField) -> pa.DataType:
-    return pa.int64() if field.dataType.typeName() in ("long", "bigint") else pa.int32()
-
-
 def drop_contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     """The rows of ``docs``, all columns, that match no item."""
     context = docs.sparkSession.sparkContext

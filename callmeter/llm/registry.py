@@ -89,4 +89,44 @@ WITH whole AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_top_inner_products": TOP_INNER_PRODUCTS_SQL}
+WEB_ARCHIVES_SQL = """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS sha,
+    row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id DESC NULLS LAST) AS place,
+    max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last_id
+  FROM pages
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + (CAST('0x' || substr(sha, CAST(1 + 5 * (i // 4) AS INTEGER), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) % 32, 1)), '') AS payload_digest,
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN last_id END AS refers_to
+FROM payloads
+"""
+
+NGRAM_JACCARD_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, row_number() OVER () AS line, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\\x{80}-\\x{10ffff}]+') AS w
+  FROM documents
+), grams AS (
+  SELECT DISTINCT line, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS gram
+  FROM words
+), sizes AS (
+  SELECT line, count(*) AS size FROM grams GROUP BY line
+), common AS (
+  SELECT a.line AS a, b.line AS b, count(*) AS shared FROM grams a JOIN grams b ON a.gram = b.gram AND a.line <> b.line GROUP BY a.line, b.line
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.line = a JOIN sizes y ON y.line = b WHERE 10 * shared >= 8 * (x.size + y.size - shared)
+), reach AS (
+  SELECT line AS a, line AS b FROM words UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), classes AS (
+  SELECT reach.a AS line, min(doc_id) AS class_id FROM reach JOIN words ON words.line = reach.b GROUP BY reach.a
+)
+SELECT doc_id, class_id, (SELECT count(*) FROM links WHERE links.a = words.line) AS n_links FROM words JOIN classes USING (line)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_top_inner_products": TOP_INNER_PRODUCTS_SQL,
+    "op4_web_archives": WEB_ARCHIVES_SQL,
+    "op8_ngram_jaccard": NGRAM_JACCARD_SQL,
+}

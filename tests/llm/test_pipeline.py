@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pytest
+
+import __spark_entry__ as registered
 import corpus_pipeline
 from callmeter.llm import registry
+from check_oracles import connect, difference
 from tests.llm.cases import clashing, documents
 
-import __spark_entry__ as registered
-
 
 def test_registered():
     names = set(registered.queries())
@@ -16,6 +18,12 @@ def test_registered():
     assert set(registry.ORACLE_SQL) <= set(registry.QUERIES)
 
 
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
+def test_equals_sql(spark, sf_dir, name):
+    result = registry.QUERIES[name](spark, sf_dir).toArrow()
+    assert difference(result, connect(sf_dir).sql(registry.ORACLE_SQL[name]).to_arrow_table()) is None
+
+
 def test_stages(spark, sf_dir, tmp_path):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns, before = docs.columns, {r["doc_id"] for r in docs.collect()}
