@@ -1,13 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: rare word pairs find passages, Smith-Waterman alignment scores them.
 
 Words are runs of letters and digits, folded to lower case (A to Z and
-Latin-1). The seeds of a test item are the rarer half of its word trigrams, at
-least eight, by their count over the whole corpus; of equal counts those of
-lower hash. Hits of an item's seeds in a document that lie on nearby diagonals
-make one candidate, if there are at least two (one, for items with fewer than
-eight trigrams). The stretch of the document around it is aligned with the
-item, word by word: +1 for a match, -1 for a mismatch or gap. The score is the
-best local alignment divided by the words of the item; 0.5 or more is a match.
+Latin-1). A document is aligned with an item word by word: +1 for a match, -1
+for a mismatch or gap. The score is the best local alignment divided by the
+words of the item; 0.5 or more is a match.
+
+Seeds are word pairs. An alignment of score s with e edits has s + e matches in
+at most e + 1 runs, so at least s - 1 pairs of adjacent words of the item are
+in the document as they are. Pairs that the corpus lacks cannot be among them.
+Of the others the most frequent are left out, no more than keep ``need`` of
+those s - 1 hits certain. Insertions and deletions move an alignment over at
+most (words of the item - s) diagonals; where ``need`` hits lie that close, the
+stretch of the document around them is aligned. So no match is missed.
 
 Items of over ``SEGMENT`` words are compared segment by segment and score as
 their best segment. Items of fewer than ``MIN_WORDS`` words, null ones among
@@ -16,7 +20,7 @@ documents are compared as often as they occur; a repeated id of an item gets
 the best score of its rows.
 
 Items are broadcast in blocks of a bounded number of words, one scan of the
-documents for each block; a fixed-size bitmap of trigrams serves the counts.
+documents for each block; a fixed-size bitmap of word pairs serves the counts.
 """
 
 from __future__ import annotations
@@ -34,11 +38,10 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from callmeter.llm.text import Hasher, Slice, find_words, n_grams, slices
 from callmeter.operators.durable import cut_lineage
 
-GRAM = 3
+GRAM = 2
 MIN_WORDS = 5
 SEGMENT = 256
 LEAST = 0.5
-MIN_SEEDS = 8
 # Words of test items in one broadcast.
 BLOCK_WORDS = 1 << 20
 _BITS = 24
@@ -72,27 +75,32 @@ def _segments(items: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _trigrams(words: np.ndarray) -> np.ndarray:
+def _pairs(words: np.ndarray) -> np.ndarray:
     whole = Slice(None, None, None, hashes=words, first=np.array([0, len(words)]))
     return n_grams(whole, GRAM)[0]
 
 
 def _segment_grams(segments: DataFrame) -> DataFrame:
-    """The distinct trigrams of each segment."""
+    """The distinct word pairs of each segment, and how often each is in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 one = batch.slice(row, 1)
                 words = np.frombuffer(one.column(2)[0].as_py(), dtype=np.uint64)
-                grams = np.unique(_trigrams(words)).view(np.int64)
+                grams, times = np.unique(_pairs(words), return_counts=True)
                 repeat = pa.array(np.zeros(len(grams), np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [one.column(0).take(repeat), one.column(1).take(repeat), one.column(2).take(repeat), pa.array(grams)],
-                    names=["item_id", "segment", "words", "gram"],
+                    [
+                        *(one.column(k).take(repeat) for k in range(3)),
+                        pa.array(grams.view(np.int64)),
+                        pa.array(times.astype(np.int64)),
+                    ],
+                    names=["item_id", "segment", "words", "gram", "times"],
                 )
 
-    return segments.mapInArrow(run, StructType([*segments.schema.fields, StructField("gram", LongType())]))
+    added = [StructField("gram", LongType()), StructField("times", LongType())]
+    return segments.mapInArrow(run, StructType([*segments.schema.fields, *added]))
 
 
 def _bitmap(grams: DataFrame) -> np.ndarray:
@@ -113,7 +121,7 @@ def _marked(bitmap: np.ndarray, grams: np.ndarray) -> np.ndarray:
 
 
 def _corpus_counts(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """Counts over the documents of the trigrams that the bitmap lets through."""
+    """Counts over the documents of the word pairs that the bitmap lets through."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,33 +134,42 @@ def _corpus_counts(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
     return docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def _seeds(segments: DataFrame, docs: DataFrame) -> DataFrame:
-    """Rows (item_id, segment, words, grams): the rarer half of each segment's trigrams."""
+def _seeds(segments: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+    """Rows (item_id, segment, words, grams, need): the segments that the corpus may hold, with their seeds.
+
+    Every alignment that reaches ``least`` hits at least ``need`` of the places of the seeds.
+    """
+    segments = cut_lineage(segments.dropDuplicates())
     grams = _segment_grams(segments)
-    counts = _corpus_counts(docs, _bitmap(grams))
-    ranked = grams.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    counted = grams.join(_corpus_counts(docs, _bitmap(grams)), "gram")
+    # Pairs that an alignment has for certain, and how many of them are to be hits of seeds.
+    sure = F.ceil(F.lit(least) * (F.length("words") / 8)) - 1
+    counted = counted.withColumn("sure", sure).withColumn("few", F.greatest(F.least(F.lit(2), "sure"), F.floor(F.col("sure") / 4)))
     own = Window.partitionBy("item_id", "segment", "words")
-    ranked = ranked.withColumns(
-        {"rank": F.row_number().over(own.orderBy("n", "gram")), "all": F.count(F.lit(1)).over(own)}
-    )
-    chosen = ranked.filter(F.col("rank") <= F.greatest(F.ceil(F.col("all") / 2), F.lit(MIN_SEEDS)))
-    return chosen.groupBy("item_id", "segment", "words").agg(F.collect_set("gram").alias("grams"))
+    common = own.orderBy(F.desc("n"), F.desc("gram")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = counted.withColumns({"left_out": F.sum("times").over(common), "all": F.sum("times").over(own)})
+    chosen = counted.filter((F.col("all") >= F.col("sure")) & (F.col("left_out") > F.col("sure") - F.col("few")))
+    need = F.first("sure") - (F.first("all") - F.sum("times"))
+    return chosen.groupBy("item_id", "segment", "words").agg(F.collect_set("gram").alias("grams"), need.cast("long").alias("need"))
 
 
 class _Items:
     """Segments and their seeds, indexed for the scan."""
 
-    def __init__(self, words: list[bytes], grams: list[list[int]]):
+    def __init__(self, words: list[bytes], grams: list[list[int]], need: list[int], least: float):
+        self.least = least
         self.words = [np.frombuffer(w, dtype=np.uint64) for w in words]
         seed, item, place = [], [], []
-        self.need = np.zeros(len(words), dtype=np.int64)
+        self.need = np.array(need, dtype=np.int64)
+        self.size = np.array([len(w) for w in self.words], dtype=np.int64)
+        # Diagonals over which an alignment can stretch.
+        self.slack = self.size - np.ceil(least * self.size).astype(np.int64)
         for i, (own, chosen) in enumerate(zip(self.words, grams, strict=True)):
-            all_grams = _trigrams(own)
+            all_grams = _pairs(own)
             at = np.flatnonzero(np.isin(all_grams, np.array(chosen, dtype=np.int64).view(np.uint64)))
             seed.append(all_grams[at])
             item.append(np.full(len(at), i))
             place.append(at)
-            self.need[i] = 2 if len(chosen) >= MIN_SEEDS else 1
         seed, item, place = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (seed, item, place))
         seed = seed.astype(np.uint64)
         order = np.argsort(seed, kind="stable")
@@ -174,30 +191,46 @@ class _Items:
         at, found = at[real], found[real]
         times = self.at[found + 1] - self.at[found]
         row = np.searchsorted(first, at, "right") - 1
+        # Whole rows of the slice at a time, of a bounded number of hits but for the last row.
+        before = np.cumsum(times) - times
+        part = before[np.searchsorted(row, row)] // _CELLS
+        cuts = np.flatnonzero(np.diff(part)) + 1
+        counts = np.diff(s.first)
+        out = [np.zeros((0, 4), np.int64)]
+        for now in np.split(np.arange(len(at)), cuts):
+            out.append(self._stretches(row[now], at[now] - first[row[now]], found[now], times[now], counts))
+        return np.concatenate(out)
+
+    def _stretches(self, row: np.ndarray, place: np.ndarray, found: np.ndarray, times: np.ndarray, counts: np.ndarray) -> np.ndarray:
         offset = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         entry = np.repeat(self.at[found], times) + offset
-        row, place = np.repeat(row, times), np.repeat(at - first[row], times)
-        item = self.item[entry]
-        diagonal = place - self.place[entry]
+        row, item = np.repeat(row, times), self.item[entry]
+        diagonal = np.repeat(place, times) - self.place[entry]
         order = np.lexsort((diagonal, item, row))
         row, item, diagonal = row[order], item[order], diagonal[order]
-        size = np.array([len(w) for w in self.words])[item]
-        slack = np.maximum(4, size // 4)
+        # Hits with enough others close by.
+        begin = np.arange(len(row))
+        end = begin + self.need[item] - 1
+        last = np.minimum(end, len(row) - 1)
+        close = (end < len(row)) & (row[last] == row) & (item[last] == item) & (diagonal[last] - diagonal <= self.slack[item])
+        inside = np.zeros(len(row) + 1, np.int64)
+        np.add.at(inside, begin[close], 1)
+        np.add.at(inside, end[close] + 1, -1)
+        held = np.cumsum(inside[:-1]) > 0
+        row, item, diagonal = row[held], item[held], diagonal[held]
+        slack = self.slack[item]
         new = np.ones(len(row), bool)
         new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > slack[1:])
         begin = np.flatnonzero(new)
-        end = np.append(begin[1:], len(row)) - 1
-        enough = end - begin + 1 >= self.need[item[begin]]
-        begin, end = begin[enough], end[enough]
-        counts = np.diff(s.first)[row[begin]]
+        end = np.append(begin, len(row))[1:] - 1
         low = np.maximum(0, diagonal[begin] - slack[begin])
-        high = np.minimum(counts, diagonal[end] + size[begin] + slack[begin])
+        high = np.minimum(counts[row[begin]], diagonal[end] + self.size[item[begin]] + slack[begin])
         return np.stack([row[begin], item[begin], low, high], axis=1)
 
-    def matches(self, s: Slice, least: float) -> np.ndarray:
+    def matches(self, s: Slice) -> np.ndarray:
         """Rows (row, item, score in words, start, end) of the alignments that reach ``least``."""
         found = self.candidates(s)
-        size = np.array([len(self.words[i]) for i in found[:, 1]], dtype=np.int64)
+        size = self.size[found[:, 1]]
         width = found[:, 3] - found[:, 2]
         out = []
         order = np.lexsort((width, size))
@@ -213,7 +246,7 @@ class _Items:
                 begin = s.first[row]
                 texts[k, : high - low] = s.hashes[begin + low : begin + high]
             score, start, end = align(items, texts)
-            good = score >= least * size[now]
+            good = score >= self.least * size[now]
             hit = found[now[good]]
             out.append(np.stack([hit[:, 0], hit[:, 1], score[good], hit[:, 2] + start[good], hit[:, 2] + end[good]], axis=1))
         return np.concatenate(out) if out else np.zeros((0, 5), np.int64)
@@ -248,14 +281,20 @@ def align(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return score, unit - 1 - best % unit, best_end
 
 
-def _blocks(items: DataFrame, docs: DataFrame) -> Iterator[list]:
+def _blocks(items: DataFrame, docs: DataFrame, least: float) -> Iterator[list]:
     """Segments with their seeds, in lists of a bounded number of words."""
-    seeded = cut_lineage(_seeds(_segments(items), docs))
+    if least * MIN_WORDS <= 1:
+        raise ValueError(f"least must be above {1 / MIN_WORDS}: an alignment of one word has no seed")
+    seeded = cut_lineage(_seeds(_segments(items), docs, least))
     words = seeded.agg(F.sum(F.length("words"))).first()[0] or 0
     blocks = -(-words // (8 * BLOCK_WORDS))
     number = F.pmod(F.xxhash64("words"), F.lit(max(1, blocks)))
     for k in range(blocks):
-        yield seeded.filter(number == k).select("item_id", "words", "grams").collect()
+        yield seeded.filter(number == k).select("item_id", "words", "grams", "need").collect()
+
+
+def _columns(block: list) -> tuple[list, list, list]:
+    return [bytes(r["words"]) for r in block], [list(r["grams"]) for r in block], [r["need"] for r in block]
 
 
 def contamination(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
@@ -278,19 +317,18 @@ def contamination(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Da
     )
     item_type = to_arrow_type(item_field.dataType)
     found = docs.sparkSession.createDataFrame([], schema)
-    for block in _blocks(items, docs):
+    for block in _blocks(items, docs, least):
         ids = [r["item_id"] for r in block]
-        shared = context.broadcast(([bytes(r["words"]) for r in block], [list(r["grams"]) for r in block], ids))
+        shared = context.broadcast((_columns(block), ids))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            words, grams, ids = shared.value
-            held, hasher = _Items(words, grams), Hasher()
-            size = np.array([len(w) for w in held.words], dtype=float)
+            columns, ids = shared.value
+            held, hasher = _Items(*columns, least), Hasher()
             for s in slices(batches, "__text"):
-                hits = held.matches(find_words(s, hasher), least)
+                hits = held.matches(find_words(s, hasher))
                 best: dict[tuple, tuple] = {}
                 for row, item, score, start, end in hits.tolist():
-                    value = (score / size[item], -start, end)
+                    value = (score / int(held.size[item]), -start, end)
                     if best.get((row, ids[item]), (0,)) < value:
                         best[row, ids[item]] = value
                 rows = pa.array([row for row, _ in best], pa.int64())
@@ -312,13 +350,13 @@ def contamination(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Da
 def drop_contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     """The rows of ``docs``, all columns, that match no item."""
     context = docs.sparkSession.sparkContext
-    for block in _blocks(items, docs):
-        shared = context.broadcast(([bytes(r["words"]) for r in block], [list(r["grams"]) for r in block]))
+    for block in _blocks(items, docs, least):
+        shared = context.broadcast(_columns(block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            held, hasher = _Items(*shared.value), Hasher()
+            held, hasher = _Items(*shared.value, least), Hasher()
             for s in slices(batches, "text"):
-                hits = held.matches(find_words(s, hasher), least)
+                hits = held.matches(find_words(s, hasher))
                 clean = np.ones(s.rows.num_rows, bool)
                 clean[hits[:, 0]] = False
                 yield s.rows.filter(pa.array(clean))

@@ -70,6 +70,32 @@ def test_planted_passages(spark, monkeypatch, block):
     assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows} - {d for d, _ in truth}
 
 
+@pytest.mark.parametrize("verbatim", [False, True])
+def test_edited_copies_beside_verbatim_ones(spark, verbatim):
+    """All matches of a plain alignment: words replaced or inserted evenly, parts, a copy with a long insertion."""
+    rng = random.Random(8)
+    items, rows = [], []
+    for i, size in enumerate([5, 8, 20, 40, 40, 41, 90] * 2):
+        own = [f"q{i}x{k}" for k in range(size)] if i < 7 else sentence(rng, size, 30).split(" ")
+        items.append((i, " ".join(own)))
+        copies = [own[: (size + 1) // 2], own[size // 2 :], own[: size // 2] + [f"y{k}" for k in range(size // 3)] + own[size // 2 :]]
+        for every in (2, 3, 4, 5, 6):
+            copies.append([f"z{k}" if k % every == every - 1 else w for k, w in enumerate(own)])
+            copies.append([x for k, w in enumerate(own) for x in ([w, f"z{k}"] if k % every == every - 1 else [w])])
+        for copy in copies + [own] * verbatim:
+            before, after = (sentence(rng, 30).split(" ") for _ in range(2))
+            rows.append((len(rows), " ".join(before + copy + after), None, None, None))
+    truth = {}
+    for d, text, *_ in rows:
+        for i, item in items:
+            score = local_score(words(item), words(text)) / len(words(item))
+            if score >= 0.5:
+                truth[d, i] = score
+    found = decontaminate.contamination(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == pytest.approx(truth)
+    assert len(truth) > 100
+
+
 def test_long_items_and_repeats(spark):
     rng = random.Random(6)
     long = sentence(rng, 700, 5000)
@@ -86,6 +112,14 @@ def test_long_items_and_repeats(spark):
     assert sorted((r["doc_id"], r["item_id"], r["score"]) for r in found) == [(1, 1, 1.0), (2, 1, 1.0), (3, 1, 1.0)]
 
 
+def test_hits_too_far_apart():
+    pairs = decontaminate._pairs(np.arange(2, 12, dtype=np.uint64)).view(np.int64).tolist()
+    held = decontaminate._Items([np.arange(2, 12, dtype=np.uint64).tobytes()], [pairs], [2], 0.5)
+    text = np.array([2, 3, *[1] * 40, 10, 11], np.uint64)
+    whole = decontaminate.Slice(None, None, None, hashes=text, first=np.array([0, len(text)]))
+    assert len(held.candidates(whole)) == 0
+
+
 def test_awkward_and_empty_tables(spark):
     bench = spark.createDataFrame([(1, sentence(random.Random(1), 12))], "item_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
