@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from callmeter.llm import decontaminate, langid, lm, ngram_join, packing, page_text, quality, topk, trie_counts, warc
+from callmeter.llm import (
+    decontaminate,
+    langid,
+    lexical,
+    lm,
+    ngram_join,
+    packing,
+    page_text,
+    periodic,
+    quality,
+    topk,
+    toxicity,
+    trie_counts,
+    warc,
+)
 from callmeter.llm.text import bound_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +73,18 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.benchmark_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.repeats(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_main_text": main_text,
     "op2_top_inner_products": top_neighbours,
@@ -70,6 +96,9 @@ QUERIES: dict[str, Query] = {
     "op8_ngram_jaccard": similar_documents,
     "op9_token_counts": token_counts,
     "op10_decontamination": contamination,
+    "op11_ranked_search": ranked_search,
+    "op12_toxicity": toxic_documents,
+    "op13_word_runs": word_runs,
 }
 
 TOP_INNER_PRODUCTS_SQL = """
@@ -125,8 +154,37 @@ WITH RECURSIVE words AS (
 SELECT doc_id, class_id, (SELECT count(*) FROM links WHERE links.a = words.line) AS n_links FROM words JOIN classes USING (line)
 """
 
+RANKED_SEARCH_SQL = """
+WITH docs AS (
+  SELECT row_number() OVER () AS line, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10ffff}]+') AS terms
+  FROM documents
+), totals AS (
+  SELECT CAST(count(*) FILTER (len(terms) > 0) AS BIGINT) AS total, CAST(coalesce(sum(len(terms)), 0) AS BIGINT) AS tokens FROM docs
+), asked AS (
+  SELECT line, item_id, term, CAST(count(*) AS BIGINT) AS times FROM (
+    SELECT row_number() OVER () AS line, item_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10ffff}]+')) AS term
+    FROM benchmark) GROUP BY ALL
+), postings AS (
+  SELECT line, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf
+  FROM (SELECT line, doc_id, CAST(len(terms) AS BIGINT) AS n, unnest(terms) AS term FROM docs) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * total + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM postings, totals GROUP BY term, total
+), scores AS (
+  SELECT a.line AS item, a.item_id, p.line, p.doc_id,
+    CAST(sum(a.times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * total) // tokens)))) AS BIGINT) AS score
+  FROM asked a JOIN postings p USING (term) JOIN weights USING (term), totals GROUP BY ALL
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_top_inner_products": TOP_INNER_PRODUCTS_SQL,
     "op4_web_archives": WEB_ARCHIVES_SQL,
     "op8_ngram_jaccard": NGRAM_JACCARD_SQL,
+    "op11_ranked_search": RANKED_SEARCH_SQL,
 }

@@ -14,7 +14,7 @@ from tests.llm.cases import clashing, documents
 def test_registered():
     names = set(registered.queries())
     assert set(registry.QUERIES) | {"pipeline"} <= names
-    assert {name.split("_")[0] for name in registry.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in registry.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(registry.ORACLE_SQL) <= set(registry.QUERIES)
 
 
