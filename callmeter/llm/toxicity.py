@@ -4,7 +4,8 @@
    words and word beginnings (stems, to which any ending may be added); an
    entry is one that is far more frequent outside quotations, by documents, among toxic ones. Of
    a chain of beginnings the most specific that loses no toxic documents is
-   kept. An entry's weight is the share of toxic ones among its documents.
+   kept. Of documents that share one of ``SKETCHES`` MinHash values only one
+   counts, so that the plain words of a text with many copies are no entries. An entry's weight is the share of toxic ones among its documents.
 2. Entries form a trie. For each word of a text the Levenshtein automaton of
    the word (all strings within some edits of it, as a bit-parallel machine)
    is run along the trie, so that shared beginnings are matched once and dead
@@ -41,10 +42,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from callmeter.llm.linear import fit, hash_share, id_remainder, probabilities
-from callmeter.llm.text import NOT_SPACE, WORD, Hasher, Slice, lower, runs, slices
+from callmeter.llm.text import NOT_SPACE, WORD, Hasher, Slice, find_words, lower, mix, n_grams, runs, seeds, slices
 from callmeter.operators.durable import cut_lineage
 
 # At most about this many labelled documents are learned from.
@@ -53,9 +54,10 @@ SHARDS = 8
 # Lengths of stems, in characters, and the longest word that is an entry.
 STEM = (3, 12)
 # An entry is this many times as frequent among toxic documents, and in at least so many of them.
-LIFT = 8.0
-SUPPORT = 4
-SUPPORT_SHARE = 0.005
+LIFT = 5.0
+SUPPORT = 5
+# The log likelihood ratio of its documents is beyond chance, though very many candidates are tried.
+EVIDENCE = 15.0
 WINDOW = 8
 THRESHOLD = 0.3
 PLAIN, REPORTED, QUOTED = range(3)
@@ -63,6 +65,8 @@ PLAIN, REPORTED, QUOTED = range(3)
 EDIT_PRIOR = (1.0, 0.9, 0.8)
 CONTEXT_PRIOR = (1.0, 0.7, 0.2)
 PRIOR_DOCUMENTS = 8.0
+# MinHash values over word pairs by which copies are told, in the sample.
+SKETCHES = 4
 _REMEMBERED = 1 << 18
 _U = np.uint64
 
@@ -117,11 +121,22 @@ class Trie:
             for c in text:
                 node = node[0].setdefault(c, [{}, None, None])
             node[2 if stem else 1] = number
-        self.most = max((edits(len(t), s) for t, s in entries), default=0)
+        self._lengths = [(len(t), s, edits(len(t), s)) for t, s in entries]
+        self._most: dict[int, int] = {}
+
+    def _edits_of(self, length: int) -> int:
+        """The most edits at which a word of so many characters may match an entry; -1 if none may."""
+        if length not in self._most:
+            near = [k for n, stem, k in self._lengths if n - k <= length and (stem or length <= n + k)]
+            self._most[length] = max(near, default=-1)
+        return self._most[length]
 
     def match(self, word: str) -> tuple[int, int] | None:
         """(edits, entry) of the closest entry, the earliest of equally close ones; None if none is close enough."""
-        automaton = Automaton(word, self.most)
+        most = self._edits_of(len(word))
+        if most < 0:
+            return None
+        automaton = Automaton(word, most)
         best = None
         open_ = [(self.root, automaton.start)]
         while open_:
@@ -135,7 +150,8 @@ class Trie:
                     best = (found, entry)
             for c, child in children.items():
                 after = automaton.step(state, c)
-                if any(after):
+                # The last state holds what the others do.
+                if after[-1]:
                     open_.append((child, after))
         return best
 
@@ -341,11 +357,13 @@ def _counted(counts: Counter) -> pa.RecordBatch:
 def choose_entries(toxic: dict, clean: dict, toxic_docs: int, clean_docs: int) -> dict[tuple[str, bool], float]:
     """The entries and their worth, from the number of toxic and clean documents that hold each candidate."""
 
-    def lift(key) -> float:
-        return toxic[key] / max(1, toxic_docs) / ((clean.get(key, 0) + 1) / (clean_docs + 1))
+    def is_telling(key, n: int) -> bool:
+        if n < SUPPORT:
+            return False
+        expected = max(1, toxic_docs) * (clean.get(key, 0) + 1) / (clean_docs + 1)
+        return n >= LIFT * expected and n * np.log(n / expected) - (n - expected) >= EVIDENCE
 
-    least = max(SUPPORT, SUPPORT_SHARE * toxic_docs)
-    good = {key for key, n in toxic.items() if n >= least and lift(key) >= LIFT}
+    good = {key for key, n in toxic.items() if is_telling(key, n)}
     kept = set()
     # What continues a beginning: the whole word of that text, and beginnings of one character more.
     further: dict[str, int] = {}
@@ -356,13 +374,45 @@ def choose_entries(toxic: dict, clean: dict, toxic_docs: int, clean_docs: int) -
     for text, stem in good:
         if not stem or further.get(text, 0) < 0.9 * toxic[text, True]:
             kept.add((text, stem))
-    out = {}
+    worth = {key: toxic[key] / (toxic[key] + clean.get(key, 0)) for key in kept}
+
+    def is_covered(text: str, stem: bool) -> bool:
+        shorter = ((text[:k], True) for k in range(STEM[0], len(text) + (not stem)))
+        return any(key in kept and worth[key] >= 0.9 * worth[text, stem] for key in shorter)
+
+    # A beginning that tells nothing beyond its best continuation is none of its own.
     for text, stem in sorted(kept):
-        shorter = any((text[:k], True) in kept for k in range(STEM[0], len(text) + (not stem)))
-        if not shorter:
-            n = toxic[text, stem]
-            out[text, stem] = n / (n + clean.get((text, stem), 0))
-    return out
+        further = [toxic[key] for key in kept if key != (text, stem) and key[0].startswith(text) and worth[key] > worth[text, stem]]
+        if stem and further and not is_telling((text, True), toxic[text, True] - max(further)):
+            kept.discard((text, True))
+    # Of several entries that match a word the first counts, that of greatest worth.
+    out = sorted((key for key in kept if not is_covered(*key)), key=lambda key: (-worth[key], key))
+    return {key: worth[key] for key in out}
+
+
+def _without_copies(rows: DataFrame) -> DataFrame:
+    """The rows of the sample, one of those that share a MinHash value, that of least id, value by value."""
+    names = [f"sketch{k}" for k in range(SKETCHES)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, odd = Hasher(), seeds(SKETCHES, salt=12)
+        for s in slices(batches):
+            grams, first = n_grams(find_words(s, hasher), 2)
+            least = []
+            for k in range(SKETCHES):
+                own = mix(grams * odd[k] + _U(k))
+                filled = np.flatnonzero(np.diff(first))
+                out = np.zeros(len(first) - 1, _U)
+                if len(filled):
+                    out[filled] = np.minimum.reduceat(own, first[filled])
+                least.append(pa.array(out.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([s.rows.column(0), *least], names=["doc_id", *names])
+
+    schema = StructType([rows.schema["doc_id"], *(StructField(n, LongType()) for n in names)])
+    kept = rows.select("doc_id", "text").mapInArrow(run, schema)
+    for name in names:
+        kept = kept.groupBy(name).agg(F.min_by(F.struct(*kept.columns), "doc_id").alias("own")).select("own.*")
+    return rows.join(kept.select("doc_id"), "doc_id", "left_semi")
 
 
 _HITS = "hits array<struct<entry:int,distance:int,context:int,word:string>>, words long"
@@ -417,10 +467,10 @@ def fit_toxicity(
         marked = marked.filter(learn_from)
     chosen = hash_share("doc_id", sample, marked.count())
     rows = docs.select("doc_id", "text").filter(chosen & F.col("text").isNotNull()).join(marked.filter(chosen), "doc_id")
-    rows = cut_lineage(rows.select("text", "label", F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).alias("shard")))
+    shard = F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).alias("shard")
+    rows = cut_lineage(_without_copies(rows.dropDuplicates(["doc_id"])).select("text", "label", shard))
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    least = max(SUPPORT, SUPPORT_SHARE * sizes.get(1, 0))
-    counted = _document_counts(rows.filter("label = 1"), None).filter(F.col("n") >= least).collect()
+    counted = _document_counts(rows.filter("label = 1"), None).filter(F.col("n") >= SUPPORT).collect()
     toxic = {(r["entry"], r["stem"]): r["n"] for r in counted}
     counted = _document_counts(rows.filter("label = 0"), set(toxic)).collect() if toxic else []
     clean = {(r["entry"], r["stem"]): r["n"] for r in counted}
