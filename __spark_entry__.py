@@ -156,6 +156,29 @@ def _silver_fine_prices(t: Tables) -> DataFrame:
     return silver.price_calls(cleaned, t._of(fixtures.prices_dirty)).select("call_id", "model", "cost_usd")
 
 
+def _daily_from_parts(t: Tables) -> DataFrame:
+    """Daily costs from the partial cubes of three batches, into which the calls are dealt by their users."""
+    calls = t.silver()
+    batch = F.pmod(F.crc32("user_id"), F.lit(3))
+    parts = [gold.call_cube(calls.filter(batch == k)) for k in range(3)]
+    return gold.daily_cost_by_team(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+def _users_by_month(t: Tables) -> DataFrame:
+    """Distinct users per month and model, and whether the merged sketches of days and teams come within 5 % of them."""
+    calls = t.silver()
+    month = F.date_trunc("month", "event_date").cast("date").alias("month")
+    about = gold.users_over(cut_lineage(gold.user_sketches(calls)), month, "model")
+    exact = calls.groupBy(month, "model").agg(F.count_distinct("user_id").alias("unique_users"))
+    near = F.abs(F.col("approximate_users") - F.col("unique_users")) <= 0.05 * F.col("unique_users") + 1
+    return exact.join(about, ["month", "model"]).select("month", "model", "unique_users", near.alias("within_error"))
+
+
+def _refused_calls(t: Tables) -> DataFrame:
+    found = silver.refused_calls(t._of(fixtures.calls_dirty))
+    return found.select("call_id", "team", "model", "prompt_tokens", "latency_ms", "user_id", "failed_rules")
+
+
 def _split(t: Tables) -> DataFrame:
     return (
         features.label_split(t.cost_features())
@@ -301,6 +324,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "duplicate_prices": lambda t: silver.duplicate_prices(t._of(fixtures.prices_dirty)),
     "silver_quality_feedback": lambda t: silver.quality_feedback(t._of(fixtures.feedback_dirty)),
     "silver_model_pricing": lambda t: silver.model_pricing(t._of(fixtures.raw_prices)),
+    "refused_calls": _refused_calls,
     "dq_rule_counts": lambda t: silver.call_rule_counts(t._of(fixtures.calls_dirty)),
     "dq_feedback_rule_counts": lambda t: silver.feedback_rule_counts(t._of(fixtures.feedback_dirty)),
     "dq_pricing_rule_counts": lambda t: silver.pricing_rule_counts(t._of(fixtures.raw_prices)),
@@ -310,6 +334,8 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "daily_cost_loaded": lambda t: _plain_time(
         gold.daily_cost_by_team(t.silver(), _load_time()), "gold_loaded_at"
     ),
+    "daily_cost_from_parts": _daily_from_parts,
+    "unique_users_by_month": _users_by_month,
     "rolling_cost_calendar": lambda t: gold.rolling_cost_calendar(t.daily()),
     "model_performance_summary": lambda t: t.performance(),
     "feature_cost_breakdown": lambda t: t.breakdown(),

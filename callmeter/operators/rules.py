@@ -48,6 +48,32 @@ def _passing(rules: Rules, reported: Rules | None) -> dict[str, Column]:
     return {**known, "all_rules": reduce(Column.__and__, [known[name] for name in rules])}
 
 
+def failed(rules: Rules, reported: Rules | None = None) -> Column:
+    """The rules that a row fails, and the reported conditions, as bits of an int in their order; unknown is failure."""
+    known = _passing(rules, reported)
+    bits = [F.when(~known[name], F.lit(1 << i)).otherwise(F.lit(0)) for i, name in enumerate(known) if name != "all_rules"]
+    return reduce(Column.bitwiseOR, bits)
+
+
+def marked(df: DataFrame, rules: Rules, reported: Rules | None = None) -> DataFrame:
+    """All rows, with ``failed_rules`` and whether a rule refuses them; reported conditions refuse none."""
+    some = F.col("failed_rules").bitwiseAND((1 << len(rules)) - 1) != 0
+    return df.withColumn("failed_rules", failed(rules, reported)).withColumn("refused", some)
+
+
+def failure_counts(stored: DataFrame, rules: Rules, reported: Rules | None = None) -> dict[str, int]:
+    """Records and, by rule, how many failed, of rows that ``marked`` has given their bits.
+
+    Taken from stored rows it counts what was committed, however often tasks
+    ran. Only the masks that occur reach the driver.
+    """
+    masks = {r["failed_rules"]: r["count"] for r in stored.groupBy("failed_rules").count().collect()}
+    names = [*rules, *(reported or {})]
+    found = {name: sum(n for mask, n in masks.items() if mask >> i & 1) for i, name in enumerate(names)}
+    refused = sum(n for mask, n in masks.items() if mask & (1 << len(rules)) - 1)
+    return {"records": sum(masks.values()), **found, "all_rules": refused}
+
+
 def observed(df: DataFrame, rules: Rules, observation: Observation | None, reported: Rules | None = None) -> DataFrame:
     """Count failures per rule while some later action reads ``df``, without another pass.
 

@@ -74,7 +74,12 @@ def _mean_latency() -> Column:
 
 def daily_cost_by_team(source: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Spend, calls and errors per day and team, with the mean over the last 7 rows."""
-    daily = roll_up(source, "event_date", "team").select(
+    return stamped(rolling_cost(cost_per_day(source)), "gold_loaded_at", loaded_at)
+
+
+def cost_per_day(source: DataFrame) -> DataFrame:
+    """Spend, calls and errors per day and team."""
+    return roll_up(source, "event_date", "team").select(
         "event_date",
         "team",
         _total_cost().alias("total_cost_usd"),
@@ -85,9 +90,11 @@ def daily_cost_by_team(source: DataFrame, loaded_at: Column | None = None) -> Da
         F.col("slow_calls").alias("slow_call_count"),
         F.col("tokens").alias("total_tokens_used"),
     )
+
+
+def rolling_cost(daily: DataFrame) -> DataFrame:
     frame = last_rows("team", "event_date", ROLLING)
-    rolled = with_rolling_mean(daily, "rolling_7d_avg_cost", "total_cost_usd", DAILY_COST_PLACES, frame)
-    return stamped(rolled, "gold_loaded_at", loaded_at)
+    return with_rolling_mean(daily, "rolling_7d_avg_cost", "total_cost_usd", DAILY_COST_PLACES, frame)
 
 
 def rolling_cost_calendar(daily_cost: DataFrame) -> DataFrame:
@@ -106,8 +113,28 @@ def daily_users(calls: DataFrame, approximate: bool = False) -> DataFrame:
     return calls.groupBy("event_date", "model").agg(_users(approximate))
 
 
+def user_days(calls: DataFrame) -> DataFrame:
+    """The distinct users of each day and model, one row each, from which those of several batches can be counted."""
+    return calls.select("event_date", "model", "user_id").distinct()
+
+
+# Of a sketch's registers; the standard error of a count is 1.04 / sqrt(2**12), 1.6 %.
+SKETCH_BITS = 12
+
+
+def user_sketches(calls: DataFrame) -> DataFrame:
+    """A sketch of the users of each day, team and model; sketches of any days merge into one of them all."""
+    return calls.groupBy("event_date", "team", "model").agg(F.hll_sketch_agg("user_id", SKETCH_BITS).alias("user_sketch"))
+
+
+def users_over(sketches: DataFrame, *keys: str | Column) -> DataFrame:
+    """About how many distinct users each group of ``keys`` has, over all days, from the sketches alone."""
+    merged = F.hll_sketch_estimate(F.hll_union_agg("user_sketch"))
+    return sketches.groupBy(*keys).agg(merged.alias("approximate_users"))
+
+
 def model_performance_summary(
-    calls: DataFrame,
+    calls: DataFrame | None,
     loaded_at: Column | None = None,
     approximate_users: bool = False,
     cube: DataFrame | None = None,
@@ -159,11 +186,18 @@ def feature_cost_breakdown(source: DataFrame, loaded_at: Column | None = None) -
 
 def quality_score_daily(feedback: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Share of thumbs up per day and model, with the mean over the last 7 rows."""
+    return stamped(rolling_quality(quality_per_day(feedback)), "gold_loaded_at", loaded_at)
+
+
+def quality_per_day(feedback: DataFrame) -> DataFrame:
+    """Share of thumbs up per day and model."""
     daily = feedback.groupBy("feedback_date", "model").agg(
         F.count(F.lit(1)).alias("total_feedback"),
         F.sum(F.col("thumbs_up").cast("long")).alias("thumbs_up_count"),
     )
-    scored = daily.withColumn("quality_score_pct", percent(F.col("thumbs_up_count"), F.col("total_feedback")))
+    return daily.withColumn("quality_score_pct", percent(F.col("thumbs_up_count"), F.col("total_feedback")))
+
+
+def rolling_quality(scored: DataFrame) -> DataFrame:
     frame = last_rows("model", "feedback_date", ROLLING)
-    rolled = with_rolling_mean(scored, "rolling_7d_quality_score", "quality_score_pct", PERCENT_PLACES, frame)
-    return stamped(rolled, "gold_loaded_at", loaded_at)
+    return with_rolling_mean(scored, "rolling_7d_quality_score", "quality_score_pct", PERCENT_PLACES, frame)

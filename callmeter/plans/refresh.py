@@ -8,8 +8,7 @@ from datetime import date
 from pyspark.sql import Column, Observation
 from pyspark.sql import functions as F
 
-from callmeter.plans import alerts, anomaly, features, forecast, gold, silver
-from callmeter.schemas import TABLES
+from callmeter.plans import alerts, anomaly, features, forecast, gold, silver, upkeep
 from callmeter.sources.lake import Lake, on_dates
 
 
@@ -19,25 +18,26 @@ def refresh_silver(lake: Lake, by_day: bool = False) -> dict[str, dict[str, int]
     The calls are written by the tasks that read them, with no shuffle: every
     gold table reads all days anyway. ``by_day`` shuffles them into one folder
     per day instead, for lakes whose readers pick days and whose days are
-    large. Live calls are optional. The rules are counted during the write;
-    where a lost executor makes a shuffle of ``by_day`` run again, records of
-    the repeated tasks count twice.
+    large. Live calls are optional. The one write splits the calls into those
+    kept and ``api_calls_refused``, with the rules that each of the latter
+    fails as bits; the counts are those of the rows committed, so a task that
+    runs twice changes none.
     """
     now = F.current_timestamp()
-    counted = {table: Observation(table) for table in TABLES["silver"]}
-    calls = silver.api_calls(
+    counted = {table: Observation(table) for table in ("quality_feedback", "model_pricing")}
+    calls = silver.marked_calls(
         lake.load("bronze", "api_calls_historical"),
         lake.load("bronze", "model_pricing"),
         lake.load_if_exists("bronze", "api_calls_live"),
         now,
-        counted["api_calls"],
     )
     feedback = silver.quality_feedback(lake.load("bronze", "quality_feedback"), now, counted["quality_feedback"])
     prices = silver.model_pricing(lake.load("bronze", "model_pricing"), now, counted["model_pricing"])
-    lake.materialize(calls, "silver", "api_calls", partition_by="event_date" if by_day else None)
+    stored = lake.materialize_split(calls, "silver", "api_calls", "api_calls_refused", "event_date" if by_day else None)
+    # Neither is shuffled on its way, so that each record is observed once.
     lake.materialize(feedback, "silver", "quality_feedback")
     lake.materialize(prices, "silver", "model_pricing")
-    return {table: observation.get for table, observation in counted.items()}
+    return {"api_calls": silver.marked_counts(stored), **{table: observation.get for table, observation in counted.items()}}
 
 
 def touched_dates(lake: Lake, since: Column) -> list[date | None]:
@@ -47,30 +47,38 @@ def touched_dates(lake: Lake, since: Column) -> list[date | None]:
     return [row["event_date"] for row in found.collect()]
 
 
-def refresh_gold(lake: Lake, dates: Sequence[date | None] | None = None) -> None:
-    """The cube of calls, their daily users and the four daily tables.
+def refresh_gold(
+    lake: Lake, dates: Sequence[date | None] | None = None, feedback_dates: Sequence[date | None] | None = None
+) -> None:
+    """The cube of calls, their daily users and user sketches, and the four daily tables.
 
     With ``dates``, those that ``touched_dates`` names, only the calls of these
-    dates are read, and their part of the stored cube and users is replaced; a
-    silver table in folders by day lets Spark skip all others. The daily
-    tables, whose rolling means reach over following days, are made anew from
-    the cube, whose size does not depend on the number of calls.
+    dates are read, and only their rows are written, besides those of the six
+    rows after each, whose rolling means reach back to them; a silver table in
+    folders by day lets Spark skip all other calls. ``feedback_dates`` does the
+    same for feedback, all of which is read where it is not given.
     """
     now = F.current_timestamp()
     calls = lake.load("silver", "api_calls")
     if dates is None:
         cube = lake.materialize(gold.call_cube(calls), "gold", "call_cube")
         users = lake.materialize(gold.daily_users(calls), "gold", "daily_users")
+        lake.materialize(gold.user_sketches(calls), "gold", "user_sketches")
+        lake.materialize(gold.daily_cost_by_team(cube, now), "gold", "daily_cost_by_team")
+        lake.materialize(gold.feature_cost_breakdown(cube, now), "gold", "feature_cost_breakdown")
+        performance = gold.model_performance_summary(None, now, cube=cube, users=users)
+        lake.materialize(performance, "gold", "model_performance_summary")
     else:
-        calls = calls.filter(on_dates("event_date", dates))
-        cube = lake.replace_dates(gold.call_cube(calls), "gold", "call_cube", "event_date", dates)
-        users = lake.replace_dates(gold.daily_users(calls), "gold", "daily_users", "event_date", dates)
-    lake.materialize(gold.daily_cost_by_team(cube, now), "gold", "daily_cost_by_team")
-    lake.materialize(gold.feature_cost_breakdown(cube, now), "gold", "feature_cost_breakdown")
-    performance = gold.model_performance_summary(calls, now, cube=cube, users=users)
-    lake.materialize(performance, "gold", "model_performance_summary")
+        touched = calls.filter(on_dates("event_date", dates))
+        lake.replace_dates(gold.call_cube(touched), "gold", "call_cube", "event_date", dates)
+        lake.replace_dates(gold.daily_users(touched), "gold", "daily_users", "event_date", dates)
+        lake.replace_dates(gold.user_sketches(touched), "gold", "user_sketches", "event_date", dates)
+        upkeep.refresh_cost_tables(lake, dates)
     feedback = lake.load("silver", "quality_feedback")
-    lake.materialize(gold.quality_score_daily(feedback, now), "gold", "quality_score_daily")
+    if feedback_dates is None:
+        lake.materialize(gold.quality_score_daily(feedback, now), "gold", "quality_score_daily")
+    else:
+        upkeep.refresh_quality(lake, feedback, feedback_dates)
 
 
 def refresh_models(lake: Lake, model_path: str | None = None, **settings) -> forecast.Forecaster:

@@ -134,6 +134,25 @@ def api_calls(
     return stamped(priced, "silver_loaded_at", loaded_at)
 
 
+def marked_calls(
+    historical: DataFrame, pricing: DataFrame, live: DataFrame | None = None, loaded_at: Column | None = None
+) -> DataFrame:
+    """All calls, cleaned and priced, with the rules they fail (``failed_rules``) and whether they are ``refused``."""
+    found = rules.marked(clean_calls(unify_calls(historical, live)), rules.call_rules(), _reported())
+    return stamped(price_calls(found, pricing), "silver_loaded_at", loaded_at)
+
+
+def marked_counts(stored: DataFrame) -> dict[str, int]:
+    """Records and failures by rule of stored ``marked_calls``."""
+    return rules.failure_counts(stored, rules.call_rules(), _reported())
+
+
+def refused_calls(historical: DataFrame, live: DataFrame | None = None) -> DataFrame:
+    """The cleaned calls that a rule refuses, with the bits of the rules they fail."""
+    found = rules.marked(clean_calls(unify_calls(historical, live)), rules.call_rules(), _reported())
+    return found.filter("refused").drop("refused")
+
+
 def _reported() -> dict[str, Column]:
     """Conditions that are counted but drop nothing."""
     return {"parsable_timestamp": F.col("event_timestamp").isNotNull()}

@@ -58,11 +58,12 @@ FEEDBACK_SCHEMA = T.StructType(
 
 # Every table the jobs write, by layer.
 TABLES = {
-    "bronze": ("api_calls_historical", "api_calls_live", "model_pricing", "quality_feedback"),
-    "silver": ("api_calls", "model_pricing", "quality_feedback"),
+    "bronze": ("api_calls_historical", "api_calls_live", "model_pricing", "quality_feedback", "refused_files"),
+    "silver": ("api_calls", "api_calls_refused", "model_pricing", "quality_feedback"),
     "gold": (
         "call_cube",
         "daily_users",
+        "user_sketches",
         "daily_cost_by_team",
         "model_performance_summary",
         "feature_cost_breakdown",

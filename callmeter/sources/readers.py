@@ -1,91 +1,35 @@
 """Streaming sources of the bronze tables.
 
 Every path, topic, format and schema is a parameter. A file source remembers
-in the query's checkpoint which files it has read.
+in the query's checkpoint which files it has read. CSV files are streamed by
+name and read by their headers when a batch of them is stored.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from callmeter.schemas import CALL_SCHEMA, FEEDBACK_SCHEMA, PRICING_SCHEMA
+from callmeter.sources.csv_files import CsvStream, csv_stream
 
 
 def _received(stream: DataFrame) -> DataFrame:
     return stream.withColumn("ingested_at", F.current_timestamp())
 
 
-# Columns of a CSV file that are looked at, from the left.
-_CSV_COLUMNS = 64
-_FILE = "path string, modificationTime timestamp, length long, content binary"
-_CSV_ROW = ", ".join(f"_c{i} string" for i in range(_CSV_COLUMNS))
-
-
-def _cells(line: Column) -> Column:
-    row = F.from_csv(line, F.lit(_CSV_ROW), {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
-    # Through a lambda variable, so that the line is parsed once and not for every cell.
-    return F.transform(F.array(row), lambda r: F.array(*[r[f"_c{i}"] for i in range(_CSV_COLUMNS)]))[0]
-
-
-def _with_header(files: DataFrame) -> DataFrame:
-    """Files (path, content) with their lines and the names in their header."""
-    text = F.regexp_replace(F.col("content").cast("string"), "^\ufeff", "")
-    lines = files.select("path", F.split(text, "\r\n|\n|\r").alias("lines"))
-    return lines.withColumn("header", _cells(F.col("lines")[0]))
-
-
-def _has(schema: StructType) -> Column:
-    return reduce(Column.__and__, [F.array_contains("header", name) for name in schema.fieldNames()])
-
-
-def csv_rows(files: DataFrame, schema: StructType) -> DataFrame:
-    """The rows of CSV files (path, content), by the names in each file's header, batch or stream.
-
-    Columns may come in any order, and further ones are left out. A value
-    that is not of its column's type becomes NULL. Files without all of the
-    schema's columns are refused: they give no rows, and ``refused_csv`` lists
-    them. A file is one row until it is split in lines, so it has to fit in
-    memory; a quoted value must not hold a line break.
-    """
-    whole = _with_header(files).filter(_has(schema))
-    rest = F.slice("lines", F.lit(2), F.greatest(F.size("lines") - 1, F.lit(0)))
-    rows = whole.select("header", F.explode(rest).alias("line")).filter(F.trim("line") != "")
-    rows = rows.select("header", _cells(F.col("line")).alias("cells"))
-    return rows.select(
-        *[
-            F.get("cells", F.array_position("header", f.name).cast("int") - 1).try_cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
-
-
-def refused_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The files below ``path`` that lack a column of ``schema``, with the columns they lack."""
-    files = _with_header(spark.read.format("binaryFile").load(path)).filter(~F.coalesce(_has(schema), F.lit(False)))
-    named = F.array(*[F.lit(name) for name in schema.fieldNames()])
-    return files.select("path", F.array_except(named, F.col("header")).alias("missing"))
-
-
-def _csv(spark: SparkSession, path: str, schema: StructType, options: dict) -> DataFrame:
-    files = spark.readStream.format("binaryFile").schema(_FILE).options(**options).load(path)
-    return _received(csv_rows(files, schema))
-
-
 def calls_json(spark: SparkSession, path: str, **options) -> DataFrame:
     """New JSON files of calls. Options such as ``maxFilesPerTrigger`` bound a batch."""
     return _received(spark.readStream.schema(CALL_SCHEMA).options(**options).json(path))
 
 
-def pricing_csv(spark: SparkSession, path: str, schema: StructType = PRICING_SCHEMA, **options) -> DataFrame:
-    return _csv(spark, path, schema, options)
+def pricing_csv(spark: SparkSession, path: str, schema: StructType = PRICING_SCHEMA, **options) -> CsvStream:
+    return csv_stream(spark, path, schema, **options)
 
 
-def feedback_csv(spark: SparkSession, path: str, schema: StructType = FEEDBACK_SCHEMA, **options) -> DataFrame:
-    return _csv(spark, path, schema, options)
+def feedback_csv(spark: SparkSession, path: str, schema: StructType = FEEDBACK_SCHEMA, **options) -> CsvStream:
+    return csv_stream(spark, path, schema, **options)
 
 
 def kafka_messages(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:

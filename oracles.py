@@ -383,6 +383,14 @@ SELECT c_custkey, email, coalesce(regexp_matches(email, '^[a-zA-Z0-9._%+-]+@[a-z
 FROM (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN lower(c_mktsegment) || '@example.com'
  WHEN 1 THEN c_mktsegment || ' @example.com' WHEN 2 THEN c_mktsegment ELSE NULL END AS email FROM customer)""",
     "daily_cost_by_team": "SELECT * FROM daily",
+    "daily_cost_from_parts": "SELECT * FROM daily",
+    "unique_users_by_month": """
+SELECT CAST(date_trunc('month', event_date) AS DATE) AS month, model, count(DISTINCT user_id) AS unique_users, true AS within_error
+FROM silver GROUP BY ALL""",
+    "refused_calls": "SELECT * FROM (SELECT call_id, team, model, prompt_tokens, latency_ms, user_id, CAST("
+    + " + ".join(f"CASE WHEN coalesce({cond}, false) THEN 0 ELSE {1 << i} END" for i, cond in enumerate(CALL_RULES.values()))
+    + f" + CASE WHEN event_timestamp IS NULL THEN {1 << len(CALL_RULES)} ELSE 0 END AS INTEGER) AS failed_rules FROM cleaned_dirty)"
+    + f" WHERE failed_rules % {1 << len(CALL_RULES)} <> 0",
     "rolling_cost_calendar": f"""
 SELECT event_date, team, total_cost_usd, {mean_of('total_cost_usd', 4,
     "OVER (PARTITION BY team ORDER BY event_date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)")} AS rolling_7_calendar_days
