@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, Observation
 from pyspark.sql import functions as F
 
+from callmeter.operators.together import run_together
 from callmeter.plans import alerts, anomaly, features, forecast, gold, silver, upkeep
 from callmeter.sources.lake import Lake, on_dates
 
@@ -61,18 +62,24 @@ def refresh_gold(
     now = F.current_timestamp()
     calls = lake.load("silver", "api_calls")
     if dates is None:
-        cube = lake.materialize(gold.call_cube(calls), "gold", "call_cube")
-        users = lake.materialize(gold.daily_users(calls), "gold", "daily_users")
-        lake.materialize(gold.user_sketches(calls), "gold", "user_sketches")
-        lake.materialize(gold.daily_cost_by_team(cube, now), "gold", "daily_cost_by_team")
-        lake.materialize(gold.feature_cost_breakdown(cube, now), "gold", "feature_cost_breakdown")
+        cube, users, _ = run_together(
+            lambda: lake.materialize(gold.call_cube(calls), "gold", "call_cube"),
+            lambda: lake.materialize(gold.daily_users(calls), "gold", "daily_users"),
+            lambda: lake.materialize(gold.user_sketches(calls), "gold", "user_sketches"),
+        )
         performance = gold.model_performance_summary(None, now, cube=cube, users=users)
-        lake.materialize(performance, "gold", "model_performance_summary")
+        run_together(
+            lambda: lake.materialize(gold.daily_cost_by_team(cube, now), "gold", "daily_cost_by_team"),
+            lambda: lake.materialize(gold.feature_cost_breakdown(cube, now), "gold", "feature_cost_breakdown"),
+            lambda: lake.materialize(performance, "gold", "model_performance_summary"),
+        )
     else:
         touched = calls.filter(on_dates("event_date", dates))
-        lake.replace_dates(gold.call_cube(touched), "gold", "call_cube", "event_date", dates)
-        lake.replace_dates(gold.daily_users(touched), "gold", "daily_users", "event_date", dates)
-        lake.replace_dates(gold.user_sketches(touched), "gold", "user_sketches", "event_date", dates)
+        run_together(
+            lambda: lake.replace_dates(gold.call_cube(touched), "gold", "call_cube", "event_date", dates),
+            lambda: lake.replace_dates(gold.daily_users(touched), "gold", "daily_users", "event_date", dates),
+            lambda: lake.replace_dates(gold.user_sketches(touched), "gold", "user_sketches", "event_date", dates),
+        )
         upkeep.refresh_cost_tables(lake, dates)
     feedback = lake.load("silver", "quality_feedback")
     if feedback_dates is None:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from callmeter.functions.columns import stamped
 from callmeter.operators.durable import cut_lineage
+from callmeter.operators.together import run_together
 from callmeter.operators.windows import last_rows
 from callmeter.plans import gold, silver
 from callmeter.sources.lake import Lake, on_dates
@@ -82,10 +84,13 @@ def refresh_cost_tables(lake: Lake, dates: Sequence[date | None]) -> None:
     touched = on_dates("event_date", dates)
     cube = cut_lineage(lake.load("gold", "call_cube").filter(touched))
     users = lake.load("gold", "daily_users").filter(touched)
-    _replace_series(lake, "daily_cost_by_team", gold.cost_per_day(cube), "team", "event_date", dates, gold.rolling_cost)
-    lake.replace_dates(gold.feature_cost_breakdown(cube, now), "gold", "feature_cost_breakdown", "event_date", dates)
+    costs, breakdown = gold.cost_per_day(cube), gold.feature_cost_breakdown(cube, now)
     performance = gold.model_performance_summary(None, now, cube=cube, users=users)
-    lake.replace_dates(performance, "gold", "model_performance_summary", "event_date", dates)
+    run_together(
+        lambda: _replace_series(lake, "daily_cost_by_team", costs, "team", "event_date", dates, gold.rolling_cost),
+        lambda: lake.replace_dates(breakdown, "gold", "feature_cost_breakdown", "event_date", dates),
+        lambda: lake.replace_dates(performance, "gold", "model_performance_summary", "event_date", dates),
+    )
 
 
 def refresh_quality(lake: Lake, feedback: DataFrame, dates: Sequence[date | None]) -> None:
@@ -121,8 +126,12 @@ def keep_calls(lake: Lake, source: str) -> Callable[[DataFrame, int], None]:
             own.define("silver", "api_calls_refused", _REFUSED.format(parts=f"{own.name('silver', 'api_calls')}__parts"))
         kept = own.parts("silver", "api_calls", source, batch).filter("NOT refused")
         rows = {"call_cube": gold.call_cube(kept), "daily_users": gold.user_days(kept), "user_sketches": gold.user_sketches(kept)}
-        for table, (view, _) in ADDITIVE.items():
-            own.write_part(rows[table], "gold", table, source, batch, view)
+        run_together(
+            *(
+                partial(own.write_part, rows[table], "gold", table, source, batch, view)
+                for table, (view, _) in ADDITIVE.items()
+            )
+        )
         dates = held | _dates(own.parts("gold", "call_cube", source, batch))
         if dates:
             refresh_cost_tables(own, list(dates))
