@@ -4,12 +4,13 @@ Such tokenizers split a text into pieces by a fixed pattern and encode each
 independently of the others. Pieces are found here for all texts of a slice
 at once, from the classes of their characters; distinct ones are encoded by
 the library and remembered, up to a bounded number. Strings of special tokens
-are ordinary text.
+have the ids of these; the text on either side of one is encoded by itself.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -93,8 +94,12 @@ class Pieces:
 class PieceTable:
     """Encodes slices. One per task."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, special: dict[str, int] | None = None):
         ranks = load_ranks(path)
+        self._special = {text.encode(): number for text, number in (special or {}).items()}
+        # Of several that begin at one place the longest counts.
+        listed = sorted(self._special, key=len, reverse=True)
+        self._special_pattern = re.compile(b"|".join(map(re.escape, listed))) if listed else None
         self._encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self._pieces, self._hasher = Pieces(), Hasher()
         self._forget()
@@ -134,5 +139,20 @@ class PieceTable:
         take = np.repeat(begin - (out_end - size), size) + np.arange(out_end[-1] if len(out_end) else 0)
         ids = self._ids[take]
         cuts = np.concatenate([[0], out_end])[first]
-        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-            yield np.append(ids[low:high], np.uint32(END))
+        parted = self._with_special(raw, s.offsets)
+        for row, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            yield np.append(parted[row] if row in parted else ids[low:high], np.uint32(END))
+
+    def _with_special(self, raw: bytes, offsets: np.ndarray) -> dict[int, np.ndarray]:
+        """The ids of the rows that hold strings of special tokens."""
+        if self._special_pattern is None or self._special_pattern.search(raw) is None:
+            return {}
+        out = {}
+        for row, (low, high) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+            ids, at = [], low
+            for m in self._special_pattern.finditer(raw, low, high):
+                ids += [*self._encode(raw[at : m.start()].decode("utf-8")), self._special[m[0]]]
+                at = m.end()
+            if at > low:
+                out[row] = np.array([*ids, *self._encode(raw[at:high].decode("utf-8"))], dtype=np.uint32)
+        return out

@@ -13,14 +13,18 @@ those s - 1 hits certain. Insertions and deletions move an alignment over at
 most (words of the item - s) diagonals; where ``need`` hits lie that close, the
 stretch of the document around them is aligned. So no match is missed.
 
-Items of over ``SEGMENT`` words are compared segment by segment and score as
-their best segment. Items of fewer than ``MIN_WORDS`` words, null ones among
-them, match nothing, as do null and empty documents. Repeated items and
-documents are compared as often as they occur; a repeated id of an item gets
-the best score of its rows.
-
-Items are broadcast in blocks of a bounded number of words, one scan of the
-documents for each block; a fixed-size bitmap of word pairs serves the counts.
+Items are compared as a whole, whatever their length; an alignment costs the
+product of the item's words and the stretch's. ``min_words`` sets from how many
+words on an item is compared. From three words on a match holds a pair of
+adjacent words; of fewer, one word would be half the item, so such items match
+nothing by definition, as do null ones, and null and empty documents. Items of
+equal words are compared once, and all their ids named; documents are compared
+as often as they occur. A repeated id of an item gets the best score of its
+rows. Empty tables give an empty result, and leave all documents.
+
+Items are broadcast in blocks of a running number of words, ``BLOCK_WORDS`` and
+at most one item more, one scan of the documents for each block; a fixed-size
+bitmap of word pairs serves the counts.
 """
 
 from __future__ import annotations
@@ -32,15 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import StructField, StructType
 
+from callmeter.llm.blocks import running_blocks
 from callmeter.llm.text import Hasher, Slice, find_words, n_grams, slices
 from callmeter.operators.durable import cut_lineage
 
 GRAM = 2
-MIN_WORDS = 5
-SEGMENT = 256
+MIN_WORDS = 3
 LEAST = 0.5
 # Words of test items in one broadcast.
 BLOCK_WORDS = 1 << 20
@@ -48,31 +51,19 @@ _BITS = 24
 _CELLS = 1 << 21
 
 
-def _segments(items: DataFrame) -> DataFrame:
-    """Rows (item_id, segment, words): segments of an item's words as hashes, in 8 bytes each."""
+def _item_words(items: DataFrame, min_words: int) -> DataFrame:
+    """Rows (item_id, words): an item's words as hashes, in 8 bytes each; items of too few words are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for s in slices(batches, "__text"):
             find_words(s, hasher)
-            rows, numbers, words = [], [], []
-            for i in range(s.rows.num_rows):
-                own = s.hashes[s.first[i] : s.first[i + 1]]
-                if len(own) < MIN_WORDS:
-                    continue
-                parts = max(1, round(len(own) / SEGMENT))
-                for k, part in enumerate(np.array_split(own, parts)):
-                    rows.append(i)
-                    numbers.append(k)
-                    words.append(part.tobytes())
-            ids = s.rows.column(0).take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(numbers, pa.int64()), pa.array(words, pa.binary())], names=["item_id", "segment", "words"]
-            )
+            rows = np.flatnonzero(np.diff(s.first) >= min_words)
+            words = [s.hashes[s.first[i] : s.first[i + 1]].tobytes() for i in rows]
+            yield pa.RecordBatch.from_arrays([s.rows.column(0).take(pa.array(rows)), pa.array(words, pa.binary())], names=["item_id", "words"])
 
     rows = items.select("item_id", F.col("text").alias("__text"))
-    schema = StructType([rows.schema.fields[0], StructField("segment", LongType())]).add("words", "binary")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, StructType([rows.schema.fields[0]]).add("words", "binary"))
 
 
 def _pairs(words: np.ndarray) -> np.ndarray:
@@ -80,27 +71,22 @@ def _pairs(words: np.ndarray) -> np.ndarray:
     return n_grams(whole, GRAM)[0]
 
 
-def _segment_grams(segments: DataFrame) -> DataFrame:
-    """The distinct word pairs of each segment, and how often each is in it."""
+def _item_grams(distinct: DataFrame) -> DataFrame:
+    """The distinct word pairs of each item, and how often each is in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 one = batch.slice(row, 1)
-                words = np.frombuffer(one.column(2)[0].as_py(), dtype=np.uint64)
+                words = np.frombuffer(one.column(0)[0].as_py(), dtype=np.uint64)
                 grams, times = np.unique(_pairs(words), return_counts=True)
                 repeat = pa.array(np.zeros(len(grams), np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        *(one.column(k).take(repeat) for k in range(3)),
-                        pa.array(grams.view(np.int64)),
-                        pa.array(times.astype(np.int64)),
-                    ],
-                    names=["item_id", "segment", "words", "gram", "times"],
+                    [one.column(0).take(repeat), pa.array(grams.view(np.int64)), pa.array(times.astype(np.int64))],
+                    names=["words", "gram", "times"],
                 )
 
-    added = [StructField("gram", LongType()), StructField("times", LongType())]
-    return segments.mapInArrow(run, StructType([*segments.schema.fields, *added]))
+    return distinct.mapInArrow(run, "words binary, gram long, times long")
 
 
 def _bitmap(grams: DataFrame) -> np.ndarray:
@@ -134,27 +120,26 @@ def _corpus_counts(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
     return docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def _seeds(segments: DataFrame, docs: DataFrame, least: float) -> DataFrame:
-    """Rows (item_id, segment, words, grams, need): the segments that the corpus may hold, with their seeds.
+def _seeds(distinct: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+    """Rows (words, grams, need): the items that the corpus may hold, with their seeds.
 
     Every alignment that reaches ``least`` hits at least ``need`` of the places of the seeds.
     """
-    segments = cut_lineage(segments.dropDuplicates())
-    grams = _segment_grams(segments)
+    grams = _item_grams(distinct)
     counted = grams.join(_corpus_counts(docs, _bitmap(grams)), "gram")
     # Pairs that an alignment has for certain, and how many of them are to be hits of seeds.
     sure = F.ceil(F.lit(least) * (F.length("words") / 8)) - 1
     counted = counted.withColumn("sure", sure).withColumn("few", F.greatest(F.least(F.lit(2), "sure"), F.floor(F.col("sure") / 4)))
-    own = Window.partitionBy("item_id", "segment", "words")
+    own = Window.partitionBy("words")
     common = own.orderBy(F.desc("n"), F.desc("gram")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = counted.withColumns({"left_out": F.sum("times").over(common), "all": F.sum("times").over(own)})
     chosen = counted.filter((F.col("all") >= F.col("sure")) & (F.col("left_out") > F.col("sure") - F.col("few")))
     need = F.first("sure") - (F.first("all") - F.sum("times"))
-    return chosen.groupBy("item_id", "segment", "words").agg(F.collect_set("gram").alias("grams"), need.cast("long").alias("need"))
+    return chosen.groupBy("words").agg(F.collect_set("gram").alias("grams"), need.cast("long").alias("need"))
 
 
 class _Items:
-    """Segments and their seeds, indexed for the scan."""
+    """Items and their seeds, indexed for the scan."""
 
     def __init__(self, words: list[bytes], grams: list[list[int]], need: list[int], least: float):
         self.least = least
@@ -281,61 +266,55 @@ def align(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return score, unit - 1 - best % unit, best_end
 
 
-def _blocks(items: DataFrame, docs: DataFrame, least: float) -> Iterator[list]:
-    """Segments with their seeds, in lists of a bounded number of words."""
-    if least * MIN_WORDS <= 1:
-        raise ValueError(f"least must be above {1 / MIN_WORDS}: an alignment of one word has no seed")
-    seeded = cut_lineage(_seeds(_segments(items), docs, least))
-    words = seeded.agg(F.sum(F.length("words"))).first()[0] or 0
-    blocks = -(-words // (8 * BLOCK_WORDS))
-    number = F.pmod(F.xxhash64("words"), F.lit(max(1, blocks)))
-    for k in range(blocks):
-        yield seeded.filter(number == k).select("item_id", "words", "grams", "need").collect()
+def _blocks(words: DataFrame, docs: DataFrame, least: float, min_words: int) -> Iterator[list]:
+    """Rows (row, words, grams, need) of distinct items with their seeds, in lists of a bounded number of words."""
+    if least * min_words <= 1:
+        raise ValueError(f"least must be above {1 / min_words}: an alignment of one word has no seed")
+    # Each sequence of words once, however many items hold it.
+    distinct = cut_lineage(words.select("words").distinct())
+    seeded = cut_lineage(_seeds(distinct, docs, least).withColumn("row", F.monotonically_increasing_id()))
+    placed = running_blocks(seeded.withColumn("size", F.length("words") / 8), "size", BLOCK_WORDS)
+    for number in sorted(r["block"] for r in placed.select("block").distinct().collect()):
+        yield placed.filter(F.col("block") == number).select("row", "words", "grams", "need").collect()
 
 
 def _columns(block: list) -> tuple[list, list, list]:
     return [bytes(r["words"]) for r in block], [list(r["grams"]) for r in block], [r["need"] for r in block]
 
 
-def contamination(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
+_FOUND = "row long, words binary, score double, start_word long, end_word long"
+
+
+def contamination(docs: DataFrame, items: DataFrame, least: float = LEAST, min_words: int = MIN_WORDS) -> DataFrame:
     """Matching pairs: doc_id, item_id, score, and the words of the document (from, to) that are aligned.
 
-    One row per document row and item, that of the best score, then of the
+    One row per document row and item id, that of the best score, then of the
     earliest start.
     """
     context = docs.sparkSession.sparkContext
-    rows = docs.select("doc_id", F.col("text").alias("__text"))
-    item_field = items.schema["item_id"]
-    schema = StructType(
-        [
-            rows.schema.fields[0],
-            StructField("item_id", item_field.dataType),
-            StructField("score", DoubleType()),
-            StructField("start_word", LongType()),
-            StructField("end_word", LongType()),
-        ]
-    )
-    item_type = to_arrow_type(item_field.dataType)
+    rows = docs.select("doc_id", F.col("text").alias("__text"), F.monotonically_increasing_id().alias("__row"))
+    schema = StructType([rows.schema.fields[0], *_schema(_FOUND)])
+    words = cut_lineage(_item_words(items, min_words))
     found = docs.sparkSession.createDataFrame([], schema)
-    for block in _blocks(items, docs, least):
-        ids = [r["item_id"] for r in block]
-        shared = context.broadcast((_columns(block), ids))
+    for block in _blocks(words, docs, least, min_words):
+        shared = context.broadcast(_columns(block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            columns, ids = shared.value
-            held, hasher = _Items(*columns, least), Hasher()
+            texts = shared.value[0]
+            held, hasher = _Items(*shared.value, least), Hasher()
             for s in slices(batches, "__text"):
                 hits = held.matches(find_words(s, hasher))
                 best: dict[tuple, tuple] = {}
                 for row, item, score, start, end in hits.tolist():
                     value = (score / int(held.size[item]), -start, end)
-                    if best.get((row, ids[item]), (0,)) < value:
-                        best[row, ids[item]] = value
+                    if best.get((row, item), (0,)) < value:
+                        best[row, item] = value
                 rows = pa.array([row for row, _ in best], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
                         s.rows.column(0).take(rows),
-                        pa.array([item for _, item in best], item_type),
+                        s.rows.column(2).take(rows),
+                        pa.array([texts[item] for _, item in best], pa.binary()),
                         pa.array([v[0] for v in best.values()], pa.float64()),
                         pa.array([-v[1] for v in best.values()], pa.int64()),
                         pa.array([v[2] for v in best.values()], pa.int64()),
@@ -344,13 +323,23 @@ def contamination(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Da
                 )
 
         found = found.unionByName(rows.mapInArrow(run, schema))
-    return found
+    named = found.join(words.select("item_id", "words").distinct(), "words")
+    value = F.struct("score", (-F.col("start_word")).alias("start"), "end_word")
+    best = named.groupBy("row", "doc_id", "item_id").agg(F.max(value).alias("best"))
+    return best.select(
+        "doc_id", "item_id", "best.score", (-F.col("best.start")).alias("start_word"), F.col("best.end_word").alias("end_word")
+    )
+
+
+def _schema(fields: str) -> list[StructField]:
+    return StructType.fromDDL(fields).fields
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST, min_words: int = MIN_WORDS) -> DataFrame:
     """The rows of ``docs``, all columns, that match no item."""
     context = docs.sparkSession.sparkContext
-    for block in _blocks(items, docs, least):
+    words = _item_words(items, min_words)
+    for block in _blocks(words, docs, least, min_words):
         shared = context.broadcast(_columns(block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -111,7 +111,8 @@ def _sign(docs: DataFrame, n: int, banding: Banding) -> DataFrame:
 def _representatives(signed: DataFrame) -> DataFrame:
     """One row per distinct sequence of words: its fingerprint, least document, copies and bands."""
     return signed.groupBy("fp").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("least"),
+        # A null id comes last, so that a class has the least id of its rows.
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("least"),
         F.count(F.lit(1)).alias("copies"),
         F.max("bands").alias("bands"),
     )

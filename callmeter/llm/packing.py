@@ -30,6 +30,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from callmeter.llm.bpe import PieceTable
 from callmeter.llm.text import slices
 
+# Fixed value: the special token of the vocabulary.
+SPECIAL = {"<|endoftext|>": 50256}
 CAPACITY = 1024
 PIECE = 128
 # Windows divided at a time.
@@ -92,15 +94,18 @@ def cut(length: int, capacity: int = CAPACITY, piece: int = PIECE) -> list[tuple
     return full + [(at, min(piece, length - at)) for at in range(tail, length, piece)]
 
 
-def pack_documents(docs: DataFrame, ranks: str, pattern: str, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, ranks: str, pattern: str, capacity: int = CAPACITY, special: dict[str, int] | None = SPECIAL
+) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset.
 
     ``ranks`` is the path of a byte-level BPE vocabulary that executors can
-    read, and ``pattern`` what splits texts for it.
+    read, and ``pattern`` what splits texts for it; ``special`` are the tokens
+    that stand for themselves in a text. An empty table has no pieces.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = PieceTable(ranks, pattern)
+        table = PieceTable(ranks, pattern, special)
         sequence = TaskContext.get().partitionId() << 36
         waiting: list[tuple] = []
         size = 0

@@ -109,7 +109,43 @@ def test_long_items_and_repeats(spark):
     ]
     bench = clashing(spark.createDataFrame(items, "item_id long, text string"))
     found = decontaminate.contamination(clashing(documents(spark, rows)), bench).collect()
-    assert sorted((r["doc_id"], r["item_id"], r["score"]) for r in found) == [(1, 1, 1.0), (2, 1, 1.0), (3, 1, 1.0)]
+    # A part of an item has its share of the whole.
+    scores = {(r["doc_id"], r["item_id"]): r["score"] for r in found}
+    assert len(found) == 3 and scores == pytest.approx({(1, 1): 1.0, (2, 1): 467 / 700, (3, 1): 1.0})
+
+
+def test_short_items_and_parts_of_long_ones(spark):
+    """Three and four words are enough; a part of a long item scores its share of the whole item."""
+    rng = random.Random(9)
+    long = sentence(rng, 385, 5000).split(" ")
+    items = [(1, "four words copied whole"), (2, "three rare words"), (3, " ".join(long)), (4, " ".join(long[:383])), (5, "one")]
+    rows = [
+        (1, "it has four words copied whole in it", None, None, None),
+        (2, "here are three rare words", None, None, None),
+        (3, "before " + " ".join(long[:256]) + " after", None, None, None),
+        (4, "one clean text with words", None, None, None),
+    ]
+    found = decontaminate.contamination(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == pytest.approx(
+        {(1, 1): 1.0, (2, 2): 1.0, (3, 3): 256 / 385, (3, 4): 256 / 383}
+    )
+    with pytest.raises(ValueError):
+        decontaminate.contamination(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string"), min_words=2)
+
+
+def test_repeated_items_stay_within_a_block(spark, monkeypatch):
+    rng = random.Random(10)
+    texts = [sentence(rng, 100, 3000) for _ in range(6)]
+    items = [(i, texts[i % 6]) for i in range(200)]
+    rows = [(d, f"some {texts[d]} more", None, None, None) for d in range(6)] + [(0, "some " + texts[0], None, None, None)]
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 150)
+    sizes, collect = [], decontaminate._blocks
+    monkeypatch.setattr(decontaminate, "_blocks", lambda *a: (sizes.append(sum(len(r["words"]) for r in b) // 8) or b for b in collect(*a)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contamination(documents(spark, rows), bench).collect()
+    assert len(sizes) > 1 and max(sizes) < 150 + 100
+    expected = [(d, i) for d in [*range(6), 0] for i in range(200) if i % 6 == d]
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == sorted(expected) and {r["score"] for r in found} == {1.0}
 
 
 def test_hits_too_far_apart():

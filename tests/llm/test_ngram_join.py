@@ -125,3 +125,12 @@ def test_forest_spans_the_components():
     for a, b in [(6, 5), (5, 4), (4, 1), (2, 3)]:
         linked[a, b] = linked[b, a] = True
     assert ngram_join.forest(linked).tolist() == [0, 1, 2, 2, 1, 1, 1]
+
+
+def test_a_class_has_the_least_id_of_its_rows(spark):
+    """Copies with and without an id, and near copies of rows without one."""
+    rng = random.Random(12)
+    text = sentence(rng, 60)
+    rows = [(i, text, None, None, None) for i in (None, 7, 5, None)] + [(None, edited(rng, text, 1), None, None, None), (9, None, None, None, None)]
+    assert found(spark, rows) == all_pairs(rows)
+    assert {r[1] for r in found(spark, rows)} == {5, 9}

@@ -47,6 +47,19 @@ def test_ids_of_given_documents(spark, sf_dir, tokenizer):
     assert ids_of(texts) == [e.ids + [0] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_special_tokens_stand_for_themselves(spark):
+    from tokenizers import Tokenizer
+
+    named = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a{end}b", end, f"{end}{end}", f" x {end}  y's{end}", "plain", "<|endoftext|", "", f"é{end}\n\n{end} z", "a <|endoftext|>" * 50]
+    table = PieceTable(RANKS, public_tokenizers.PATTERN, packing.SPECIAL)
+    assert ids_of(texts, table) == [e.ids + [0] for e in named.encode_batch(texts, add_special_tokens=False)]
+    docs = documents(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    rows = packing.pack_documents(docs, RANKS, public_tokenizers.PATTERN).collect()
+    check_sequences(rows, dict(enumerate(texts)), named)
+
+
 def test_forgetting_pieces_changes_nothing(monkeypatch):
     from callmeter.llm import bpe
 
