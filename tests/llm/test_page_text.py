@@ -73,10 +73,20 @@ LONG = "a text of many words that goes on"
         (f"<article><p>{LONG}</p></article><div class='related'><article>no</article></div>", LONG),
         (f"<div class='page has-sidebar'><main><p>{LONG}</p><div class='related'><article>no</article></div></main></div>", LONG),
         (f"<div class='post'><p>{LONG}</p></div><div id='comments'><article class='comment'>no</article></div>", LONG),
+        (f"<body><form action='/'><div><p>{LONG}</p><p>and more</p></div><input></form></body>", f"{LONG}\nand more"),
+        (f"<body><form><article><p>{LONG}</p></article></form><p>no</p></body>", LONG),
+        (f"<p>{LONG}</p><p>{LONG}</p><form><p>Your name</p><label>no</label></form>", f"{LONG}\n{LONG}"),
+        (f"<div class='post'><p>{LONG * 9}</p></div><article><p>one card</p></article><article><p>a card</p></article>", LONG * 9),
+        (f"<article><p>{LONG}</p></article><article><p>a card</p></article><p>no</p>", f"{LONG}\na card"),
+        (f"<article><p>{LONG}</p><p class='sponsor-history'>more</p><p class='sponsor'>no</p></article>", f"{LONG}\nmore"),
+        (f"<body aria-hidden='true'><p>{LONG}</p></body>", LONG),
+        (f"<div aria-hidden='true'><article><p>{LONG}</p></article></div><div aria-hidden='true'>no</div>", LONG),
+        (f"<p>{LONG}</p><p>Choose <label>this</label> option now</p>", f"{LONG}\nChoose this option now"),
+        (f"<form><article><p>{LONG}</p><label>no</label><p>Tick <label>here</label> too</p></article></form>", f"{LONG}\nTick here too"),
     ],
 )
 def test_nothing_of_an_article_is_cut(page, text):
-    found = page_text._article(Parser(page), page_text._Template(None))
+    found = page_text._article(page_text.read_page(page), page_text._Template(None))
     assert LONG in found if text is None else found == text
 
 
@@ -143,11 +153,117 @@ def test_copies_of_an_article_stay(spark):
     assert {t for _, t in texts(spark, rows)} == {"Same\nSame text"}
 
 
-def test_classes_out_of_order_are_no_template():
-    template = page_text._Template([{"token": Parser(f"<{x}>").tags[0], "vector": 1} for x in ("div", "table")])
-    a, b = (template.signatures(Parser(x))[1] for x in ("<div></div><table></table>", "<table></table><div></div>"))
-    assert a != b
-    assert template.signatures(Parser("<div></div><div></div><table></table>"))[1] == 0
+def test_pairs_that_hold():
+    def held(page, *classes):
+        return page_text.held_pairs(list(page), [list(c) for c in classes])
+
+    assert held("xaybz", "ab") == [[True]]
+    assert held("xbyaz", "ab") == [[False]]
+    assert held("ababab", "ab") == [[True]] and held("aabb", "ab") == [[False]] and held("aba", "ab") == [[False]]
+    assert held("abc", "abc") == [[True, True]] and held("acb", "abc") == [[True, False]]
+    # Tuples of another class lie between two tokens as a whole, or around them, but are not cut.
+    assert held("acdb", "ab", "cd") == [[True], [True]]
+    assert held("cabd", "ab", "cd") == [[True], [True]]
+    assert held("acbd", "ab", "cd") == [[False], [False]] or held("acbd", "ab", "cd") == [[False], [True]]
+    assert held("", "ab") == [[False]]
+
+
+def plain_template(pages):
+    """The template of a host, straight from the definition."""
+    pages = list(dict.fromkeys(pages))
+    read = [page_text.read_page(p).tokens.tolist() for p in pages]
+    if len(read) < page_text.LEAST_PAGES:
+        return set()
+    vectors = {}
+    for token in {x for r in read for x in r}:
+        vector = tuple(r.count(token) for r in read)
+        if sum(n > 0 for n in vector) >= page_text.SUPPORT * len(read):
+            vectors.setdefault(vector, []).append(token)
+
+    def mean_place(token):
+        at = [r.index(token) for r in read if token in r]
+        return sum(at) / len(at), token
+
+    classes = [sorted(tokens, key=mean_place) for tokens in vectors.values() if len(tokens) > 1]
+
+    def tuples(r, c):
+        at = [[k for k, x in enumerate(r) if x == token] for token in c]
+        return [(min(x), max(x)) for x in zip(*at, strict=True)] if len({len(x) for x in at}) == 1 else []
+
+    def holds(r, a, b):
+        only = [x for x in r if x in (a, b)]
+        if not only or only != [a, b] * (len(only) // 2):
+            return False
+        at = [k for k, x in enumerate(r) if x in (a, b)]
+        cut = [s for c in classes for s in tuples(r, c)]
+        return not any(low < s < high < e for low, high in zip(at[::2], at[1::2], strict=True) for s, e in cut)
+
+    out = set()
+    for c in classes:
+        for a, b in zip(c[:-1], c[1:], strict=True):
+            if sum(holds(r, a, b) for r in read) >= page_text.SUPPORT * len(read):
+                out |= {a, b}
+    return out
+
+
+def found_templates(spark, rows):
+    distinct = page_text._distinct_pages(page_text._parse(spark.createDataFrame(rows, SCHEMA)))
+    parts = page_text._valid_parts(distinct, page_text.cut_lineage(page_text._classes(distinct)))
+    return {r["host"]: set(r["template"]) for r in parts.collect()}
+
+
+def test_templates_against_the_definition(spark):
+    rng = random.Random(11)
+    hosts = {"two.example": 2, "three.example": 3, "five.example": 5, "many.example": 24}
+    rows, truth = [], {}
+    for host, n in hosts.items():
+        pages = []
+        for i in range(n):
+            parts = ["<div class='top'>Welcome</div>", f"<div class='post'><p>{sentence(rng, 9)}</p></div>", "<ul><li>Menu<li>More</ul>", "<div>Call us</div>"]
+            if rng.random() < 0.1:
+                rng.shuffle(parts)
+            parts += [f"<p>{sentence(rng, 2, 3)}</p>" for _ in range(rng.randrange(3))]
+            pages.append("".join(parts))
+        pages.append(pages[0])
+        rows += [(len(rows), f"https://{host}/{i}", p) for i, p in enumerate(pages)]
+        truth[host] = plain_template(pages)
+    assert found_templates(spark, rows) == {host: t for host, t in truth.items() if t}
+    assert truth["two.example"] == set() and len(truth["three.example"]) > 4 and len(truth["many.example"]) > 4
+
+
+def test_occurrence_vectors_decide(spark, monkeypatch):
+    """A line that most pages of a host hold, with a vector of its own, is data; were all vectors equal, it would be template."""
+    rng = random.Random(12)
+    rows, truth = [], []
+    for i in range(40):
+        text = [sentence(rng, 40, 5000), sentence(rng, 40, 5000)]
+        shared = [] if i in (5, 17) else ["Breaking news of the day"]
+        body = "".join(f"<p>{x}</p>" for x in [text[0], *shared, text[1]])
+        rows.append((i, f"https://v.example/{i}", f"<body><div class='top'>Welcome</div><div class='post'>{body}</div><div>Call us</div></body>"))
+        truth.append((i, "\n".join([text[0], *shared, text[1]])))
+    assert sorted(texts(spark, rows)) == truth
+    plain = page_text._occurrences
+    monkeypatch.setattr(page_text, "_occurrences", lambda distinct: plain(distinct).withColumn("vector", page_text.F.lit(0).cast("long")))
+    assert sorted(texts(spark, rows)) != truth
+
+
+def test_small_hosts_follow_the_same_rule(spark):
+    for n in (3, 4, 5):
+        rows = site(random.Random(20 + n), n, "s.example")
+        assert sorted(texts(spark, [r[:3] for r in rows])) == [(i, text) for i, _, _, text in rows]
+
+
+def test_a_page_is_parsed_once(spark, monkeypatch):
+    rows = [r[:3] for r in site(random.Random(30), 20, "p.example")]
+    parsed = spark.sparkContext.accumulator(0)
+    plain = page_text.Parser
+
+    def counted(html):
+        parsed.add(1)
+        return plain(html)
+
+    monkeypatch.setattr(page_text, "Parser", counted)
+    assert len(texts(spark, rows)) == 20 and parsed.value == 20
 
 
 def test_rows_that_repeat_and_nulls(spark):
