@@ -21,6 +21,7 @@ import oracles  # noqa: E402
 from callmeter import fixtures, session  # noqa: E402
 from callmeter.functions.exact import round_places  # noqa: E402
 from callmeter.functions.text import is_valid_email  # noqa: E402
+from callmeter.operators import moments  # noqa: E402
 from callmeter.operators.durable import cut_lineage  # noqa: E402
 from callmeter.plans import alerts, anomaly, features, forecast, gold, serving, silver, stats  # noqa: E402
 from callmeter.sources.readers import decode_calls  # noqa: E402
@@ -211,6 +212,30 @@ def _scaled(t: Tables) -> DataFrame:
     return _rounded(scaled, *features.QUALITY_FEATURES).select("feedback_date", "model", *features.QUALITY_FEATURES)
 
 
+def _in_batches(features_: DataFrame) -> list[DataFrame]:
+    """Three batches of days, dealt by the day of the month."""
+    batch = F.dayofmonth("feedback_date") % 3
+    return [features_.filter(batch == k) for k in range(3)]
+
+
+def _limits_merged(t: Tables) -> DataFrame:
+    """The control limits from moments that each batch of days has left."""
+    days = cut_lineage(t.quality_features())
+    parts = [anomaly.quality_moments(part) for part in _in_batches(days)]
+    merged = moments.merge_moments(parts[0].unionByName(parts[1]).unionByName(parts[2]), ("quality_score_pct",), "model")
+    return _rounded(anomaly.limits_from(merged, days), "quality_mean", "stat_threshold").select(
+        "feedback_date", "model", "quality_score_pct", "quality_mean", "stat_threshold", "stat_anomaly"
+    )
+
+
+def _scaled_merged(t: Tables) -> DataFrame:
+    days = cut_lineage(t.quality_features())
+    parts = [moments.partial_moments(part, features.QUALITY_FEATURES) for part in _in_batches(days)]
+    merged = moments.merge_moments(parts[0].unionByName(parts[1]).unionByName(parts[2]), features.QUALITY_FEATURES)
+    scaled = features.scaled_by(days, merged, features.QUALITY_FEATURES)
+    return _rounded(scaled, *features.QUALITY_FEATURES).select("feedback_date", "model", *features.QUALITY_FEATURES)
+
+
 def _limits(t: Tables) -> DataFrame:
     limited = anomaly.control_limits(t.quality_features())
     return _rounded(limited, "quality_mean", "stat_threshold").select(
@@ -372,6 +397,8 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "quality_features": _quality_features,
     "scaled_quality_features": _scaled,
     "quality_stat_anomalies": _limits,
+    "quality_limits_merged": _limits_merged,
+    "scaled_quality_merged": _scaled_merged,
     "quality_alerts_stat": lambda t: _rounded(t.stat_alerts(), "stat_threshold", "deviation_from_7d_avg", "z_score"),
     "anomaly_totals": lambda t: anomaly.anomaly_totals(t.stat_alerts()),
     "recent_anomalies": lambda t: alerts.recent_anomalies(t.stat_alerts()),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from callmeter.functions.exact import mean_over, round_places
 from callmeter.operators import forest
 from callmeter.operators.durable import cut_lineage
+from callmeter.operators.moments import mean_of, partial_moments, sample_deviation
 from callmeter.plans.features import QUALITY_FEATURES, SPIKE_FEATURES, standardise
 from callmeter.schemas import PERCENT_PLACES
 
@@ -44,6 +45,23 @@ def control_limits(features: DataFrame) -> DataFrame:
     return limited.withColumn("stat_anomaly", F.coalesce(score < F.col("stat_threshold"), F.lit(False)).cast("int"))
 
 
+def quality_moments(features: DataFrame) -> DataFrame:
+    """Per model the moments of some days' scores, to be kept and merged with those of other days."""
+    return partial_moments(features, ("quality_score_pct",), "model")
+
+
+def limits_from(moments: DataFrame, days: DataFrame) -> DataFrame:
+    """Control limits of ``days`` from merged moments of the history, none of which is read."""
+    limits = moments.select(
+        F.col("model").alias("_model"),
+        mean_of("quality_score_pct").alias("quality_mean"),
+        (mean_of("quality_score_pct") - F.lit(SIGMAS) * sample_deviation("quality_score_pct")).alias("stat_threshold"),
+    )
+    limited = days.join(limits, F.col("model").eqNullSafe(F.col("_model")), "left").drop("_model")
+    below = F.col("quality_score_pct") < F.col("stat_threshold")
+    return limited.withColumn("stat_anomaly", F.coalesce(below, F.lit(False)).cast("int"))
+
+
 def severity(is_anomaly: Column, z_score: Column) -> Column:
     """'critical' for an anomaly far below the mean, 'warning' for any other, else 'normal'."""
     return (

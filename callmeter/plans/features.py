@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from callmeter.functions.columns import calendar_columns, code_of
 from callmeter.functions.exact import mean_over
+from callmeter.operators.moments import mean_of, population_deviation
 from callmeter.operators.windows import rows_before, series
 from callmeter.schemas import MODEL_CODES, PERCENT_PLACES, TEAM_CODES
 
@@ -198,3 +199,16 @@ def standardise(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
             for c in columns
         }
     ).drop("_moments")
+
+
+def scaled_by(df: DataFrame, moments: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """``standardise`` by merged moments (one row) of all rows seen so far, which need not be at hand."""
+    told = moments.select(F.struct(*[mean_of(c).alias(f"{c}_mean") for c in columns], *[population_deviation(c).alias(f"{c}_std") for c in columns]))
+    joined = df.withColumns({c: F.col(c).cast("double") for c in columns}).withColumn("_moments", told.scalar())
+    spread = {c: F.col(f"_moments.{c}_std") for c in columns}
+    return joined.withColumns(
+        {
+            c: (F.col(c) - F.col(f"_moments.{c}_mean")) / F.when(spread[c] == 0, F.lit(1.0)).otherwise(spread[c])
+            for c in columns
+        }
+    ).drop("_moments")

@@ -16,6 +16,8 @@ from callmeter.functions.exact import (
     sum_places,
     to_units,
 )
+from callmeter.operators.durable import cut_lineage
+from callmeter.operators.quantile import exact_quantiles
 from callmeter.plans.gold import roll_up
 from callmeter.schemas import CALL_COST_PLACES, DAILY_COST_PLACES, PERCENT_PLACES
 
@@ -48,27 +50,27 @@ def model_quality_stats(quality: DataFrame) -> DataFrame:
 def describe(df: DataFrame, columns: Sequence[str], places: int = 3) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles, one row per column.
 
-    For daily tables: exact quartiles keep a group's distinct values in one
-    aggregation buffer.
+    Quartiles of all columns come from one sort over all partitions, so no
+    task holds the values of a column.
     """
     long_form = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "feature", "value"
     )
-    cut = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    long_form = cut_lineage(long_form)
     stats = long_form.groupBy("feature").agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
-        cut.alias("cut"),
         F.max("value").alias("max"),
     )
-    return stats.select(
-        "feature",
-        "count",
-        *[round_places(c, places).alias(c) for c in ("mean", "std", "min")],
-        *[round_places(F.col("cut")[i], places).alias(name) for i, name in enumerate(("p25", "p50", "p75"))],
-        round_places("max", places).alias("max"),
+    shares = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    cuts = exact_quantiles(long_form, "feature", "value", list(shares.values()))
+    cuts = cuts.groupBy(F.col("key").alias("feature")).agg(
+        *[F.max(F.when(F.col("share") == share, F.col("quantile"))).alias(name) for name, share in shares.items()]
+    )
+    return stats.join(cuts, "feature", "left").select(
+        "feature", "count", *[round_places(c, places).alias(c) for c in ("mean", "std", "min", *shares, "max")]
     )
 
 

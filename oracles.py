@@ -448,6 +448,9 @@ SELECT team, min(predicted_cost_usd) AS min_predicted, max(predicted_cost_usd) A
 FROM predictions GROUP BY team""",
     "quality_features": f"SELECT feedback_date, model, total_feedback, {', '.join(QUALITY_EXACT)}, {rounded(QUALITY_ROUNDED)} FROM quality_feat",
     "scaled_quality_features": f"SELECT feedback_date, model, {', '.join(standard(c) for c in QUALITY_ALL)} FROM quality_feat",
+    "scaled_quality_merged": f"SELECT feedback_date, model, {', '.join(standard(c) for c in QUALITY_ALL)} FROM quality_feat",
+    "quality_limits_merged": f"""
+SELECT feedback_date, model, quality_score_pct, {rounded(['quality_mean', 'stat_threshold'])}, stat_anomaly FROM flagged""",
     "quality_stat_anomalies": f"""
 SELECT feedback_date, model, quality_score_pct, {rounded(['quality_mean', 'stat_threshold'])}, stat_anomaly FROM flagged""",
     "quality_alerts_stat": f"""
