@@ -9,6 +9,12 @@ pairs of vectors whose bound stays below the query's tenth best score so far
 are dropped, and so is the rest of a block whose lengths are too small. What
 remains is computed exactly, in whole numbers. The rotation only prunes.
 
+Each query block first meets the few longest blocks, which gives every query a
+floor. Floor over length says how long a candidate must be to matter, so a
+query block goes to the leading stripes of candidate blocks only; block numbers
+and lengths decide that, before any vector is shuffled. Groups of query blocks
+meet whole stripes, so a vector is sent once for many pairs of blocks.
+
 Vectors that are null, or hold a null or non-finite component, take no part.
 Vectors of different dimensions meet over their common first components.
 Scores are exact as long as they fit in 64 bits. Every row is a vector of its
@@ -33,8 +39,11 @@ TOP = 10
 # Vectors in a block, and query vectors in one.
 BLOCK = 2048
 QUERY_BLOCK = 1024
-# Parts of the candidates that one query block meets in separate tasks.
-STRIPES = 8
+# Candidate blocks in a stripe, and query blocks in a group: what a task holds at a time.
+STRIPE = 16
+GROUP = 16
+# Longest blocks that give the first floors.
+FIRST = 2
 # Vectors that the rotation is fitted on, at most about so many.
 SAMPLE = 32_768
 # Coordinates of the partial product.
@@ -107,15 +116,17 @@ class _Block:
 class _Best:
     """The best candidates so far of the queries of a block."""
 
-    def __init__(self, queries: _Block, top: int):
+    def __init__(self, queries: _Block, top: int, least: np.ndarray | None = None):
+        """``least`` are scores that the results are known to reach."""
         self.top = top
+        self.least = np.full(queries.size, -np.inf) if least is None else least
         self.score = np.full((queries.size, top), np.iinfo(np.int64).min)
         self.id = np.full((queries.size, top), np.iinfo(np.int64).max)
         self.filled = np.zeros((queries.size, top), dtype=bool)
 
     def floor(self) -> np.ndarray:
         """A score that a candidate must reach; minus infinity where places are free."""
-        return np.where(self.filled[:, -1], self.score[:, -1].astype(float), -np.inf)
+        return np.maximum(self.least, np.where(self.filled[:, -1], self.score[:, -1].astype(float), -np.inf))
 
     def add(self, query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
         order = np.argsort(query, kind="stable")
@@ -177,59 +188,111 @@ def _rotation(blocks: DataFrame, dim: int, vectors: int) -> np.ndarray:
     return np.ascontiguousarray(turned[:, np.argsort(-values)])
 
 
+def _reach(queries: _Block, floor: np.ndarray) -> float:
+    """The length below which no candidate can reach any query's floor."""
+    need = np.where(queries.length > 0, floor / np.maximum(queries.length, 1e-300), np.where(floor > 0, np.inf, -np.inf))
+    return float(need.min(initial=np.inf) * (1 - 1e-9) - 1e-6) if queries.size else np.inf
+
+
+def _with_floors(queries: DataFrame, blocks: DataFrame, order: list, rotation, dim: int, top: int) -> DataFrame:
+    """The query blocks with the floors that the longest candidate blocks give their queries, and how long others must be."""
+    longest = blocks.filter(F.col("block").isin([r["block"] for r in order[:FIRST]])).toArrow()
+    shared = blocks.sparkSession.sparkContext.broadcast(longest)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = [_Block(batch, i, dim) for batch in shared.value.to_batches() for i in range(batch.num_rows)]
+        for block in first:
+            block.rotate(rotation.value)
+        first.sort(key=lambda b: -b.longest)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                held = _Block(batch, i, dim)
+                held.rotate(rotation.value)
+                best = _Best(held, top)
+                for block in first:
+                    search_block(best, held, block)
+                floor = best.floor()
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(i, 1).columns, pa.array([floor.tobytes()]), pa.array([_reach(held, floor)])],
+                    names=[*batch.schema.names, "floors", "reach"],
+                )
+
+    return cut_lineage(queries.mapInArrow(search, f"{_BLOCK_SCHEMA}, floors binary, reach double"))
+
+
+def _meetings(blocks: list, queries: list) -> tuple[list, list]:
+    """Which groups of query blocks meet which stripes, from block numbers and lengths alone.
+
+    Rows (block, stripe, groups) and (block, group, stripes): candidate blocks,
+    longest first, fall into stripes; query blocks, those that reach shortest
+    first, into groups. A group meets the first stripes, a stripe the first
+    groups.
+    """
+    longest = np.array([-r["longest"] for r in blocks])
+    groups = [queries[low : low + GROUP] for low in range(0, len(queries), GROUP)]
+    reached = [int(np.searchsorted(longest, -min(r["reach"] for r in own), "right")) for own in groups]
+    stripes = [-(-n // STRIPE) for n in reached]
+    asked = [(r["block"], g, stripes[g]) for g, own in enumerate(groups) for r in own if stripes[g]]
+    # Groups are in order of reach, so those that meet a stripe are the first ones.
+    held = [(r["block"], k // STRIPE, sum(n > k // STRIPE for n in stripes)) for k, r in enumerate(blocks)]
+    return [h for h in held if h[2]], asked
+
+
 def top_inner_products(
     vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", top: int = TOP
 ) -> DataFrame:
     """Per query its ``top`` greatest scores: query_id, rank, vec_id and score.
 
     ``is_query`` is a condition on the column ``id``. Equal scores rank by the
-    smaller id. Each query block meets each candidate block that its bound
-    lets through, stripe by stripe, in order of descending length.
+    smaller id. Fewer candidates give fewer rows, an empty table none. The
+    driver holds one number and one length per block of vectors.
     """
     spark = vectors.sparkSession
     whole = whole_vectors(vectors, id_col, vector_col)
     size = whole.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
     dim = max(1, size[1] or 1)
     blocks = cut_lineage(_blocks(whole, BLOCK))
-    queries = cut_lineage(_blocks(whole.filter(is_query), QUERY_BLOCK))
     rotation = spark.sparkContext.broadcast(_rotation(blocks, dim, size[0]))
+    order = blocks.select("block", "longest").orderBy(F.desc("longest"), "block").collect()
+    queries = _with_floors(_blocks(whole.filter(is_query), QUERY_BLOCK), blocks, order, rotation, dim, top)
+    reach = queries.select("block", "reach").orderBy("reach", "block").collect()
+    held, asked = _meetings(order, reach)
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def search(candidates: pa.Table, queries: pa.Table) -> pa.Table:
         turn = rotation.value
-        group = held = best = None
-        for batch in batches:
+        found = [_Block(batch, i, dim) for batch in candidates.to_batches() for i in range(batch.num_rows)]
+        found.sort(key=lambda b: -b.longest)
+        for block in found:
+            block.rotate(turn)
+        out = []
+        for batch in queries.to_batches():
             for i in range(batch.num_rows):
-                key = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                if key != group:
-                    if group is not None:
-                        yield _found(held, best)
-                    group, held = key, _Block(batch, i, dim, "q_")
-                    held.rotate(turn)
-                    best = _Best(held, top)
-                block = _Block(batch, i, dim)
-                block.rotate(turn)
-                search_block(best, held, block)
-        if group is not None:
-            yield _found(held, best)
-
-    # Each query block comes once for every stripe, each candidate block once for every query block.
-    stripe = F.pmod(F.xxhash64("block"), F.lit(STRIPES)).cast("int")
-    numbered = blocks.withColumn("stripe", stripe)
-    asked = queries.select(
-        F.explode(F.sequence(F.lit(0), F.lit(STRIPES - 1))).alias("stripe"),
-        F.col("block").alias("q_block"),
-        *(F.col(c).alias(f"q_{c}") for c in ("size", "dim", "longest", "ids", "rows", "vectors")),
-    )
-    pairs = numbered.join(asked, "stripe").repartition("stripe", "q_block")
-    pairs = pairs.sortWithinPartitions("stripe", "q_block", F.desc("longest"), "block")
-    columns = ["stripe", "q_block", *(c for c in pairs.columns if c not in ("stripe", "q_block"))]
-    partial = pairs.select(*columns).mapInArrow(search, "q_row long, query_id long, vec_id long, score long")
-    order = Window.partitionBy("q_row").orderBy(F.desc("score"), "vec_id")
-    ranked = partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+                own = _Block(batch, i, dim)
+                own.rotate(turn)
+                floors = batch.column(batch.schema.get_field_index("floors"))[i].as_py()
+                best = _Best(own, top, np.frombuffer(floors, np.float64))
+                for block in found:
+                    search_block(best, own, block)
+                out.append(_found(own, best))
+        return pa.Table.from_batches(out, _FOUND_SCHEMA)
+
+    keys = ("stripe", "group")
+    stripes = spark.createDataFrame(held, "block long, stripe int, groups int")
+    stripes = stripes.select("block", "stripe", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"))
+    groups = spark.createDataFrame(asked, "block long, group int, stripes int")
+    groups = groups.select("block", "group", F.explode(F.sequence(F.lit(0), F.col("stripes") - 1)).alias("stripe"))
+    left = blocks.join(stripes, "block").groupBy(*keys)
+    right = queries.drop("reach").join(groups, "block").groupBy(*keys)
+    partial = left.cogroup(right).applyInArrow(search, "q_row long, query_id long, vec_id long, score long")
+    ranked = Window.partitionBy("q_row").orderBy(F.desc("score"), "vec_id")
+    ranked = partial.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= top)
     last = (1 << 63) - 1
     return ranked.select("query_id", "rank", F.when(F.col("vec_id") != last, F.col("vec_id")).alias("vec_id"), "score")
 
 
+_FOUND_SCHEMA = pa.schema([(name, pa.int64()) for name in ("q_row", "query_id", "vec_id", "score")])
+
+
 def _found(queries: _Block, best: _Best) -> pa.RecordBatch:
     q, k = np.nonzero(best.filled)
     return pa.RecordBatch.from_pydict(

@@ -89,3 +89,40 @@ def test_short_vectors_are_pruned():
     best = topk._Best(queries, 10)
     assert topk.search_block(best, queries, long) == 12
     assert topk.search_block(best, queries, short) == 0
+
+
+def test_blocks_sent_are_blocks_computed(spark, monkeypatch):
+    """Lengths decide which blocks meet before any vector is sent, and nearly all that meet compute something."""
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(topk, "STRIPE", 2)
+    monkeypatch.setattr(topk, "GROUP", 2)
+    sent, computed = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    plain = topk.search_block
+
+    def counted(best, queries, candidates):
+        pairs = plain(best, queries, candidates)
+        if best.least.max() > -math.inf:
+            sent.add(1)
+            computed.add(pairs > 0)
+        return pairs
+
+    monkeypatch.setattr(topk, "search_block", counted)
+    rows = vectors(900, 24, 3, 1.5)
+    assert found(spark, rows) == expected(rows)
+    blocks, queries = math.ceil(900 / 16), math.ceil(9 / 2)
+    assert 0 < sent.value < 0.3 * blocks * queries
+    assert computed.value > 0.5 * sent.value
+
+
+def test_meetings_follow_lengths():
+    blocks = [{"block": k, "longest": 10.0 - k} for k in range(7)]
+    queries = [{"block": 10, "reach": -math.inf}, {"block": 11, "reach": 8.0}, {"block": 12, "reach": 20.0}]
+    topk_stripe, topk_group = topk.STRIPE, topk.GROUP
+    try:
+        topk.STRIPE, topk.GROUP = 2, 1
+        held, asked = topk._meetings(blocks, queries)
+    finally:
+        topk.STRIPE, topk.GROUP = topk_stripe, topk_group
+    assert asked == [(10, 0, 4), (11, 1, 2)]
+    assert held == [(0, 0, 2), (1, 0, 2), (2, 1, 2), (3, 1, 2), (4, 2, 1), (5, 2, 1), (6, 3, 1)]
