@@ -87,21 +87,39 @@ def quality_alerts(flagged: DataFrame) -> DataFrame:
     )
 
 
-def score_with_forest(
-    df: DataFrame, columns: tuple[str, ...], keys: tuple[str, ...], trees: int = TREES, seed: int = SEED
-) -> DataFrame:
-    """Add ``if_anomaly_score`` and ``if_anomaly`` from a forest on the scaled columns."""
+def _scaled(df: DataFrame, columns: tuple[str, ...]) -> tuple[DataFrame, tuple[str, ...]]:
+    """The stored rows with their scaled columns, under names of their own."""
     named = {c: f"scaled_{c}" for c in columns}
     ready = cut_lineage(df).withColumns({new: F.col(old) for old, new in named.items()})
-    scaled = standardise(ready, tuple(named.values()))
-    model = forest.fit(scaled, tuple(named.values()), keys, trees=trees, seed=seed)
-    scored = cut_lineage(scaled.withColumn("if_anomaly_score", model.score_column(scaled)).drop(*named.values()))
+    return standardise(ready, tuple(named.values())), tuple(named.values())
+
+
+def score_with_forest(
+    df: DataFrame,
+    columns: tuple[str, ...],
+    keys: tuple[str, ...],
+    trees: int = TREES,
+    seed: int = SEED,
+    grown: forest.IsolationForest | None = None,
+) -> DataFrame:
+    """Add ``if_anomaly_score`` and ``if_anomaly`` from a forest on the scaled columns, one that is ``grown`` already or a new one."""
+    scaled, names = _scaled(df, columns)
+    model = grown or forest.fit(scaled, names, keys, trees=trees, seed=seed)
+    scored = cut_lineage(scaled.withColumn("if_anomaly_score", model.score_column(scaled)).drop(*names))
     return forest.flag_share(scored, "if_anomaly_score", "if_anomaly", CONTAMINATION)
 
 
-def detect_quality_anomalies(features: DataFrame, trees: int = TREES, seed: int = SEED) -> DataFrame:
+def grow_quality_forest(features: DataFrame, trees: int = TREES, seed: int = SEED) -> forest.IsolationForest:
+    """The forest that ``detect_quality_anomalies`` grows, to be stored."""
+    scaled, names = _scaled(features, QUALITY_FEATURES)
+    return forest.fit(scaled, names, ("feedback_date", "model"), trees=trees, seed=seed)
+
+
+def detect_quality_anomalies(
+    features: DataFrame, trees: int = TREES, seed: int = SEED, grown: forest.IsolationForest | None = None
+) -> DataFrame:
     """Quality alerts from forest and control limits together."""
-    scored = score_with_forest(features, QUALITY_FEATURES, ("feedback_date", "model"), trees, seed)
+    scored = score_with_forest(features, QUALITY_FEATURES, ("feedback_date", "model"), trees, seed, grown)
     return quality_alerts(control_limits(scored))
 
 

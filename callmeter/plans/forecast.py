@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from callmeter.functions.exact import round_places
+from callmeter.operators import forest
 from callmeter.operators.durable import cut_lineage
 from callmeter.plans.features import (
     COST_FEATURES,
@@ -41,12 +43,13 @@ SAMPLE_ROWS = 5
 
 @dataclass
 class Forecaster:
-    """A fitted model with its settings, its training and test figures and a few input rows."""
+    """A fitted model with its settings, its training and test figures and a few input rows; the quality forest beside it."""
 
     model: PipelineModel
     settings: dict
     metrics: DataFrame
     sample: DataFrame
+    forest: forest.IsolationForest | None = None
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -114,20 +117,54 @@ def naive_metrics(features: DataFrame, test_days: int = TEST_DAYS) -> DataFrame:
     return forecast_metrics(test, "total_cost_usd", "rolling_mean_7d")
 
 
-def save(forecaster: Forecaster, path: str) -> None:
-    """Write the model, its settings and figures as a one-row table, and the sample below ``path``."""
-    forecaster.model.write().overwrite().save(f"{path}/model")
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The complete versions of the model below ``path``, in order."""
+    try:
+        found = spark.read.schema("version long").parquet(f"{path}/v*/complete").collect()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(r["version"] for r in found)
+
+
+def save(forecaster: Forecaster, path: str) -> int:
+    """Store the model as a new version below ``path`` and return its number.
+
+    A version holds the model, a one-row table of its settings, inputs and
+    figures, a few input rows, and the forest that was trained beside it, if
+    any. Its last write marks it as complete: until then, and after a failure,
+    the version before is the one that is loaded. Versions are never changed;
+    one that was not completed is written anew.
+    """
+    spark = forecaster.metrics.sparkSession
+    number = max(versions(spark, path), default=0) + 1
+    folder = f"{path}/v{number}"
+    forecaster.model.write().overwrite().save(f"{folder}/model")
     described = forecaster.metrics.select(
         F.lit(json.dumps(forecaster.settings, sort_keys=True)).alias("settings"),
         F.lit(json.dumps(COST_FEATURES)).alias("features"),
+        F.lit(forecaster.sample.schema.json()).alias("input_schema"),
+        F.lit(forecaster.forest is not None).alias("has_forest"),
         "*",
     )
-    described.write.mode("overwrite").parquet(f"{path}/training")
-    forecaster.sample.write.mode("overwrite").parquet(f"{path}/sample")
-
-
-def load(spark: SparkSession, path: str) -> Forecaster:
-    training = spark.read.parquet(f"{path}/training")
-    settings = json.loads(training.select("settings").first()[0])
-    metrics, sample = training.drop("settings", "features"), spark.read.parquet(f"{path}/sample")
-    return Forecaster(PipelineModel.load(f"{path}/model"), settings, metrics, sample)
+    described.write.mode("overwrite").parquet(f"{folder}/training")
+    forecaster.sample.write.mode("overwrite").parquet(f"{folder}/sample")
+    if forecaster.forest is not None:
+        forest.save(forecaster.forest, spark, f"{folder}/forest")
+    spark.range(number, number + 1).select(F.col("id").alias("version")).coalesce(1).write.mode("overwrite").parquet(f"{folder}/complete")
+    return number
+
+
+def load(spark: SparkSession, path: str, version: int | None = None) -> Forecaster:
+    """A stored model: of ``version``, or of the last complete one."""
+    complete = versions(spark, path)
+    number = max(complete, default=None) if version is None else version
+    if number not in complete:
+        raise FileNotFoundError(f"no complete version {version or ''} of a model below {path}")
+    folder = f"{path}/v{number}"
+    training = spark.read.parquet(f"{folder}/training")
+    told = training.select("settings", "has_forest").first()
+    metrics, sample = training.drop("settings", "features", "input_schema", "has_forest"), spark.read.parquet(f"{folder}/sample")
+    grown = forest.load(spark, f"{folder}/forest") if told["has_forest"] else None
+    return Forecaster(PipelineModel.load(f"{folder}/model"), json.loads(told["settings"]), metrics, sample, grown)

@@ -89,15 +89,16 @@ def refresh_gold(
 
 
 def refresh_models(lake: Lake, model_path: str | None = None, **settings) -> forecast.Forecaster:
-    """Train the forecaster, store its predictions and the quality alerts."""
+    """Train the forecaster and the forest, store them as one version, and their predictions and quality alerts."""
     daily = lake.load("gold", "daily_cost_by_team").drop("gold_loaded_at")
     inputs = features.cost_features(daily)
+    quality = features.quality_features(lake.load("gold", "quality_score_daily").drop("gold_loaded_at"))
     forecaster = forecast.train(inputs, **settings)
+    forecaster.forest = anomaly.grow_quality_forest(quality)
     if model_path is not None:
         forecast.save(forecaster, model_path)
     lake.materialize(forecast.cost_forecast(forecaster.model, inputs, daily), "gold", "cost_predictions")
-    quality = features.quality_features(lake.load("gold", "quality_score_daily").drop("gold_loaded_at"))
-    lake.materialize(anomaly.detect_quality_anomalies(quality), "gold", "quality_alerts")
+    lake.materialize(anomaly.detect_quality_anomalies(quality, grown=forecaster.forest), "gold", "quality_alerts")
     return forecaster
 
 
@@ -106,8 +107,8 @@ def refresh_alerts(lake: Lake) -> None:
     daily = lake.load("gold", "daily_cost_by_team")
     flagged = lake.load("gold", "quality_alerts")
     predictions = lake.load("gold", "cost_predictions")
-    lake.materialize(alerts.alert_summary(flagged, daily), "gold", "alert_summary")
+    lake.materialize(alerts.alert_summary(flagged, daily), "gold", "alert_summary", merge_schema=True)
     ahead = alerts.alert_summary_forecast(predictions, daily, flagged, created_at=F.current_timestamp())
-    stored = lake.materialize(ahead, "gold", "alert_summary_forecast")
+    stored = lake.materialize(ahead, "gold", "alert_summary_forecast", merge_schema=True)
     summary = alerts.project_summary(lake.load("gold", "call_cube"), stored, predictions)
     lake.materialize(summary, "gold", "project_summary")

@@ -14,6 +14,20 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ByteType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from callmeter.schemas import TABLES
 
@@ -22,6 +36,9 @@ from callmeter.schemas import TABLES
 MOST_PIECES = 8
 MOST_DATES = 1000
 _PIECES = "callmeter.pieces"
+_SCHEMAS = "callmeter.schemas"
+# Number types from narrow to wide.
+_NUMBERS = (ByteType(), ShortType(), IntegerType(), LongType(), FloatType(), DoubleType())
 # Spark's writers of one table must not overlap, and streams side by side may share one: a lock for each table of parts.
 _WRITING: dict[str, Lock] = defaultdict(Lock)
 
@@ -40,6 +57,36 @@ def _not_on(date_col: str, dates: Sequence[str | None]) -> str:
     return f"{outside} AND {date_col} IS NOT NULL" if None in dates else outside
 
 
+def wider_type(name: str, a: DataType, b: DataType) -> DataType:
+    """The type that holds the values of both; an error where there is none."""
+    if a == b:
+        return a
+    if a in _NUMBERS and b in _NUMBERS:
+        wide = _NUMBERS[max(_NUMBERS.index(a), _NUMBERS.index(b))]
+        # A float does not hold all ints.
+        return DoubleType() if isinstance(wide, FloatType) and {a, b} & {IntegerType(), LongType()} else wide
+    if {a, b} == {DateType(), TimestampType()}:
+        return TimestampType()
+    if isinstance(a, DecimalType) and isinstance(b, DecimalType):
+        scale = max(a.scale, b.scale)
+        whole = max(a.precision - a.scale, b.precision - b.scale)
+        if whole + scale <= 38:
+            return DecimalType(whole + scale, scale)
+    raise ValueError(f"{name}: {a.simpleString()} and {b.simpleString()} have no common type")
+
+
+def merged_schema(old: StructType, new: StructType) -> StructType:
+    """The columns of ``old`` and then those that only ``new`` has, types widened."""
+    added = {f.name: f for f in new.fields}
+    both = [StructField(f.name, wider_type(f.name, f.dataType, added[f.name].dataType) if f.name in added else f.dataType) for f in old.fields]
+    return StructType([*both, *(StructField(f.name, f.dataType) for f in new.fields if f.name not in old.fieldNames())])
+
+
+def under_schema(df: DataFrame, schema: StructType) -> DataFrame:
+    """The rows of ``df`` with the columns and types of ``schema``, NULL where it lacks one."""
+    return df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def on_dates(date_col: str, dates: Sequence[date | None]) -> Column:
     """Whether a date is one of ``dates``, which may hold None."""
     listed = F.coalesce(F.col(date_col).isin([d for d in dates if d is not None]), F.lit(False))
@@ -53,6 +100,8 @@ class Lake:
     spark: SparkSession
     prefix: str = ""
     format: str = "parquet"
+    # Versions of a table that stay stored, the current one among them; what its last view was made of always does.
+    keep_versions: int = 2
 
     def database(self, layer: str) -> str:
         return f"{self.prefix}{layer}"
@@ -76,7 +125,9 @@ class Lake:
     def load_if_exists(self, layer: str, table: str) -> DataFrame | None:
         return self.load(layer, table) if self.exists(layer, table) else None
 
-    def materialize(self, df: DataFrame, layer: str, table: str, partition_by: str | None = None) -> DataFrame:
+    def materialize(
+        self, df: DataFrame, layer: str, table: str, partition_by: str | None = None, merge_schema: bool = False
+    ) -> DataFrame:
         """Replace a table by the rows of ``df``, which may come from it, and return the stored table.
 
         The rows are written as a new version, to which a view of the table's
@@ -84,8 +135,11 @@ class Lake:
         the view consisted of before is kept for readers that have begun with
         it, older versions are dropped. A partitioned table is rebalanced by its
         partition column first: small partitions end up in one file each, a
-        large one is split over tasks.
+        large one is split over tasks. With ``merge_schema`` the table keeps
+        the columns it had, NULL where ``df`` lacks them, and types widen.
         """
+        if merge_schema and self.exists(layer, table):
+            df = under_schema(df, merged_schema(self.load(layer, table).schema, df.schema))
         if partition_by is not None:
             df = df.hint("rebalance", F.col(partition_by))
         number = self._write_version(df, layer, table, (partition_by,) if partition_by else ())
@@ -138,12 +192,27 @@ class Lake:
             # A table that was not written by this class, such as one that a stream appended to.
             self.spark.sql(f"DROP TABLE {name}")
         listed = json.dumps([[p.version, list(p.replaced)] for p in pieces])
-        self.define(layer, table, query, {_PIECES: listed})
-        used = {p.version for p in [*pieces, *before]}
+        newest = pieces[-1].version
+        history = [*self.schema_history(layer, table), (newest, self.spark.read.table(f"{name}__{newest}").schema)]
+        told = json.dumps([[n, s.jsonValue()] for n, s in history])
+        self.define(layer, table, query, {_PIECES: listed, _SCHEMAS: told})
+        used = {p.version for p in [*pieces, *before]} | {n for n, _ in history[-self.keep_versions :]}
         for version in self._versions(layer, table):
             if version not in used:
                 self.spark.sql(f"DROP TABLE IF EXISTS {name}__{version}")
 
+    def schema_history(self, layer: str, table: str) -> list[tuple[int, StructType]]:
+        """The versions that a table has had, in order, each with the schema it was written under."""
+        if not self.exists(layer, table) or self.spark.catalog.getTable(self.name(layer, table)).tableType != "VIEW":
+            return []
+        told = json.loads(self.properties(layer, table).get(_SCHEMAS, "[]"))
+        return [(n, StructType.fromJson(s)) for n, s in told]
+
+    def as_of(self, layer: str, table: str, version: int) -> DataFrame:
+        """A version that is still stored, under the table's schema of today: later columns are NULL, types widened."""
+        stored = self.spark.read.table(f"{self.name(layer, table)}__{version}")
+        return under_schema(stored, merged_schema(self.load(layer, table).schema, stored.schema))
+
     def replace_dates(self, df: DataFrame, layer: str, table: str, date_col: str, dates: Sequence[date | None]) -> DataFrame:
         """Replace the rows of the given dates by ``df``, which holds these dates only; all other rows stay where they are.
 
@@ -201,7 +270,8 @@ class Lake:
 
     def define(self, layer: str, table: str, query: str, properties: Mapping[str, str] | None = None) -> None:
         """Make a table a view of ``query``; its properties change with it, in one step."""
-        listed = ", ".join(f"'{key}' = '{value}'" for key, value in (properties or {}).items())
+        quoted = {key: value.replace("\\", "\\\\").replace("'", "\\'") for key, value in (properties or {}).items()}
+        listed = ", ".join(f"'{key}' = '{value}'" for key, value in quoted.items())
         told = f"TBLPROPERTIES ({listed}) " if listed else ""
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, table)} {told}AS {query}")
 
