@@ -12,10 +12,12 @@ two tokens before it, times its own within the class:
 * The end is a class of its own.
 
 The class softmax has a weight row for the token before, for the one before
-that (skip) and for the hashed pair. Weights are trained by gradient steps on
-all partitions, round by round: each task walks over its share of the
-documents from the shared weights, and the tasks' weights are averaged by
-their number of tokens. Counts are taken over all documents learned from.
+that (skip) and for the hashed pair. Weights are trained by gradient steps,
+round by round: documents are dealt to shards by a hash, as many as their
+tokens ask for, so that the model does not depend on how files are laid out;
+each task walks over its shard from the shared weights, and the shards' weights
+are averaged by their number of tokens. Counts are taken over all documents
+learned from.
 
 Probabilities of all known words, the end and the unknown type sum to one.
 Null texts are empty: they hold only an end. Without documents to learn from
@@ -52,6 +54,9 @@ PAIRS = 2048
 ROWS = 2 * BUCKETS + PAIRS
 HEAD_CONTEXTS = 128
 ROUNDS = 2
+# Tokens in a shard of a round, about, and the fewest shards.
+SHARD_TOKENS = 1 << 22
+SHARDS = 4
 # Words whose counts are broadcast; those of all others are joined.
 FREQUENT = 1 << 17
 # Tokens counted before their counts are handed on.
@@ -314,9 +319,12 @@ def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
     """The model learned from ``docs``, and the counts of all words, stored."""
     counts = cut_lineage(_counts(docs))
     model = _statistics(counts)
+    shards = max(SHARDS, -(-model.total // (rounds * SHARD_TOKENS)))
+    # By id and text, so that copies of one text spread.
+    deal = F.xxhash64(*docs.columns)
     for k in range(rounds if model.total else 0):
-        share = F.pmod(F.xxhash64("text", F.lit("round")), F.lit(rounds)) == k
-        _round(docs.filter(share), model)
+        share = F.pmod(deal, F.lit(rounds)) == k
+        _round(docs.filter(share).repartition(shards, deal), model)
     return model, counts
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -13,7 +14,7 @@ import pytest
 
 from callmeter.llm import lm, registry
 from callmeter.llm.text import Hasher, slices
-from tests.llm.cases import SCHEMA, awkward_rows, clashing, documents
+from tests.llm.cases import SCHEMA, awkward_rows, clashing, documents, sentence
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -99,3 +100,15 @@ def test_nothing_to_learn_from(spark):
     (row,) = lm.lm_scores(documents(spark, [(out, "some words", None, None, None)])).collect()
     assert (row["train_tokens"], row["n_known"], row["base_score"]) == (0, 0, 0.0)
     assert row["score"] == pytest.approx(0, abs=1e-6)
+
+
+def test_the_layout_of_files_changes_little(spark):
+    """One table in 1 and in 64 partitions."""
+    rng = random.Random(21)
+    rows = [(i, sentence(rng, rng.randrange(40, 120), 300), None, None, None) for i in range(1500)]
+    docs = documents(spark, rows)
+    per_token = []
+    for n in (1, 64):
+        found = lm.lm_scores(docs.repartition(n)).filter("held_out").collect()
+        per_token.append(sum(r["score"] for r in found) / sum(r["n_tokens"] for r in found))
+    assert abs(per_token[0] - per_token[1]) < 0.01
