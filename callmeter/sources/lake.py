@@ -35,8 +35,9 @@ from callmeter.schemas import TABLES
 # Versions that a table's view may consist of, and dates that are replaced in it at a time.
 MOST_PIECES = 8
 MOST_DATES = 1000
-_PIECES = "callmeter.pieces"
-_SCHEMAS = "callmeter.schemas"
+_OWN = "callmeter."
+_PIECES = f"{_OWN}pieces"
+_SCHEMAS = f"{_OWN}schemas"
 # Number types from narrow to wide.
 _NUMBERS = (ByteType(), ShortType(), IntegerType(), LongType(), FloatType(), DoubleType())
 # Spark's writers of one table must not overlap, and streams side by side may share one: a lock for each table of parts.
@@ -270,13 +271,15 @@ class Lake:
 
     def define(self, layer: str, table: str, query: str, properties: Mapping[str, str] | None = None) -> None:
         """Make a table a view of ``query``; its properties change with it, in one step."""
-        quoted = {key: value.replace("\\", "\\\\").replace("'", "\\'") for key, value in (properties or {}).items()}
-        listed = ", ".join(f"'{key}' = '{value}'" for key, value in quoted.items())
+        # As hexadecimal digits: Spark shows no property whose text holds a word such as "token".
+        listed = ", ".join(f"'{key}' = '{value.encode().hex()}'" for key, value in (properties or {}).items())
         told = f"TBLPROPERTIES ({listed}) " if listed else ""
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, table)} {told}AS {query}")
 
     def properties(self, layer: str, table: str) -> dict[str, str]:
-        return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name(layer, table)}").collect()}
+        """The properties that ``define`` gave a table's view."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(layer, table)}").collect()
+        return {r["key"]: bytes.fromhex(r["value"]).decode() for r in rows if r["key"].startswith(_OWN)}
 
     def parts(self, layer: str, table: str, source: str | None = None, batch: int | None = None) -> DataFrame:
         """The stored parts of a table, or those of one source or batch, with the columns ``source`` and ``batch``."""
