@@ -7,17 +7,28 @@ two tokens before it, times its own within the class:
 * The most frequent words form the head, in classes of like frequency. Within
   a class a second softmax, on the token before, picks the word.
 * All other words belong to classes by a hash of their ending. Within a class
-  a known word has a share by its count; the share of words never seen, one
-  type for all, is that of the tokens seen once (Good-Turing).
+  a known word starts from a share by its count, and each pair of a hashed
+  context (the token before, in 65,536 buckets) and such a word that the
+  documents hold twice or more has a weight of its own. These weights are a
+  table that grows with the corpus, as the counts do: the most frequent are
+  broadcast, all others joined. The share of words never seen, one type for
+  all, is that of the tokens seen once (Good-Turing).
 * The end is a class of its own.
 
-The class softmax has a weight row for the token before, for the one before
-that (skip) and for the hashed pair. Weights are trained by gradient steps,
-round by round: documents are dealt to shards by a hash, as many as their
-tokens ask for, so that the model does not depend on how files are laid out;
-each task walks over its shard from the shared weights, and the shards' weights
-are averaged by their number of tokens. Counts are taken over all documents
-learned from.
+The class softmax starts from the classes' counts after each hashed context
+and has a weight row for the token before, for the one before that (skip) and
+for the hashed pair. Its weights, and those within the head's classes, are
+trained by gradient steps, round by round: documents are dealt to shards by a
+hash, as many as their tokens ask for, so that the model does not depend on how
+files are laid out; each task walks over its shard from the shared weights, and
+the shards' weights are averaged by their number of tokens.
+
+No two pair weights act on one token, so their gradients vanish in closed form:
+after context b a word w of class c gets the probability
+(n(b, w) - d) / N(b, c) + r(b, c) p(w), where d is an absolute discount and r
+the mass that discounts and pairs seen once leave over. As a log-linear model
+that is log p(w) + log r(b, c) + weight(b, w), a sum of three looked up numbers.
+Counts are taken over all documents learned from.
 
 Probabilities of all known words, the end and the unknown type sum to one.
 Null texts are empty: they hold only an end. Without documents to learn from
@@ -53,11 +64,17 @@ START = BUCKETS - 1
 PAIRS = 2048
 ROWS = 2 * BUCKETS + PAIRS
 HEAD_CONTEXTS = 128
+# Hashed contexts of the pair weights; the start of a text shares the first.
+CONTEXT_BITS = 16
+# Occurrences from which a pair has a weight of its own.
+LEAST_PAIR = 2
+# Tokens' worth of the classes' overall shares in the counts after a context.
+CLASS_PRIOR = 4.0
 ROUNDS = 2
 # Tokens in a shard of a round, about, and the fewest shards.
 SHARD_TOKENS = 1 << 22
 SHARDS = 4
-# Words whose counts are broadcast; those of all others are joined.
+# Words whose counts, and pairs whose weights, are broadcast; those of all others are joined.
 FREQUENT = 1 << 17
 # Tokens counted before their counts are handed on.
 _COUNTED = 1 << 22
@@ -93,27 +110,48 @@ def tokens(s: Slice, hasher: Hasher) -> Tokens:
     return Tokens(keys, first)
 
 
-def _counts(docs: DataFrame) -> DataFrame:
-    """Rows (word, n): how often each token occurs in ``docs``."""
+def hashed_contexts(t: Tokens) -> np.ndarray:
+    """The bucket of the token before each token; 0 at the start of a row."""
+    bucket = ((t.keys >> _U(40)) & _U((1 << CONTEXT_BITS) - 1)).astype(np.int32)
+    before = np.zeros(len(bucket), np.int32)
+    before[1:] = bucket[:-1]
+    before[t.first[:-1]] = 0
+    return before
+
+
+def pair_keys(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """One key for a context and a word; ``_pair_key`` is the same for columns."""
+    return words ^ ((before.astype(_U) + _U(1)) << _U(47))
+
+
+def _pair_key() -> Column:
+    return F.col("word").bitwiseXOR(F.shiftleft(F.col("before").cast("long") + 1, 47))
+
+
+def _pairs(docs: DataFrame) -> DataFrame:
+    """Rows (before, word, n): how often each token of ``docs`` follows each hashed context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, held, size = Hasher(), [], 0
 
-        def counted() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["word", "n"])
+        def batch() -> pa.RecordBatch:
+            before, words = (np.concatenate(part) for part in zip(*held, strict=True))
+            _, at, n = np.unique(pair_keys(before, words), return_index=True, return_counts=True)
+            columns = [pa.array(before[at]), pa.array(words[at].view(np.int64)), pa.array(n)]
+            return pa.RecordBatch.from_arrays(columns, names=["before", "word", "n"])
 
         for s in slices(batches):
-            keys = tokens(s, hasher).keys
-            held.append(keys)
-            size += len(keys)
+            t = tokens(s, hasher)
+            held.append((hashed_contexts(t), t.keys))
+            size += len(t.keys)
             if size >= _COUNTED:
-                yield counted()
+                yield batch()
                 held, size = [], 0
         if held:
-            yield counted()
+            yield batch()
 
-    return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    found = docs.select("text").mapInArrow(run, "before int, word long, n long")
+    return found.groupBy("before", "word").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -133,6 +171,11 @@ class Model:
     unseen: np.ndarray
     weights: np.ndarray
     head_weights: np.ndarray
+    # Per hashed context: log shares of the classes, and log10 of what pairs leave over in each tail class.
+    class_log: np.ndarray
+    left_log: np.ndarray
+    pair: np.ndarray
+    pair_weight: np.ndarray
 
     def head_number(self, keys: np.ndarray) -> np.ndarray:
         """The number of each head word, -1 for others."""
@@ -141,8 +184,8 @@ class Model:
         at = np.minimum(np.searchsorted(self.head, keys), len(self.head) - 1)
         return np.where(self.head[at] == keys, self.head_slot[at], -1)
 
-    def contexts(self, t: Tokens, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The weight rows of each token: the token before, the one before that, the pair."""
+    def contexts(self, t: Tokens, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The weight rows of each token (the token before, the one before that, the pair) and its hashed context."""
         bucket = np.where(number >= 0, number, HEAD + (t.keys & _U(16 * TAIL_CLASSES - 1)).astype(np.int64))
         one = np.empty(len(bucket), np.int64)
         two = np.empty(len(bucket), np.int64)
@@ -152,7 +195,7 @@ class Model:
         second = begin + 1
         two[second[second < t.first[1:]]] = START
         pair = (one * 40503 + two * 30011) % 65521 % PAIRS
-        return one, two + BUCKETS, pair + 2 * BUCKETS
+        return one, two + BUCKETS, pair + 2 * BUCKETS, hashed_contexts(t)
 
     def classes(self, t: Tokens, number: np.ndarray) -> np.ndarray:
         tail = HEAD_CLASSES + (t.keys & _U(TAIL_CLASSES - 1)).astype(np.int64)
@@ -162,7 +205,7 @@ class Model:
         z = self.weights[rows[0][part]]
         z += self.weights[rows[1][part]]
         z += self.weights[rows[2][part]]
-        z += self.prior
+        z += self.class_log[rows[3][part]]
         return z
 
 
@@ -173,19 +216,29 @@ def _probabilities(z: np.ndarray) -> np.ndarray:
     return z
 
 
+def _most_frequent(rows: DataFrame) -> DataFrame:
+    """The rows of the highest counts ``n``, at most ``FREQUENT``: whole levels of like counts."""
+    level = F.floor(F.log2("n") * 16).cast("int").alias("level")
+    sizes = {r["level"]: r["count"] for r in rows.groupBy(level).count().collect()}
+    lowest, held = 1 << 30, 0
+    for k in sorted(sizes, reverse=True):
+        held += sizes[k]
+        if held > FREQUENT:
+            break
+        lowest = k
+    return rows.filter(level >= lowest)
+
+
 def _statistics(counts: DataFrame) -> Model:
     """The untrained model: counts, classes, priors and shares, and weights of zero."""
     word_class = F.col("word").bitwiseAND(TAIL_CLASSES - 1).alias("class")
     is_end = F.col("word") == int(END_KEY.view(np.int64))
-    level = F.floor(F.log2("n") * 16).cast("int").alias("level")
-    totals = counts.filter(~is_end).groupBy(word_class, level).agg(
+    totals = counts.filter(~is_end).groupBy(word_class).agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("words"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("once")
     )
     totals = totals.toPandas()
     ends = counts.filter(is_end).agg(F.sum("n")).first()[0] or 0
-    by_level = totals.groupby("level")["words"].sum().sort_index(ascending=False).cumsum()
-    lowest = by_level.index[by_level <= FREQUENT].min() if (by_level <= FREQUENT).any() else 1 << 30
-    frequent = counts.filter(~is_end).filter(level >= int(lowest)).toPandas().sort_values("word")
+    frequent = _most_frequent(counts.filter(~is_end)).toPandas()
     keys = frequent["word"].to_numpy(dtype=np.int64).view(_U)
     order = np.argsort(keys)
     keys, n = keys[order], frequent["n"].to_numpy(dtype=np.int64)[order]
@@ -230,9 +283,58 @@ def _statistics(counts: DataFrame) -> Model:
         unseen=unseen,
         weights=np.zeros((ROWS, CLASSES), np.float32),
         head_weights=np.zeros((HEAD_CONTEXTS * HEAD_CLASSES, CLASS_WORDS), np.float32),
+        class_log=np.zeros((1 << CONTEXT_BITS, CLASSES), np.float32),
+        left_log=np.zeros((1 << CONTEXT_BITS, TAIL_CLASSES), np.float32),
+        pair=np.zeros(0, _U),
+        pair_weight=np.zeros(0, np.float32),
     )
 
 
+def _add_pairs(model: Model, pairs: DataFrame, counts: DataFrame) -> DataFrame:
+    """Fill in what ``model`` holds of the pairs; rows (pair, weight) of all weights, stored."""
+    spark = pairs.sparkSession
+    head = pa.table({"word": model.head.view(np.int64), "number": model.head_slot // CLASS_WORDS})
+    head = spark.createDataFrame(head.to_pandas(), "word long, number long")
+    is_end = F.col("word") == int(END_KEY.view(np.int64))
+    tail = F.col("word").bitwiseAND(TAIL_CLASSES - 1) + HEAD_CLASSES
+    labelled = pairs.join(F.broadcast(head), "word", "left").withColumn(
+        "class", F.when(is_end, END_CLASS).otherwise(F.coalesce("number", tail)).cast("int")
+    )
+    in_tail = F.col("class").between(HEAD_CLASSES, END_CLASS - 1)
+    often = in_tail & (F.col("n") >= LEAST_PAIR)
+    low = labelled.filter(in_tail).agg(*(F.sum(F.when(F.col("n") == k, 1).otherwise(0)) for k in (1, 2))).first()
+    once, twice = low[0] or 0, low[1] or 0
+    discount = min(max(once / max(once + 2 * twice, 1), 0.1), 0.9)
+    kept = F.when(often, F.col("n") - discount).otherwise(0.0)
+    # At most one row per context and class: 65,536 x 49.
+    after = cut_lineage(labelled.groupBy("before", "class").agg(F.sum("n").alias("total"), F.sum(kept).alias("kept")))
+    table = after.toArrow()
+    before, label = table["before"].to_numpy(), table["class"].to_numpy()
+    total, held = table["total"].to_numpy().astype(np.float64), table["kept"].to_numpy()
+    n = np.zeros((1 << CONTEXT_BITS, CLASSES))
+    n[before, label] = total
+    share = np.exp(model.prior.astype(np.float64))
+    share /= share.sum()
+    n = (n + CLASS_PRIOR * share) / (n.sum(axis=1, keepdims=True) + CLASS_PRIOR)
+    model.class_log = np.log(np.maximum(n, 1e-30)).astype(np.float32)
+    model.class_log[:, share < 1e-300] = -1e4
+    at = (label >= HEAD_CLASSES) & (label < END_CLASS)
+    model.left_log[before[at], label[at] - HEAD_CLASSES] = np.log10(1 - held[at] / total[at])
+    mass = F.element_at(F.array(*(F.lit(float(x)) for x in model.mass)), F.col("class") + 1)
+    start = (F.col("of_word") + 0.1) / mass * (1 - F.col("kept") / F.col("total"))
+    weights = cut_lineage(
+        labelled.filter(often)
+        .join(after, ["before", "class"])
+        .join(counts.withColumnRenamed("n", "of_word"), "word")
+        .select(_pair_key().alias("pair"), "n", F.log10(1 + (F.col("n") - discount) / F.col("total") / start).alias("weight"))
+    )
+    frequent = _most_frequent(weights).toArrow()
+    keys = frequent["pair"].to_numpy().view(_U)
+    order = np.argsort(keys)
+    model.pair, model.pair_weight = keys[order], frequent["weight"].to_numpy()[order].astype(np.float32)
+    return weights
+
+
 def _descend(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
     """One step of adaptive gradient descent on the weight rows of a batch."""
     order = np.argsort(rows.astype(np.uint16), kind="stable")
@@ -261,7 +363,7 @@ class Trainer:
             part = slice(low, low + _STEP)
             gradient = _probabilities(m.class_logits(rows, part))
             gradient[np.arange(len(gradient)), label[part]] -= 1
-            for group in rows:
+            for group in rows[:3]:
                 _descend(m.weights, self._squares, group[part], gradient)
             head = np.flatnonzero(number[part] >= 0)
             if len(head):
@@ -316,20 +418,24 @@ def _change(seen: int, change: np.ndarray) -> pa.RecordBatch:
 
 
 def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
-    """The model learned from ``docs``, and the counts of all words, stored."""
-    counts = cut_lineage(_counts(docs))
+    """The model learned from ``docs``, and rows (key, count, weight): the counts of words, the weights of pairs."""
+    pairs = cut_lineage(_pairs(docs))
+    counts = cut_lineage(pairs.groupBy("word").agg(F.sum("n").alias("n")))
     model = _statistics(counts)
+    weights = _add_pairs(model, pairs, counts)
     shards = max(SHARDS, -(-model.total // (rounds * SHARD_TOKENS)))
     # By id and text, so that copies of one text spread.
     deal = F.xxhash64(*docs.columns)
     for k in range(rounds if model.total else 0):
         share = F.pmod(deal, F.lit(rounds)) == k
         _round(docs.filter(share).repartition(shards, deal), model)
-    return model, counts
+    none = F.lit(None)
+    known = counts.select(F.col("word").alias("key"), F.col("n").alias("count"), none.cast("double").alias("weight"))
+    return model, known.union(weights.select("pair", none.cast("long"), "weight"))
 
 
 def _score_slice(s: Slice, m: Model, hasher: Hasher) -> tuple:
-    """Sums per row over the tokens whose count is at hand, and the other tokens, one entry per row and word."""
+    """Sums per row over what is at hand, and what is to be looked up, one entry per row and word or pair."""
     t = tokens(s, hasher)
     number = m.head_number(t.keys)
     rows, label = m.contexts(t, number), m.classes(t, number)
@@ -362,24 +468,42 @@ def _score_slice(s: Slice, m: Model, hasher: Hasher) -> tuple:
     known = count > 0
     with_count = tail & known
     seen[with_count] += np.log10(count[with_count] + 0.1)
+    # What pairs leave over in the class after this context, and the pair's weight if there is one.
+    at = np.flatnonzero(tail)
+    before, word_class = rows[3][at], label[at] - HEAD_CLASSES
+    left = m.left_log[before, word_class]
+    seen[at] += left
+    at, pairs = at[left < 0], pair_keys(before[left < 0], t.keys[at[left < 0]])
+    place = np.minimum(np.searchsorted(m.pair, pairs), max(len(m.pair) - 1, 0))
+    found = m.pair[place] == pairs if len(m.pair) else np.zeros(len(pairs), bool)
+    seen[at[found]] += m.pair_weight[place[found]]
     scale = np.log10(m.total + 0.1 * (m.distinct + 1))
     base = np.where(count >= 0, np.log10(np.maximum(count, 0) + 0.1) - scale, 0.0)
     lost = end & (count == 0)
     seen[lost] = log_unseen[lost]
     open_ = np.flatnonzero(count < 0)
     row = t.row()
-    pair = np.stack([row[open_].astype(_U), t.keys[open_]], axis=1)
-    order = np.lexsort((pair[:, 1], pair[:, 0]))
-    pair, extra = pair[order], (log_unseen - seen)[open_][order]
-    new = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]).any(axis=1)])) if len(pair) else np.zeros(0, int)
-    times = np.diff(np.append(new, len(pair)))
-    change = np.add.reduceat(extra, new) if len(new) else np.zeros(0)
     per_row = (np.diff(t.first), row_sums(known.astype(float), t.first), row_sums(base, t.first), row_sums(seen, t.first))
-    return per_row, (pair[new, 0].astype(np.int64), pair[new, 1].view(np.int64), times, change)
+    words = _merged(row[open_], t.keys[open_], (log_unseen - seen)[open_])
+    rest = _merged(row[at[~found]], pairs[~found], np.full((~found).sum(), np.nan))
+    return per_row, tuple(np.concatenate(both) for both in zip(words, rest, strict=True))
+
+
+def _merged(row: np.ndarray, key: np.ndarray, change: np.ndarray) -> tuple:
+    """Rows, keys, their times and the sums of their changes, one entry per row and key."""
+    order = np.lexsort((key, row))
+    row, key, change = row[order], key[order], change[order]
+    new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(key, prepend=_U(0)) != 0))
+    times = np.diff(np.append(new, len(row)))
+    sums = np.add.reduceat(change, new) if len(new) else np.zeros(0)
+    return row[new], key[new].view(np.int64), times, sums
+
 
+def score(docs: DataFrame, model: Model, table: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_tokens, n_known, train_tokens, base_score and score.
 
-def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_tokens, n_known, train_tokens, base_score and score."""
+    ``table`` holds what ``fit`` returns of counts and weights.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(astuple(model))
     rows = docs.select("doc_id", F.col("text").alias("__text"))
     id_field = rows.schema.fields[0]
@@ -395,7 +519,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     schema = StructType(
         [
             StructField("row", LongType()),
-            StructField("word", LongType()),
+            StructField("key", LongType()),
             StructField("times", IntegerType()),
             StructField("change", DoubleType()),
             StructField("whole", whole),
@@ -406,7 +530,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
         m, hasher = Model(*shared.value), Hasher()
         next_row = TaskContext.get().partitionId() << 36
         for s in slices(batches, "__text"):
-            per_row, (at, word, times, change) = _score_slice(s, m, hasher)
+            per_row, (at, key, times, change) = _score_slice(s, m, hasher)
             size = s.rows.num_rows
             ids = np.arange(next_row, next_row + size)
             next_row += size
@@ -420,17 +544,20 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
             yield _open_rows(ids, spread, np.zeros(size, np.int32), np.zeros(size), struct)
             if len(at):
                 none = pa.nulls(len(at), struct.type)
-                yield _open_rows(ids[at], word, times.astype(np.int32), change, none)
+                yield _open_rows(ids[at], key, times.astype(np.int32), change, none)
 
-    found = rows.mapInArrow(run, schema).join(counts.withColumnRenamed("n", "count"), "word", "left")
+    found = rows.mapInArrow(run, schema).join(table, "key", "left")
     scale = F.lit(float(np.log10(model.total + 0.1 * (model.distinct + 1))))
     counted = F.log10(F.col("count") + 0.1)
-    is_known = F.col("count").isNotNull() & (F.col("times") > 0)
+    # Entries of words have a change, to be made if the word is unknown; entries of pairs have none.
+    of_word = ~F.isnan("change") & (F.col("times") > 0)
+    is_known = of_word & F.col("count").isNotNull()
+    looked_up = F.when(is_known, F.col("times") * counted).when(of_word, F.col("change"))
     sums = found.groupBy("row").agg(
         F.max("whole").alias("whole"),
         F.sum(F.when(is_known, F.col("times")).otherwise(0)).alias("known"),
-        F.sum(F.col("times") * (F.when(is_known, counted).otherwise(F.lit(-1.0)) - scale)).alias("base"),
-        F.sum(F.when(is_known, F.col("times") * counted).otherwise(F.col("change"))).alias("seen"),
+        F.sum(F.when(of_word, F.col("times") * (F.when(is_known, counted).otherwise(F.lit(-1.0)) - scale)).otherwise(0.0)).alias("base"),
+        F.sum(F.coalesce(looked_up, F.col("times") * F.col("weight"), F.lit(0.0))).alias("seen"),
     )
     return sums.select(
         "whole.doc_id",
@@ -442,10 +569,10 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     )
 
 
-def _open_rows(row, word, times, change, whole) -> pa.RecordBatch:
+def _open_rows(row, key, times, change, whole) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(row), pa.array(word), pa.array(times), pa.array(change), whole],
-        names=["row", "word", "times", "change", "whole"],
+        [pa.array(row), pa.array(key), pa.array(times), pa.array(change), whole],
+        names=["row", "key", "times", "change", "whole"],
     )
 
 
@@ -455,8 +582,8 @@ def learnable() -> Column:
 
 def lm_scores(docs: DataFrame) -> DataFrame:
     """Scores of all documents by a model that held-out documents had no part in."""
-    model, counts = fit(docs.select("doc_id", "text").filter(learnable()))
-    return score(docs, model, counts).select(
+    model, table = fit(docs.select("doc_id", "text").filter(learnable()))
+    return score(docs, model, table).select(
         "doc_id",
         (id_remainder("doc_id", 10) == 0).alias("held_out"),
         "n_tokens",

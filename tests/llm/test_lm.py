@@ -112,3 +112,106 @@ def test_the_layout_of_files_changes_little(spark):
         found = lm.lm_scores(docs.repartition(n)).filter("held_out").collect()
         per_token.append(sum(r["score"] for r in found) / sum(r["n_tokens"] for r in found))
     assert abs(per_token[0] - per_token[1]) < 0.01
+
+
+def test_pairs_of_the_tail_are_learned(spark):
+    """Documents of fixed pairs of words: who knows the pairs needs about -1.8 a token, counts alone -3.9."""
+    rng = random.Random(5)
+    pairs = [(f"a{i}", f"b{rng.randrange(10**6)}x{i}") for i in range(4000)]
+    rows = [(i, " ".join(" ".join(pairs[rng.randrange(4000)]) for _ in range(50)), None, None, None) for i in range(3000)]
+    found = lm.lm_scores(documents(spark, rows)).filter("held_out").collect()
+    assert sum(r["score"] for r in found) / sum(r["n_tokens"] for r in found) > -2.3
+
+
+def plain_scores(model, learned, texts):
+    """The score of each text token by token, from plain counts and the trained weights."""
+
+    def one(text):
+        (s,) = slices([pa.RecordBatch.from_pydict({"text": [text]})])
+        t = lm.tokens(s, Hasher())
+        return t, [int(k) for k in t.keys], [0, *(int(k) >> 40 & 65535 for k in t.keys[:-1])]
+
+    end = int(lm.END_KEY)
+    number = dict(zip((int(k) for k in model.head), (int(x) for x in model.head_slot), strict=True))
+
+    def label(key):
+        if key == end:
+            return lm.END_CLASS
+        return number[key] // lm.CLASS_WORDS if key in number else lm.HEAD_CLASSES + key % 32
+
+    words, after, of_class = Counter(), Counter(), Counter()
+    for text in learned:
+        _, keys, before = one(text)
+        words.update(keys)
+        after.update(zip(before, keys, strict=True))
+        of_class.update((b, label(k)) for b, k in zip(before, keys, strict=True))
+    in_tail = {pair: n for pair, n in after.items() if lm.HEAD_CLASSES <= label(pair[1]) < lm.END_CLASS}
+    once, twice = (sum(n == k for n in in_tail.values()) for k in (1, 2))
+    d = min(max(once / max(once + 2 * twice, 1), 0.1), 0.9)
+    left = {pair: 1.0 for pair in of_class}
+    for (b, k), n in in_tail.items():
+        if n >= 2:
+            left[b, label(k)] -= (n - d) / of_class[b, label(k)]
+    tail_words = {c: [k for k in words if label(k) == c] for c in range(lm.HEAD_CLASSES, lm.END_CLASS)}
+    mass, unseen = {}, {}
+    for c, own in tail_words.items():
+        mass[c] = max(sum(words[k] + 0.1 for k in own), 0.1)
+        unseen[c] = (sum(words[k] == 1 for k in own) + 0.5) / (sum(words[k] for k in own) + 1) if own else 1.0
+    share = np.exp(model.prior.astype(float))
+    share /= share.sum()
+    in_context = Counter()
+    for (b, _), n in of_class.items():
+        in_context[b] += n
+    for text in texts:
+        t, keys, before = one(text)
+        one_, two, pair, _ = model.contexts(t, model.head_number(t.keys))
+        total = 0.0
+        for i, (k, b) in enumerate(zip(keys, before, strict=True)):
+            start = [(of_class[b, c] + 4 * share[c]) / (in_context[b] + 4) for c in range(lm.CLASSES)]
+            z = [
+                math.log(x) + float(model.weights[one_[i], c] + model.weights[two[i], c] + model.weights[pair[i], c]) if x else -1e4
+                for c, x in enumerate(start)
+            ]
+            norm = sum(math.exp(x) for x in z)
+            p = [math.exp(x) / norm for x in z]
+            c = label(k)
+            if k not in words:
+                chance = sum(p[c] * u for c, u in unseen.items())
+            elif c == lm.END_CLASS:
+                chance = p[c]
+            elif k in number:
+                row = one_[i] % lm.HEAD_CONTEXTS * lm.HEAD_CLASSES + c
+                inner = np.exp(model.head_log[c].astype(float) + model.head_weights[row])
+                chance = p[c] * inner[number[k] % lm.CLASS_WORDS] / inner.sum()
+            else:
+                inner = left.get((b, c), 1.0) * (words[k] + 0.1) / mass[c]
+                if after[b, k] >= 2:
+                    inner += (after[b, k] - d) / of_class[b, c]
+                chance = p[c] * (1 - unseen[c]) * inner
+            total += math.log10(chance)
+        yield total
+
+
+@pytest.mark.parametrize("frequent", [lm.FREQUENT, 600])
+def test_score_by_plain_sums(spark, monkeypatch, frequent):
+    """Counts and weights at hand or joined, known and unknown words, repeated and long texts."""
+    monkeypatch.setattr(lm, "FREQUENT", frequent)
+    rng = random.Random(8)
+    texts = [sentence(rng, rng.randrange(0, 60), 1500) for _ in range(400)]
+    texts += [texts[0]] * 5 + [" ".join(texts[:40])]
+    model, table = lm.fit(documents(spark, [(i, x, None, None, None) for i, x in enumerate(texts)]))
+    asked = [*texts[:60], texts[-1], "", "never seen words", texts[1] + " unknown " + texts[2]]
+    found = lm.score(documents(spark, [(i, x, None, None, None) for i, x in enumerate(asked)]), model, table)
+    got = {r["doc_id"]: r["score"] for r in found.collect()}
+    for i, expected in enumerate(plain_scores(model, texts, asked)):
+        assert got[i] == pytest.approx(expected, rel=1e-4, abs=1e-3)
+
+
+def test_weights_grow_with_the_corpus(spark):
+    """Twice the vocabulary gives about twice the stored weights."""
+    sizes = []
+    for vocabulary in (2000, 4000):
+        rows = [(i, " ".join(f"w{(i * 7 + j) % vocabulary}" for j in range(60)), None, None, None) for i in range(vocabulary)]
+        _, table = lm.fit(documents(spark, rows))
+        sizes.append(table.filter("weight is not null").count())
+    assert sizes[1] > 1.8 * sizes[0] > 0
