@@ -16,7 +16,7 @@ two tokens before it, times its own within the class:
 * The end is a class of its own.
 
 The class softmax starts from the classes' counts after each hashed context
-and has a weight row for the token before, for the one before that (skip) and
+(all tokens outside the tail are one count there) and has a weight row for the token before, for the one before that (skip) and
 for the hashed pair. Its weights, and those within the head's classes, are
 trained by gradient steps, round by round: documents are dealt to shards by a
 hash, as many as their tokens ask for, so that the model does not depend on how
@@ -128,27 +128,54 @@ def _pair_key() -> Column:
     return F.col("word").bitwiseXOR(F.shiftleft(F.col("before").cast("long") + 1, 47))
 
 
-def _pairs(docs: DataFrame) -> DataFrame:
-    """Rows (before, word, n): how often each token of ``docs`` follows each hashed context."""
+def _counted(batches: Iterator[pa.RecordBatch], columns, key) -> Iterator[pa.RecordBatch]:
+    """Rows of the named arrays that ``columns`` gives of a slice's tokens, with how often each key among them occurs."""
+    hasher, held, size = Hasher(), [], 0
+
+    def counted() -> pa.RecordBatch:
+        arrays = {name: np.concatenate([part[name] for part in held]) for name in held[0]}
+        _, at, n = np.unique(key(arrays), return_index=True, return_counts=True)
+        return pa.RecordBatch.from_pydict({**{name: _signed(x[at]) for name, x in arrays.items()}, "n": n})
+
+    for s in slices(batches):
+        held.append(columns(tokens(s, hasher)))
+        size += len(held[-1]["word"])
+        if size >= _COUNTED:
+            yield counted()
+            held, size = [], 0
+    if held:
+        yield counted()
+
+
+def _find(ordered: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key stands among ``ordered``, and whether it is there at all."""
+    if len(ordered) == 0:
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(ordered, keys), len(ordered) - 1)
+    return at, ordered[at] == keys
+
+
+def _signed(x: np.ndarray) -> np.ndarray:
+    return x.view(np.int64) if x.dtype == _U else x
+
+
+def _counts(docs: DataFrame) -> DataFrame:
+    """Rows (word, n): how often each token occurs in ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, held, size = Hasher(), [], 0
+        return _counted(batches, lambda t: {"word": t.keys}, lambda of: of["word"])
 
-        def batch() -> pa.RecordBatch:
-            before, words = (np.concatenate(part) for part in zip(*held, strict=True))
-            _, at, n = np.unique(pair_keys(before, words), return_index=True, return_counts=True)
-            columns = [pa.array(before[at]), pa.array(words[at].view(np.int64)), pa.array(n)]
-            return pa.RecordBatch.from_arrays(columns, names=["before", "word", "n"])
+    return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
-        for s in slices(batches):
-            t = tokens(s, hasher)
-            held.append((hashed_contexts(t), t.keys))
-            size += len(t.keys)
-            if size >= _COUNTED:
-                yield batch()
-                held, size = [], 0
-        if held:
-            yield batch()
+
+def _pairs(docs: DataFrame, head: np.ndarray) -> DataFrame:
+    """Rows (before, word, n): how often each token follows each hashed context; head words count as the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def columns(t: Tokens) -> dict:
+            return {"before": hashed_contexts(t), "word": np.where(_find(head, t.keys)[1], END_KEY, t.keys)}
+
+        return _counted(batches, columns, lambda of: pair_keys(of["before"], of["word"]))
 
     found = docs.select("text").mapInArrow(run, "before int, word long, n long")
     return found.groupBy("before", "word").agg(F.sum("n").alias("n"))
@@ -292,35 +319,37 @@ def _statistics(counts: DataFrame) -> Model:
 
 def _add_pairs(model: Model, pairs: DataFrame, counts: DataFrame) -> DataFrame:
     """Fill in what ``model`` holds of the pairs; rows (pair, weight) of all weights, stored."""
-    spark = pairs.sparkSession
-    head = pa.table({"word": model.head.view(np.int64), "number": model.head_slot // CLASS_WORDS})
-    head = spark.createDataFrame(head.to_pandas(), "word long, number long")
-    is_end = F.col("word") == int(END_KEY.view(np.int64))
-    tail = F.col("word").bitwiseAND(TAIL_CLASSES - 1) + HEAD_CLASSES
-    labelled = pairs.join(F.broadcast(head), "word", "left").withColumn(
-        "class", F.when(is_end, END_CLASS).otherwise(F.coalesce("number", tail)).cast("int")
-    )
-    in_tail = F.col("class").between(HEAD_CLASSES, END_CLASS - 1)
+    tail_class = F.col("word").bitwiseAND(TAIL_CLASSES - 1).cast("int")
+    # Head words and the end are one class here, the last.
+    is_other = F.col("word") == int(END_KEY.view(np.int64))
+    labelled = pairs.withColumn("class", F.when(is_other, TAIL_CLASSES).otherwise(tail_class))
+    in_tail = ~is_other
     often = in_tail & (F.col("n") >= LEAST_PAIR)
     low = labelled.filter(in_tail).agg(*(F.sum(F.when(F.col("n") == k, 1).otherwise(0)) for k in (1, 2))).first()
     once, twice = low[0] or 0, low[1] or 0
     discount = min(max(once / max(once + 2 * twice, 1), 0.1), 0.9)
     kept = F.when(often, F.col("n") - discount).otherwise(0.0)
-    # At most one row per context and class: 65,536 x 49.
+    # At most one row per context and class: 65,536 x 33.
     after = cut_lineage(labelled.groupBy("before", "class").agg(F.sum("n").alias("total"), F.sum(kept).alias("kept")))
     table = after.toArrow()
     before, label = table["before"].to_numpy(), table["class"].to_numpy()
     total, held = table["total"].to_numpy().astype(np.float64), table["kept"].to_numpy()
-    n = np.zeros((1 << CONTEXT_BITS, CLASSES))
-    n[before, label] = total
     share = np.exp(model.prior.astype(np.float64))
     share /= share.sum()
-    n = (n + CLASS_PRIOR * share) / (n.sum(axis=1, keepdims=True) + CLASS_PRIOR)
-    model.class_log = np.log(np.maximum(n, 1e-30)).astype(np.float32)
+    in_tail_class = slice(HEAD_CLASSES, END_CLASS)
+    n = np.zeros((1 << CONTEXT_BITS, TAIL_CLASSES + 1))
+    n[before, label] = total
+    # The classes of the head and the end share their tokens after a context as they do overall.
+    other = share.copy()
+    other[in_tail_class] = 0
+    chance = n[:, -1:] * (other / max(other.sum(), 1e-300)) + CLASS_PRIOR * share
+    chance[:, in_tail_class] += n[:, :-1]
+    chance /= n.sum(axis=1, keepdims=True) + CLASS_PRIOR
+    model.class_log = np.log(np.maximum(chance, 1e-30)).astype(np.float32)
     model.class_log[:, share < 1e-300] = -1e4
-    at = (label >= HEAD_CLASSES) & (label < END_CLASS)
-    model.left_log[before[at], label[at] - HEAD_CLASSES] = np.log10(1 - held[at] / total[at])
-    mass = F.element_at(F.array(*(F.lit(float(x)) for x in model.mass)), F.col("class") + 1)
+    at = label < TAIL_CLASSES
+    model.left_log[before[at], label[at]] = np.log10(1 - held[at] / total[at])
+    mass = F.element_at(F.array(*(F.lit(float(x)) for x in model.mass[in_tail_class])), F.col("class") + 1)
     start = (F.col("of_word") + 0.1) / mass * (1 - F.col("kept") / F.col("total"))
     weights = cut_lineage(
         labelled.filter(often)
@@ -419,10 +448,9 @@ def _change(seen: int, change: np.ndarray) -> pa.RecordBatch:
 
 def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
     """The model learned from ``docs``, and rows (key, count, weight): the counts of words, the weights of pairs."""
-    pairs = cut_lineage(_pairs(docs))
-    counts = cut_lineage(pairs.groupBy("word").agg(F.sum("n").alias("n")))
+    counts = cut_lineage(_counts(docs))
     model = _statistics(counts)
-    weights = _add_pairs(model, pairs, counts)
+    weights = _add_pairs(model, cut_lineage(_pairs(docs, model.head)), counts)
     shards = max(SHARDS, -(-model.total // (rounds * SHARD_TOKENS)))
     # By id and text, so that copies of one text spread.
     deal = F.xxhash64(*docs.columns)
@@ -474,8 +502,7 @@ def _score_slice(s: Slice, m: Model, hasher: Hasher) -> tuple:
     left = m.left_log[before, word_class]
     seen[at] += left
     at, pairs = at[left < 0], pair_keys(before[left < 0], t.keys[at[left < 0]])
-    place = np.minimum(np.searchsorted(m.pair, pairs), max(len(m.pair) - 1, 0))
-    found = m.pair[place] == pairs if len(m.pair) else np.zeros(len(pairs), bool)
+    place, found = _find(m.pair, pairs)
     seen[at[found]] += m.pair_weight[place[found]]
     scale = np.log10(m.total + 0.1 * (m.distinct + 1))
     base = np.where(count >= 0, np.log10(np.maximum(count, 0) + 0.1) - scale, 0.0)
