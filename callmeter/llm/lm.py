@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from callmeter.llm.linear import id_remainder, row_sums
 from callmeter.llm.text import NOT_SPACE, Hasher, Slice, find_words, lower_ascii, mix, slices
@@ -78,6 +78,9 @@ SHARDS = 4
 FREQUENT = 1 << 17
 # Tokens counted before their counts are handed on.
 _COUNTED = 1 << 22
+# Tokens of a bucket of pairs, about; lookups held before they are handed on.
+_BUCKET_TOKENS = 1 << 22
+_LOOKUPS = 1 << 21
 _STEP = 8192
 _RATE = 0.25
 _REDUCERS = 32
@@ -120,31 +123,44 @@ def hashed_contexts(t: Tokens) -> np.ndarray:
 
 
 def pair_keys(before: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """One key for a context and a word; ``_pair_key`` is the same for columns."""
-    return words ^ ((before.astype(_U) + _U(1)) << _U(47))
+    """One key for a context and a word: five bits of its class, 43 more bits of the word, 16 of the context.
 
+    In order of these keys the pairs of a class, and in it of a word, stand together.
+    """
+    ending, rest = words & _U(31), words >> _U(5) & _U((1 << 43) - 1)
+    return ending << _U(59) | rest << _U(16) | before.astype(_U)
 
-def _pair_key() -> Column:
-    return F.col("word").bitwiseXOR(F.shiftleft(F.col("before").cast("long") + 1, 47))
 
+def bucket_bits(total: int) -> int:
+    """How many leading bits of the keys tell buckets apart: those of the class at least, more for a larger corpus."""
+    return 5 + max(0, (total // (_BUCKET_TOKENS << 5)).bit_length())
 
-def _counted(batches: Iterator[pa.RecordBatch], columns, key) -> Iterator[pa.RecordBatch]:
-    """Rows of the named arrays that ``columns`` gives of a slice's tokens, with how often each key among them occurs."""
-    hasher, held, size = Hasher(), [], 0
 
-    def counted() -> pa.RecordBatch:
-        arrays = {name: np.concatenate([part[name] for part in held]) for name in held[0]}
-        _, at, n = np.unique(key(arrays), return_index=True, return_counts=True)
-        return pa.RecordBatch.from_pydict({**{name: _signed(x[at]) for name, x in arrays.items()}, "n": n})
+def _packed(x: np.ndarray) -> bytes:
+    """Numbers as bytes, all their first bytes together and so on, so that leading zeros shrink when compressed."""
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
+def _unpacked(data: pa.Scalar, dtype) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    planes = np.frombuffer(data.as_buffer(), np.uint8).reshape(width, -1) if data.is_valid else np.zeros((width, 0), np.uint8)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Keys in order, by their differences."""
+    return _packed(np.diff(keys, prepend=_U(0)))
 
-    for s in slices(batches):
-        held.append(columns(tokens(s, hasher)))
-        size += len(held[-1]["word"])
-        if size >= _COUNTED:
-            yield counted()
-            held, size = [], 0
-    if held:
-        yield counted()
+
+def _unpacked_keys(data: pa.Scalar) -> np.ndarray:
+    return np.cumsum(_unpacked(data, _U), dtype=_U)
+
+
+def _bounds(buckets: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each bucket among ascending ones and its stretch."""
+    first = np.flatnonzero(np.diff(buckets.astype(np.int64), prepend=-1))
+    for low, high in zip(first, [*first[1:], len(buckets)], strict=True):
+        yield int(buckets[low]), slice(low, high)
 
 
 def _find(ordered: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,30 +171,101 @@ def _find(ordered: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, ordered[at] == keys
 
 
-def _signed(x: np.ndarray) -> np.ndarray:
-    return x.view(np.int64) if x.dtype == _U else x
-
-
 def _counts(docs: DataFrame) -> DataFrame:
     """Rows (word, n): how often each token occurs in ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _counted(batches, lambda t: {"word": t.keys}, lambda of: of["word"])
+        for keys, n in _counted(batches, lambda t: t.keys):
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["word", "n"])
 
     return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _pairs(docs: DataFrame, head: np.ndarray) -> DataFrame:
-    """Rows (before, word, n): how often each token follows each hashed context; head words count as the end."""
+def _counted(batches: Iterator[pa.RecordBatch], key) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct keys of tokens, in order, and how often they occur."""
+    hasher, held, size = Hasher(), [], 0
+    for s in slices(batches):
+        held.append(key(tokens(s, hasher)))
+        size += len(held[-1])
+        if size >= _COUNTED:
+            yield np.unique(np.concatenate(held), return_counts=True)
+            held, size = [], 0
+    if held:
+        yield np.unique(np.concatenate(held), return_counts=True)
+
+
+_OTHER = pair_keys(np.zeros(1, np.int32), np.array([END_KEY]))[0] >> _U(16)
+
+
+def _folded(keys: list, n: list) -> tuple[np.ndarray, np.ndarray]:
+    keys, n = np.concatenate(keys), np.concatenate(n)
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    new = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+    return keys[new], np.add.reduceat(n, new)
+
+
+def _pairs(docs: DataFrame, head: np.ndarray, bits: int) -> DataFrame:
+    """What the documents hold of pairs of a hashed context and a word, a row per bucket.
+
+    Columns: the pairs that occur often enough with their counts and those of
+    their words; per context the tokens of the bucket's class (head words and
+    ends: a class of their own) and the sum and number of such pairs; the
+    number of pairs that occur once and twice.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def columns(t: Tokens) -> dict:
-            return {"before": hashed_contexts(t), "word": np.where(_find(head, t.keys)[1], END_KEY, t.keys)}
+        def key(t: Tokens) -> np.ndarray:
+            return pair_keys(hashed_contexts(t), np.where(_find(head, t.keys)[1], END_KEY, t.keys))
 
-        return _counted(batches, columns, lambda of: pair_keys(of["before"], of["word"]))
+        for keys, n in _counted(batches, key):
+            for bucket, part in _bounds(keys >> _U(64 - bits)):
+                yield pa.RecordBatch.from_pylist(
+                    [{"bucket": bucket, "keys": _packed_keys(keys[part]), "n": _packed(n[part])}], pa.schema(counted)
+                )
 
-    found = docs.select("text").mapInArrow(run, "before int, word long, n long")
-    return found.groupBy("before", "word").agg(F.sum("n").alias("n"))
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for batch in batches:
+            for bucket, keys, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                own = held.setdefault(bucket, [[], [], 0])
+                own[0].append(_unpacked_keys(keys))
+                own[1].append(_unpacked(n, np.int64))
+                own[2] += len(own[0][-1])
+                if own[2] > 2 * len(own[0][0]) + _COUNTED:
+                    keys, n = _folded(own[0], own[1])
+                    held[bucket] = [[keys], [n], len(keys)]
+        for bucket in list(held):
+            yield summary(bucket, *_folded(*held.pop(bucket)[:2]))
+
+    def summary(bucket: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        word = keys >> _U(16)
+        new = np.flatnonzero(np.diff(word, prepend=~word[:1]))
+        of_word = np.repeat(np.add.reduceat(n, new), np.diff(np.append(new, len(word))))
+        other = word == _OTHER
+        often = (n >= LEAST_PAIR) & ~other
+        cell = (keys & _U(0xFFFF)).astype(np.int64) + (other.astype(np.int64) << CONTEXT_BITS)
+        sums = [np.bincount(cell, x, 2 << CONTEXT_BITS) for x in (n, n * often, often)]
+        at = np.flatnonzero(sums[0])
+        row = {
+            "bucket": bucket,
+            "class": bucket >> (bits - 5),
+            "keys": _packed_keys(keys[often]),
+            "n": _packed(n[often]),
+            "of_word": _packed(of_word[often]),
+            "cells": _packed(at),
+            **{name: _packed(x[at]) for name, x in zip(("total", "held", "pairs"), sums, strict=True)},
+            "once": int(((n == 1) & ~other).sum()),
+            "twice": int(((n == 2) & ~other).sum()),
+        }
+        return pa.RecordBatch.from_pylist([row], pa.schema(merged))
+
+    counted = [("bucket", pa.int32()), ("keys", pa.binary()), ("n", pa.binary())]
+    blobs = [(name, pa.binary()) for name in ("keys", "n", "of_word", "cells", "total", "held", "pairs")]
+    merged = [("bucket", pa.int32()), ("class", pa.int32()), *blobs, ("once", pa.int64()), ("twice", pa.int64())]
+    found = docs.select("text").mapInArrow(run, "bucket int, keys binary, n binary").repartition(1 << bits, "bucket")
+    columns = ", ".join(f"{name} binary" for name, _ in blobs)
+    return found.mapInArrow(merge, f"bucket int, class int, {columns}, once long, twice long")
 
 
 @dataclass
@@ -203,6 +290,10 @@ class Model:
     left_log: np.ndarray
     pair: np.ndarray
     pair_weight: np.ndarray
+    # Tokens per hashed context and tail class, and what is taken off a pair's count.
+    after: np.ndarray
+    discount: float
+    bits: int
 
     def head_number(self, keys: np.ndarray) -> np.ndarray:
         """The number of each head word, -1 for others."""
@@ -228,6 +319,12 @@ class Model:
         tail = HEAD_CLASSES + (t.keys & _U(TAIL_CLASSES - 1)).astype(np.int64)
         return np.where(t.keys == END_KEY, END_CLASS, np.where(number >= 0, number // CLASS_WORDS, tail))
 
+    def pair_weights(self, keys: np.ndarray, n: np.ndarray, of_word: np.ndarray) -> np.ndarray:
+        """log10 of how much likelier a pair makes its word, from its count and its word's."""
+        before, label = (keys & _U(0xFFFF)).astype(np.int64), (keys >> _U(59)).astype(np.int64)
+        start = (of_word + 0.1) / self.mass[HEAD_CLASSES + label] * 10.0 ** self.left_log[before, label]
+        return np.log10(1 + (n - self.discount) / self.after[before, label] / start)
+
     def class_logits(self, rows: tuple, part: slice) -> np.ndarray:
         z = self.weights[rows[0][part]]
         z += self.weights[rows[1][part]]
@@ -314,32 +411,54 @@ def _statistics(counts: DataFrame) -> Model:
         left_log=np.zeros((1 << CONTEXT_BITS, TAIL_CLASSES), np.float32),
         pair=np.zeros(0, _U),
         pair_weight=np.zeros(0, np.float32),
+        after=np.zeros((1 << CONTEXT_BITS, TAIL_CLASSES), np.float32),
+        discount=0.0,
+        bits=5,
     )
 
 
-def _add_pairs(model: Model, pairs: DataFrame, counts: DataFrame) -> DataFrame:
-    """Fill in what ``model`` holds of the pairs; rows (pair, weight) of all weights, stored."""
-    tail_class = F.col("word").bitwiseAND(TAIL_CLASSES - 1).cast("int")
-    # Head words and the end are one class here, the last.
-    is_other = F.col("word") == int(END_KEY.view(np.int64))
-    labelled = pairs.withColumn("class", F.when(is_other, TAIL_CLASSES).otherwise(tail_class))
-    in_tail = ~is_other
-    often = in_tail & (F.col("n") >= LEAST_PAIR)
-    low = labelled.filter(in_tail).agg(*(F.sum(F.when(F.col("n") == k, 1).otherwise(0)) for k in (1, 2))).first()
-    once, twice = low[0] or 0, low[1] or 0
-    discount = min(max(once / max(once + 2 * twice, 1), 0.1), 0.9)
-    kept = F.when(often, F.col("n") - discount).otherwise(0.0)
+def _add_pairs(model: Model, pairs: DataFrame) -> None:
+    """Fill in what ``model`` holds of the pairs."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for row in range(batch.num_rows):
+                own = sums.setdefault(batch.column(0)[row].as_py(), np.zeros((3, 2 << CONTEXT_BITS)))
+                cells = _unpacked(batch.column(1)[row], np.int64)
+                for k in range(3):
+                    own[k, cells] += _unpacked(batch.column(2 + k)[row], np.float64)
+        for label, own in sums.items():
+            cells = np.flatnonzero(own[0])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(cells), label, np.int32)), pa.array(cells), *map(pa.array, own[:, cells])], names=names
+            )
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                columns = [_unpacked_keys(batch.column(0)[row]).view(np.int64)]
+                columns += [_unpacked(batch.column(k)[row], np.int64) for k in (1, 2)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["pair", "n", "of_word"])
+
+    names = ["class", "cell", "total", "held", "pairs"]
+    low = pairs.agg(F.sum("once").alias("once"), F.sum("twice").alias("twice")).first()
+    once, twice = low["once"] or 0, low["twice"] or 0
+    model.discount = min(max(once / max(once + 2 * twice, 1), 0.1), 0.9)
     # At most one row per context and class: 65,536 x 33.
-    after = cut_lineage(labelled.groupBy("before", "class").agg(F.sum("n").alias("total"), F.sum(kept).alias("kept")))
-    table = after.toArrow()
-    before, label = table["before"].to_numpy(), table["class"].to_numpy()
-    total, held = table["total"].to_numpy().astype(np.float64), table["kept"].to_numpy()
-    share = np.exp(model.prior.astype(np.float64))
-    share /= share.sum()
-    in_tail_class = slice(HEAD_CLASSES, END_CLASS)
+    cells = pairs.select("class", "cells", "total", "held", "pairs").repartition(TAIL_CLASSES, "class")
+    table = cells.mapInArrow(add, "class int, cell long, total double, held double, pairs double").toArrow()
+    cell, label = table["cell"].to_numpy(), table["class"].to_numpy()
+    label = np.where(cell >> CONTEXT_BITS, TAIL_CLASSES, label)
+    before, total = cell & ((1 << CONTEXT_BITS) - 1), table["total"].to_numpy()
+    kept = table["held"].to_numpy() - model.discount * table["pairs"].to_numpy()
     n = np.zeros((1 << CONTEXT_BITS, TAIL_CLASSES + 1))
     n[before, label] = total
+    model.after = n[:, :-1].astype(np.float32)
     # The classes of the head and the end share their tokens after a context as they do overall.
+    share = np.exp(model.prior.astype(np.float64))
+    share /= share.sum()
+    in_tail_class = slice(HEAD_CLASSES, END_CLASS)
     other = share.copy()
     other[in_tail_class] = 0
     chance = n[:, -1:] * (other / max(other.sum(), 1e-300)) + CLASS_PRIOR * share
@@ -348,20 +467,14 @@ def _add_pairs(model: Model, pairs: DataFrame, counts: DataFrame) -> DataFrame:
     model.class_log = np.log(np.maximum(chance, 1e-30)).astype(np.float32)
     model.class_log[:, share < 1e-300] = -1e4
     at = label < TAIL_CLASSES
-    model.left_log[before[at], label[at]] = np.log10(1 - held[at] / total[at])
-    mass = F.element_at(F.array(*(F.lit(float(x)) for x in model.mass[in_tail_class])), F.col("class") + 1)
-    start = (F.col("of_word") + 0.1) / mass * (1 - F.col("kept") / F.col("total"))
-    weights = cut_lineage(
-        labelled.filter(often)
-        .join(after, ["before", "class"])
-        .join(counts.withColumnRenamed("n", "of_word"), "word")
-        .select(_pair_key().alias("pair"), "n", F.log10(1 + (F.col("n") - discount) / F.col("total") / start).alias("weight"))
-    )
-    frequent = _most_frequent(weights).toArrow()
+    model.left_log[before[at], label[at]] = np.log10(1 - kept[at] / total[at])
+    listed = pairs.select("keys", "n", "of_word").mapInArrow(rows, "pair long, n long, of_word long")
+    frequent = _most_frequent(listed).toArrow()
     keys = frequent["pair"].to_numpy().view(_U)
     order = np.argsort(keys)
-    model.pair, model.pair_weight = keys[order], frequent["weight"].to_numpy()[order].astype(np.float32)
-    return weights
+    model.pair = keys[order]
+    weights = model.pair_weights(keys, frequent["n"].to_numpy(), frequent["of_word"].to_numpy())
+    model.pair_weight = weights[order].astype(np.float32)
 
 
 def _descend(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
@@ -447,19 +560,55 @@ def _change(seen: int, change: np.ndarray) -> pa.RecordBatch:
 
 
 def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
-    """The model learned from ``docs``, and rows (key, count, weight): the counts of words, the weights of pairs."""
+    """The model learned from ``docs``; rows (bucket, kind, keys, n, of_word) of all pairs that count and of all words."""
     counts = cut_lineage(_counts(docs))
     model = _statistics(counts)
-    weights = _add_pairs(model, cut_lineage(_pairs(docs, model.head)), counts)
+    model.bits = bucket_bits(model.total)
+    pairs = cut_lineage(_pairs(docs, model.head, model.bits))
+    _add_pairs(model, pairs)
     shards = max(SHARDS, -(-model.total // (rounds * SHARD_TOKENS)))
     # By id and text, so that copies of one text spread.
     deal = F.xxhash64(*docs.columns)
     for k in range(rounds if model.total else 0):
         share = F.pmod(deal, F.lit(rounds)) == k
         _round(docs.filter(share).repartition(shards, deal), model)
-    none = F.lit(None)
-    known = counts.select(F.col("word").alias("key"), F.col("n").alias("count"), none.cast("double").alias("weight"))
-    return model, known.union(weights.select("pair", none.cast("long"), "weight"))
+    table = pairs.select("bucket", F.lit(_PAIR).alias("kind"), "keys", "n", "of_word").union(_by_bucket(counts, model.bits))
+    return model, table
+
+
+# What a row of a bucket holds, in the order in which it is read.
+_PAIR, _WORD, _ASKED_PAIRS, _ASKED_WORDS, _OWN = range(5)
+
+
+def _word_buckets(words: np.ndarray, bits: int) -> np.ndarray:
+    return pair_keys(np.zeros(len(words), np.int32), words) >> _U(64 - bits)
+
+
+def _by_bucket(counts: DataFrame, bits: int) -> DataFrame:
+    """The counts of words, some rows per bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), *((k, pa.binary()) for k in ("keys", "n", "of_word"))])
+        held, size = [], 0
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            words, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            buckets = _word_buckets(words, bits)
+            order = np.lexsort((words, buckets))
+            for bucket, part in _bounds(buckets[order]):
+                row = {"bucket": bucket, "kind": _WORD, "keys": _packed_keys(words[order[part]]), "n": _packed(n[order[part]])}
+                yield pa.RecordBatch.from_pylist([row], schema)
+
+        for batch in batches:
+            held.append((batch.column(0).to_numpy().view(_U), batch.column(1).to_numpy()))
+            size += batch.num_rows
+            if size >= _LOOKUPS:
+                yield from rows()
+                held, size = [], 0
+        if size:
+            yield from rows()
+
+    return counts.select("word", "n").mapInArrow(run, "bucket int, kind int, keys binary, n binary, of_word binary")
 
 
 def _score_slice(s: Slice, m: Model, hasher: Hasher) -> tuple:
@@ -512,8 +661,8 @@ def _score_slice(s: Slice, m: Model, hasher: Hasher) -> tuple:
     row = t.row()
     per_row = (np.diff(t.first), row_sums(known.astype(float), t.first), row_sums(base, t.first), row_sums(seen, t.first))
     words = _merged(row[open_], t.keys[open_], (log_unseen - seen)[open_])
-    rest = _merged(row[at[~found]], pairs[~found], np.full((~found).sum(), np.nan))
-    return per_row, tuple(np.concatenate(both) for both in zip(words, rest, strict=True))
+    rest = _merged(row[at[~found]], pairs[~found], np.zeros((~found).sum()))
+    return per_row, words, rest
 
 
 def _merged(row: np.ndarray, key: np.ndarray, change: np.ndarray) -> tuple:
@@ -523,84 +672,156 @@ def _merged(row: np.ndarray, key: np.ndarray, change: np.ndarray) -> tuple:
     new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(key, prepend=_U(0)) != 0))
     times = np.diff(np.append(new, len(row)))
     sums = np.add.reduceat(change, new) if len(new) else np.zeros(0)
-    return row[new], key[new].view(np.int64), times, sums
+    return row[new], key[new], times, sums
+
+
+_ASKED = [("base", pa.int64()), ("keys", pa.binary()), ("rows", pa.binary()), ("times", pa.binary()), ("change", pa.binary())]
+
+
+def _asked(kind: int, base: int, held: list, bits: int) -> Iterator[dict]:
+    """Lookups (row, key, times, change) of several slices, a record per bucket."""
+    row, key, times, change = (np.concatenate(x) for x in zip(*held, strict=True))
+    buckets = key >> _U(64 - bits) if kind == _ASKED_PAIRS else _word_buckets(key, bits)
+    order = np.argsort(key, kind="stable") if kind == _ASKED_PAIRS else np.lexsort((key, buckets))
+    for bucket, part in _bounds(buckets[order]):
+        at = order[part]
+        record = {"bucket": bucket, "kind": kind, "base": base, "keys": _packed_keys(key[at]), "rows": _packed(row[at] - base)}
+        record["times"] = _packed(times[at].astype(np.int32))
+        if kind == _ASKED_WORDS:
+            record["change"] = _packed(change[at])
+        yield record
 
 
 def score(docs: DataFrame, model: Model, table: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, n_known, train_tokens, base_score and score.
 
-    ``table`` holds what ``fit`` returns of counts and weights.
+    ``table`` is what ``fit`` returns of counts and weights. What a task does
+    not have at hand is asked of the buckets, many lookups to a record.
     """
     shared = docs.sparkSession.sparkContext.broadcast(astuple(model))
     rows = docs.select("doc_id", F.col("text").alias("__text"))
-    id_field = rows.schema.fields[0]
     whole = StructType(
         [
-            StructField("doc_id", id_field.dataType),
+            rows.schema.fields[0],
             StructField("n_tokens", LongType()),
             StructField("n_known", LongType()),
             StructField("base", DoubleType()),
             StructField("seen", DoubleType()),
         ]
     )
-    schema = StructType(
-        [
-            StructField("row", LongType()),
-            StructField("key", LongType()),
-            StructField("times", IntegerType()),
-            StructField("change", DoubleType()),
-            StructField("whole", whole),
-        ]
-    )
+    bits, scale = model.bits, float(np.log10(model.total + 0.1 * (model.distinct + 1)))
+    fields = [StructField("bucket", IntegerType()), StructField("kind", IntegerType()), StructField("base", LongType())]
+    fields += [StructField(name, BinaryType()) for name, _ in _ASKED[1:]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, hasher = Model(*shared.value), Hasher()
-        next_row = TaskContext.get().partitionId() << 36
+        next_row = base = TaskContext.get().partitionId() << 36
+        held: dict[int, list] = {_ASKED_PAIRS: [], _ASKED_WORDS: []}
+        size, struct_type = 0, None
+
+        def asked() -> Iterator[pa.RecordBatch]:
+            for kind, own in held.items():
+                if own:
+                    yield from (_record(x, struct_type) for x in _asked(kind, base, own, bits))
+                    own.clear()
+
         for s in slices(batches, "__text"):
-            per_row, (at, key, times, change) = _score_slice(s, m, hasher)
-            size = s.rows.num_rows
-            ids = np.arange(next_row, next_row + size)
-            next_row += size
-            n, known, base, seen = per_row
+            per_row, words, pairs = _score_slice(s, m, hasher)
+            ids = np.arange(next_row, next_row + s.rows.num_rows)
+            next_row += s.rows.num_rows
+            n, known, base_sum, seen = per_row
             struct = pa.StructArray.from_arrays(
-                [s.rows.column(0), pa.array(n), pa.array(known.astype(np.int64)), pa.array(base), pa.array(seen)],
+                [s.rows.column(0), pa.array(n), pa.array(known.astype(np.int64)), pa.array(base_sum), pa.array(seen)],
                 names=["doc_id", "n_tokens", "n_known", "base", "seen"],
             )
-            # A row's own sums travel under a key of their own, so that they spread.
-            spread = mix(ids.astype(_U) + _U(1)).view(np.int64)
-            yield _open_rows(ids, spread, np.zeros(size, np.int32), np.zeros(size), struct)
-            if len(at):
-                none = pa.nulls(len(at), struct.type)
-                yield _open_rows(ids[at], key, times.astype(np.int32), change, none)
-
-    found = rows.mapInArrow(run, schema).join(table, "key", "left")
-    scale = F.lit(float(np.log10(model.total + 0.1 * (model.distinct + 1))))
-    counted = F.log10(F.col("count") + 0.1)
-    # Entries of words have a change, to be made if the word is unknown; entries of pairs have none.
-    of_word = ~F.isnan("change") & (F.col("times") > 0)
-    is_known = of_word & F.col("count").isNotNull()
-    looked_up = F.when(is_known, F.col("times") * counted).when(of_word, F.col("change"))
-    sums = found.groupBy("row").agg(
-        F.max("whole").alias("whole"),
-        F.sum(F.when(is_known, F.col("times")).otherwise(0)).alias("known"),
-        F.sum(F.when(of_word, F.col("times") * (F.when(is_known, counted).otherwise(F.lit(-1.0)) - scale)).otherwise(0.0)).alias("base"),
-        F.sum(F.coalesce(looked_up, F.col("times") * F.col("weight"), F.lit(0.0))).alias("seen"),
-    )
-    return sums.select(
+            struct_type = struct.type
+            yield _own(ids, mix(ids.astype(_U) + _U(1)) >> _U(64 - bits), struct)
+            for kind, (at, *found) in ((_ASKED_PAIRS, pairs), (_ASKED_WORDS, words)):
+                if len(at):
+                    held[kind].append((ids[at], *found))
+                    size += len(at)
+            if size >= _LOOKUPS:
+                yield from asked()
+                base, size = next_row, 0
+        if size:
+            yield from asked()
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, here, known = Model(*shared.value), None, {}
+        for batch in batches:
+            kinds, buckets = batch.column("kind").to_pylist(), batch.column("bucket").to_pylist()
+            for i, (kind, bucket) in enumerate(zip(kinds, buckets, strict=True)):
+                if kind == _OWN:
+                    continue
+                if bucket != here:
+                    here, known = bucket, {_PAIR: [], _WORD: []}
+                keys = _unpacked_keys(batch.column("keys")[i])
+                if kind in (_PAIR, _WORD):
+                    n = _unpacked(batch.column("n")[i], np.int64)
+                    value = m.pair_weights(keys, n, _unpacked(batch.column("of_word")[i], np.int64)) if kind == _PAIR else n
+                    known[kind].append((keys, value))
+                    continue
+                of = _PAIR if kind == _ASKED_PAIRS else _WORD
+                if isinstance(known[of], list):
+                    known[of] = _ordered(known[of])
+                at, found = _find(known[of][0], keys)
+                row, times = _unpacked(batch.column("rows")[i], np.int64), _unpacked(batch.column("times")[i], np.int32)
+                sums = np.zeros((3, len(keys)))
+                value = known[of][1][at[found]]
+                if kind == _ASKED_PAIRS:
+                    sums[2, found] = times[found] * value
+                else:
+                    sums[:, found] = times[found], times[found] * (np.log10(value + 0.1) - scale), times[found] * np.log10(value + 0.1)
+                    sums[1, ~found] = times[~found] * (-1.0 - scale)
+                    sums[2, ~found] = _unpacked(batch.column("change")[i], np.float64)[~found]
+                got = np.unique(row[sums.any(axis=0)])
+                totals = [np.bincount(row, x, got[-1] + 1)[got] for x in sums] if len(got) else [np.zeros(0)] * 3
+                whole_type = batch.schema.field("whole").type
+                base = batch.column("base")[i].as_py()
+                yield _sums(got + base, pa.nulls(len(got), whole_type), totals)
+            own = batch.filter(pa.array([kind == _OWN for kind in kinds]))
+            if own.num_rows:
+                yield _sums(own.column("base"), own.column("whole"), [np.zeros(own.num_rows)] * 3)
+
+    added = StructField("whole", whole)
+    lookups = rows.mapInArrow(run, StructType([*fields, added]))
+    both = table.unionByName(lookups, allowMissingColumns=True)
+    met = both.repartition(1 << bits, "bucket").sortWithinPartitions("bucket", "kind")
+    sums = [StructField(name, DoubleType()) for name in ("known", "base", "seen")]
+    total = met.mapInArrow(answer, StructType([StructField("row", LongType()), added, *sums])).groupBy("row")
+    total = total.agg(F.max("whole").alias("whole"), *(F.sum(x.name).alias(x.name) for x in sums))
+    return total.select(
         "whole.doc_id",
         F.col("whole.n_tokens").alias("n_tokens"),
-        (F.col("whole.n_known") + F.col("known")).alias("n_known"),
+        (F.col("whole.n_known") + F.col("known").cast("long")).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
         (F.col("whole.base") + F.col("base")).alias("base_score"),
         (F.col("whole.seen") + F.col("seen")).alias("score"),
     )
 
 
-def _open_rows(row, key, times, change, whole) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(row), pa.array(key), pa.array(times), pa.array(change), whole],
-        names=["row", "key", "times", "change", "whole"],
-    )
+def _ordered(parts: list) -> tuple[np.ndarray, np.ndarray]:
+    if not parts:
+        return np.zeros(0, _U), np.zeros(0)
+    keys, values = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(keys, kind="stable")
+    return keys[order], values[order]
+
+
+def _record(record: dict, whole: pa.DataType) -> pa.RecordBatch:
+    schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), *_ASKED, ("whole", whole)])
+    return pa.RecordBatch.from_pylist([record], schema)
+
+
+def _own(ids: np.ndarray, buckets: np.ndarray, whole: pa.StructArray) -> pa.RecordBatch:
+    columns = [pa.array(buckets.astype(np.int32)), pa.array(np.full(len(ids), _OWN, np.int32)), pa.array(ids)]
+    columns += [pa.nulls(len(ids), t) for _, t in _ASKED[1:]]
+    return pa.RecordBatch.from_arrays([*columns, whole], names=["bucket", "kind", *(name for name, _ in _ASKED), "whole"])
+
+
+def _sums(row, whole, totals) -> pa.RecordBatch:
+    row = row if isinstance(row, pa.Array) else pa.array(row)
+    return pa.RecordBatch.from_arrays([row, whole, *map(pa.array, totals)], names=["row", "whole", "known", "base", "seen"])
 
 
 def learnable() -> Column:
