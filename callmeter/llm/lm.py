@@ -42,6 +42,7 @@ from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -268,6 +269,38 @@ def _pairs(docs: DataFrame, head: np.ndarray, bits: int) -> DataFrame:
     return found.mapInArrow(merge, f"bucket int, class int, {columns}, once long, twice long")
 
 
+class Contexts:
+    """What followed each hashed context: counts that travel compressed, and the tables that follow from them."""
+
+    def __init__(self, share: np.ndarray, discount: float, total: np.ndarray, held: np.ndarray, pairs: np.ndarray):
+        """The classes' shares, what is taken off a pair's count, and per context and tail class (and one for all
+        other tokens) the tokens, the sum of the counts of the pairs with a weight, and their number."""
+        self._share, self._discount, self._tables = share, discount, None
+        self._counts = [zstandard.compress(_packed(x.astype(np.int64).ravel())) for x in (total, held, pairs)]
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_tables": None}
+
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log shares of the classes after each context; log10 of what pairs leave over in a tail class; its tokens."""
+        if self._tables is None:
+            raw = (np.frombuffer(zstandard.decompress(x), np.uint8).reshape(8, -1) for x in self._counts)
+            n, held, pairs = (np.ascontiguousarray(x.T).view(np.int64).reshape(-1, TAIL_CLASSES + 1) for x in raw)
+            # The classes of the head and the end share their tokens after a context as they do overall.
+            share, in_tail = self._share, slice(HEAD_CLASSES, END_CLASS)
+            other = share.copy()
+            other[in_tail] = 0
+            chance = n[:, -1:] * (other / max(other.sum(), 1e-300)) + CLASS_PRIOR * share
+            chance[:, in_tail] += n[:, :-1]
+            chance /= n.sum(axis=1, keepdims=True) + CLASS_PRIOR
+            class_log = np.log(np.maximum(chance, 1e-30)).astype(np.float32)
+            class_log[:, share < 1e-300] = -1e4
+            n = n[:, :-1]
+            left = 1 - (held[:, :-1] - self._discount * pairs[:, :-1]) / np.maximum(n, 1)
+            self._tables = class_log, np.log10(left).astype(np.float32), n.astype(np.float32)
+        return self._tables
+
+
 @dataclass
 class Model:
     """What the executors need to train and score; all of bounded size."""
@@ -285,16 +318,24 @@ class Model:
     unseen: np.ndarray
     weights: np.ndarray
     head_weights: np.ndarray
-    # Per hashed context: log shares of the classes, and log10 of what pairs leave over in each tail class.
-    class_log: np.ndarray
-    left_log: np.ndarray
+    contexts_seen: Contexts | None
     pair: np.ndarray
     pair_weight: np.ndarray
-    # Tokens per hashed context and tail class, and what is taken off a pair's count.
-    after: np.ndarray
     discount: float
     bits: int
 
+    @property
+    def class_log(self) -> np.ndarray:
+        return self.contexts_seen.tables()[0]
+
+    @property
+    def left_log(self) -> np.ndarray:
+        return self.contexts_seen.tables()[1]
+
+    @property
+    def after(self) -> np.ndarray:
+        return self.contexts_seen.tables()[2]
+
     def head_number(self, keys: np.ndarray) -> np.ndarray:
         """The number of each head word, -1 for others."""
         if len(self.head) == 0:
@@ -407,11 +448,9 @@ def _statistics(counts: DataFrame) -> Model:
         unseen=unseen,
         weights=np.zeros((ROWS, CLASSES), np.float32),
         head_weights=np.zeros((HEAD_CONTEXTS * HEAD_CLASSES, CLASS_WORDS), np.float32),
-        class_log=np.zeros((1 << CONTEXT_BITS, CLASSES), np.float32),
-        left_log=np.zeros((1 << CONTEXT_BITS, TAIL_CLASSES), np.float32),
+        contexts_seen=None,
         pair=np.zeros(0, _U),
         pair_weight=np.zeros(0, np.float32),
-        after=np.zeros((1 << CONTEXT_BITS, TAIL_CLASSES), np.float32),
         discount=0.0,
         bits=5,
     )
@@ -450,24 +489,12 @@ def _add_pairs(model: Model, pairs: DataFrame) -> None:
     table = cells.mapInArrow(add, "class int, cell long, total double, held double, pairs double").toArrow()
     cell, label = table["cell"].to_numpy(), table["class"].to_numpy()
     label = np.where(cell >> CONTEXT_BITS, TAIL_CLASSES, label)
-    before, total = cell & ((1 << CONTEXT_BITS) - 1), table["total"].to_numpy()
-    kept = table["held"].to_numpy() - model.discount * table["pairs"].to_numpy()
-    n = np.zeros((1 << CONTEXT_BITS, TAIL_CLASSES + 1))
-    n[before, label] = total
-    model.after = n[:, :-1].astype(np.float32)
-    # The classes of the head and the end share their tokens after a context as they do overall.
+    before = cell & ((1 << CONTEXT_BITS) - 1)
+    seen = np.zeros((3, 1 << CONTEXT_BITS, TAIL_CLASSES + 1))
+    for k, name in enumerate(names[2:]):
+        np.add.at(seen[k], (before, label), table[name].to_numpy())
     share = np.exp(model.prior.astype(np.float64))
-    share /= share.sum()
-    in_tail_class = slice(HEAD_CLASSES, END_CLASS)
-    other = share.copy()
-    other[in_tail_class] = 0
-    chance = n[:, -1:] * (other / max(other.sum(), 1e-300)) + CLASS_PRIOR * share
-    chance[:, in_tail_class] += n[:, :-1]
-    chance /= n.sum(axis=1, keepdims=True) + CLASS_PRIOR
-    model.class_log = np.log(np.maximum(chance, 1e-30)).astype(np.float32)
-    model.class_log[:, share < 1e-300] = -1e4
-    at = label < TAIL_CLASSES
-    model.left_log[before[at], label[at]] = np.log10(1 - kept[at] / total[at])
+    model.contexts_seen = Contexts(share / share.sum(), model.discount, *seen)
     listed = pairs.select("keys", "n", "of_word").mapInArrow(rows, "pair long, n long, of_word long")
     frequent = _most_frequent(listed).toArrow()
     keys = frequent["pair"].to_numpy().view(_U)
@@ -548,6 +575,7 @@ def _round(docs: DataFrame, model: Model) -> None:
 
     schema = "seen long, change binary"
     changes = docs.select("text").mapInArrow(train, schema).repartition(_REDUCERS).mapInArrow(add, schema).collect()
+    shared.destroy()
     seen = sum(r["seen"] for r in changes)
     if seen:
         mean = sum(np.frombuffer(bytes(r["change"]), np.float32).astype(float) * (r["seen"] / seen) for r in changes)
