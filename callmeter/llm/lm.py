@@ -16,8 +16,8 @@ two tokens before it, times its own within the class:
 * The end is a class of its own.
 
 The class softmax starts from the classes' counts after each hashed context
-(all tokens outside the tail are one count there) and has a weight row for the token before, for the one before that (skip) and
-for the hashed pair. Its weights, and those within the head's classes, are
+(all tokens outside the tail are one count there) and has a weight row for the token before the last (skip) and for the hashed
+pair of both. Its weights, and those within the head's classes, are
 trained by gradient steps, round by round: documents are dealt to shards by a
 hash, as many as their tokens ask for, so that the model does not depend on how
 files are laid out; each task walks over its shard from the shared weights, and
@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from callmeter.llm.linear import id_remainder, row_sums
-from callmeter.llm.text import NOT_SPACE, Hasher, Slice, find_words, lower_ascii, mix, slices
+from callmeter.llm.text import NOT_SPACE, Hasher, Slice, find_words, lower_ascii, mix, release_memory, slices
 from callmeter.operators.durable import cut_lineage
 
 _U = np.uint64
@@ -63,7 +63,7 @@ END_KEY = _U(0x9E3779B97F4A7C00)
 BUCKETS = HEAD + 16 * TAIL_CLASSES + 1
 START = BUCKETS - 1
 PAIRS = 2048
-ROWS = 2 * BUCKETS + PAIRS
+ROWS = BUCKETS + PAIRS
 HEAD_CONTEXTS = 128
 # Hashed contexts of the pair weights; the start of a text shares the first.
 CONTEXT_BITS = 16
@@ -101,13 +101,12 @@ class Tokens:
 def tokens(s: Slice, hasher: Hasher) -> Tokens:
     """Keys: a word's hash, with its class among the tail classes in the low five bits."""
     find_words(s, hasher, NOT_SPACE, lower_ascii)
-    data = lower_ascii(s.data)
     rows = len(s.first) - 1
     first = s.first + np.arange(rows + 1)
     keys = np.full(first[-1], END_KEY, dtype=_U)
     if len(s.starts):
-        last = data[s.ends - 1].astype(_U)
-        before = np.where(s.ends - s.starts > 1, data[np.maximum(s.ends - 2, 0)], 0).astype(_U)
+        last = lower_ascii(s.data[s.ends - 1]).astype(_U)
+        before = np.where(s.ends - s.starts > 1, lower_ascii(s.data[np.maximum(s.ends - 2, 0)]), 0).astype(_U)
         ending = mix(last * _U(256) + before + _U(1)) & _U(TAIL_CLASSES - 1)
         words = (s.hashes & ~_U(TAIL_CLASSES - 1)) | ending
         keys[np.arange(len(words)) + s.row_of_word()] = words
@@ -275,30 +274,39 @@ class Contexts:
     def __init__(self, share: np.ndarray, discount: float, total: np.ndarray, held: np.ndarray, pairs: np.ndarray):
         """The classes' shares, what is taken off a pair's count, and per context and tail class (and one for all
         other tokens) the tokens, the sum of the counts of the pairs with a weight, and their number."""
-        self._share, self._discount, self._tables = share, discount, None
+        self._share, self._discount, self._shares, self._left = share, discount, None, None
         self._counts = [zstandard.compress(_packed(x.astype(np.int64).ravel())) for x in (total, held, pairs)]
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "_tables": None}
+        return {**self.__dict__, "_shares": None, "_left": None}
 
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Log shares of the classes after each context; log10 of what pairs leave over in a tail class; its tokens."""
-        if self._tables is None:
-            raw = (np.frombuffer(zstandard.decompress(x), np.uint8).reshape(8, -1) for x in self._counts)
-            n, held, pairs = (np.ascontiguousarray(x.T).view(np.int64).reshape(-1, TAIL_CLASSES + 1) for x in raw)
+    def _count(self, k: int) -> np.ndarray:
+        planes = np.frombuffer(zstandard.decompress(self._counts[k]), np.uint8).reshape(8, -1)
+        return np.ascontiguousarray(planes.T).view(np.int64).reshape(-1, TAIL_CLASSES + 1)
+
+    def shares(self) -> np.ndarray:
+        """Log shares of the classes after each context."""
+        if self._shares is None:
             # The classes of the head and the end share their tokens after a context as they do overall.
-            share, in_tail = self._share, slice(HEAD_CLASSES, END_CLASS)
+            n, share, in_tail = self._count(0), self._share, slice(HEAD_CLASSES, END_CLASS)
             other = share.copy()
             other[in_tail] = 0
             chance = n[:, -1:] * (other / max(other.sum(), 1e-300)) + CLASS_PRIOR * share
             chance[:, in_tail] += n[:, :-1]
             chance /= n.sum(axis=1, keepdims=True) + CLASS_PRIOR
-            class_log = np.log(np.maximum(chance, 1e-30)).astype(np.float32)
-            class_log[:, share < 1e-300] = -1e4
-            n = n[:, :-1]
-            left = 1 - (held[:, :-1] - self._discount * pairs[:, :-1]) / np.maximum(n, 1)
-            self._tables = class_log, np.log10(left).astype(np.float32), n.astype(np.float32)
-        return self._tables
+            np.log(np.maximum(chance, 1e-30, out=chance), out=chance)
+            self._shares = chance.astype(np.float32)
+            self._shares[:, share < 1e-300] = -1e4
+        return self._shares
+
+    def left(self) -> tuple[np.ndarray, np.ndarray]:
+        """Per context and tail class: log10 of what pairs leave over, and the tokens."""
+        if self._left is None:
+            n = self._count(0)[:, :-1]
+            kept = self._count(1)[:, :-1] - self._discount * self._count(2)[:, :-1]
+            kept /= np.maximum(n, 1)
+            self._left = np.log10(1 - kept).astype(np.float32), n.astype(np.float32)
+        return self._left
 
 
 @dataclass
@@ -326,15 +334,15 @@ class Model:
 
     @property
     def class_log(self) -> np.ndarray:
-        return self.contexts_seen.tables()[0]
+        return self.contexts_seen.shares()
 
     @property
     def left_log(self) -> np.ndarray:
-        return self.contexts_seen.tables()[1]
+        return self.contexts_seen.left()[0]
 
     @property
     def after(self) -> np.ndarray:
-        return self.contexts_seen.tables()[2]
+        return self.contexts_seen.left()[1]
 
     def head_number(self, keys: np.ndarray) -> np.ndarray:
         """The number of each head word, -1 for others."""
@@ -344,7 +352,7 @@ class Model:
         return np.where(self.head[at] == keys, self.head_slot[at], -1)
 
     def contexts(self, t: Tokens, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The weight rows of each token (the token before, the one before that, the pair) and its hashed context."""
+        """The weight rows of each token (the one before the last, the pair), the last one's bucket and its hashed context."""
         bucket = np.where(number >= 0, number, HEAD + (t.keys & _U(16 * TAIL_CLASSES - 1)).astype(np.int64))
         one = np.empty(len(bucket), np.int64)
         two = np.empty(len(bucket), np.int64)
@@ -354,7 +362,7 @@ class Model:
         second = begin + 1
         two[second[second < t.first[1:]]] = START
         pair = (one * 40503 + two * 30011) % 65521 % PAIRS
-        return one, two + BUCKETS, pair + 2 * BUCKETS, hashed_contexts(t)
+        return two, pair + BUCKETS, one, hashed_contexts(t)
 
     def classes(self, t: Tokens, number: np.ndarray) -> np.ndarray:
         tail = HEAD_CLASSES + (t.keys & _U(TAIL_CLASSES - 1)).astype(np.int64)
@@ -367,10 +375,9 @@ class Model:
         return np.log10(1 + (n - self.discount) / self.after[before, label] / start)
 
     def class_logits(self, rows: tuple, part: slice) -> np.ndarray:
-        z = self.weights[rows[0][part]]
-        z += self.weights[rows[1][part]]
-        z += self.weights[rows[2][part]]
-        z += self.class_log[rows[3][part]]
+        z = np.take(self.class_log, rows[3][part], axis=0)
+        z += np.take(self.weights, rows[0][part], axis=0)
+        z += np.take(self.weights, rows[1][part], axis=0)
         return z
 
 
@@ -495,6 +502,8 @@ def _add_pairs(model: Model, pairs: DataFrame) -> None:
         np.add.at(seen[k], (before, label), table[name].to_numpy())
     share = np.exp(model.prior.astype(np.float64))
     model.contexts_seen = Contexts(share / share.sum(), model.discount, *seen)
+    del table, cell, label, before, seen
+    release_memory()
     listed = pairs.select("keys", "n", "of_word").mapInArrow(rows, "pair long, n long, of_word long")
     frequent = _most_frequent(listed).toArrow()
     keys = frequent["pair"].to_numpy().view(_U)
@@ -510,7 +519,7 @@ def _descend(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, gradien
     rows = rows[order]
     at = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
     own = rows[at]
-    step = np.add.reduceat(gradient[order], at, axis=0)
+    step = np.add.reduceat(np.take(gradient, order, axis=0), at, axis=0)
     squares[own] += step * step
     weights[own] -= _RATE * step / np.sqrt(squares[own])
 
@@ -532,12 +541,12 @@ class Trainer:
             part = slice(low, low + _STEP)
             gradient = _probabilities(m.class_logits(rows, part))
             gradient[np.arange(len(gradient)), label[part]] -= 1
-            for group in rows[:3]:
+            for group in rows[:2]:
                 _descend(m.weights, self._squares, group[part], gradient)
             head = np.flatnonzero(number[part] >= 0)
             if len(head):
                 word = number[part][head]
-                where = head_rows(rows[0][part][head], word)
+                where = head_rows(rows[2][part][head], word)
                 inner = _probabilities(m.head_log[word // CLASS_WORDS] + m.head_weights[where])
                 inner[np.arange(len(word)), word % CLASS_WORDS] -= 1
                 _descend(m.head_weights, self._head_squares, where, inner)
@@ -662,7 +671,7 @@ def _score_slice(s: Slice, m: Model, hasher: Hasher) -> tuple:
         head = np.flatnonzero(number[part] >= 0)
         if len(head):
             word = number[part][head]
-            q = _probabilities(m.head_log[word // CLASS_WORDS] + m.head_weights[head_rows(rows[0][part][head], word)])
+            q = _probabilities(m.head_log[word // CLASS_WORDS] + m.head_weights[head_rows(rows[2][part][head], word)])
             inner[low + head] = np.log10(q[np.arange(len(word)), word % CLASS_WORDS])
     log_class = np.log10(np.maximum(log_class, 1e-37))
     log_unseen = np.log10(np.maximum(log_unseen, 1e-37))
@@ -689,8 +698,8 @@ def _score_slice(s: Slice, m: Model, hasher: Hasher) -> tuple:
     row = t.row()
     per_row = (np.diff(t.first), row_sums(known.astype(float), t.first), row_sums(base, t.first), row_sums(seen, t.first))
     words = _merged(row[open_], t.keys[open_], (log_unseen - seen)[open_])
-    rest = _merged(row[at[~found]], pairs[~found], np.zeros((~found).sum()))
-    return per_row, words, rest
+    rest = at[~found]
+    return per_row, words, (row[rest], pairs[~found], np.ones(len(rest), np.int32), np.zeros(len(rest)))
 
 
 def _merged(row: np.ndarray, key: np.ndarray, change: np.ndarray) -> tuple:
@@ -713,7 +722,7 @@ def _asked(kind: int, base: int, held: list, bits: int) -> Iterator[dict]:
     order = np.argsort(key, kind="stable") if kind == _ASKED_PAIRS else np.lexsort((key, buckets))
     for bucket, part in _bounds(buckets[order]):
         at = order[part]
-        record = {"bucket": bucket, "kind": kind, "base": base, "keys": _packed_keys(key[at]), "rows": _packed(row[at] - base)}
+        record = {"bucket": bucket, "kind": kind, "base": base, "keys": _packed_keys(key[at]), "rows": _packed((row[at] - base).astype(np.int32))}
         record["times"] = _packed(times[at].astype(np.int32))
         if kind == _ASKED_WORDS:
             record["change"] = _packed(change[at])
@@ -793,7 +802,7 @@ def score(docs: DataFrame, model: Model, table: DataFrame) -> DataFrame:
                 if isinstance(known[of], list):
                     known[of] = _ordered(known[of])
                 at, found = _find(known[of][0], keys)
-                row, times = _unpacked(batch.column("rows")[i], np.int64), _unpacked(batch.column("times")[i], np.int32)
+                row, times = _unpacked(batch.column("rows")[i], np.int32), _unpacked(batch.column("times")[i], np.int32)
                 sums = np.zeros((3, len(keys)))
                 value = known[of][1][at[found]]
                 if kind == _ASKED_PAIRS:
@@ -806,7 +815,7 @@ def score(docs: DataFrame, model: Model, table: DataFrame) -> DataFrame:
                 totals = [np.bincount(row, x, got[-1] + 1)[got] for x in sums] if len(got) else [np.zeros(0)] * 3
                 whole_type = batch.schema.field("whole").type
                 base = batch.column("base")[i].as_py()
-                yield _sums(got + base, pa.nulls(len(got), whole_type), totals)
+                yield _sums(got.astype(np.int64) + base, pa.nulls(len(got), whole_type), totals)
             own = batch.filter(pa.array([kind == _OWN for kind in kinds]))
             if own.num_rows:
                 yield _sums(own.column("base"), own.column("whole"), [np.zeros(own.num_rows)] * 3)

@@ -164,7 +164,7 @@ def plain_scores(model, learned, texts):
         in_context[b] += n
     for text in texts:
         t, keys, before = one(text)
-        one_, two, pair, _ = model.contexts(t, model.head_number(t.keys))
+        two, pair, one_, _ = model.contexts(t, model.head_number(t.keys))
         total = 0.0
         for i, (k, b) in enumerate(zip(keys, before, strict=True)):
             others = in_context[b] - sum(of_class[b, c] for c in range(lm.HEAD_CLASSES, lm.END_CLASS))
@@ -172,7 +172,7 @@ def plain_scores(model, learned, texts):
             n = [of_class[b, c] if lm.HEAD_CLASSES <= c < lm.END_CLASS else others * share[c] / rest for c in range(lm.CLASSES)]
             start = [(n[c] + 4 * share[c]) / (in_context[b] + 4) for c in range(lm.CLASSES)]
             z = [
-                math.log(x) + float(model.weights[one_[i], c] + model.weights[two[i], c] + model.weights[pair[i], c]) if x else -1e4
+                math.log(x) + float(model.weights[two[i], c] + model.weights[pair[i], c]) if x else -1e4
                 for c, x in enumerate(start)
             ]
             norm = sum(math.exp(x) for x in z)
