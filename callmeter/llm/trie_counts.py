@@ -6,18 +6,22 @@ byte strings that holds every single byte; a token's probability follows
 Zipf's law on its rank. Of all segmentations of a pre-token the likeliest
 counts, and of equally likely ones that with the fewest tokens.
 
-Distinct pre-tokens are put in a trie, level by level for all of them at once.
-The best score of a prefix is computed once, at its node, from the nodes above
-it, and the node where a pre-token ends holds its count. Scores are whole
-numbers, so that ties are exact.
-
-Null and empty texts have no pre-tokens and count 0; repeated rows count each.
+Distinct pre-tokens are put in a trie. The best score of a prefix is computed
+once, at its node, from the nodes above it, and the node where a pre-token ends
+holds its count. Short pre-tokens are taken level by level, all of them at
+once; those of any greater length branch by branch, in the order of their
+bytes, so that each goes on from the node where it leaves the one before.
+Scores are whole numbers, so that ties are exact.
+
+Null and empty texts have no pre-tokens and count 0; repeated rows count each;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import base64
 import math
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,11 +36,13 @@ from callmeter.llm.text import Hasher, Slice, byte_set, slices
 # A path's value is its cost above these bits and its tokens in them.
 _COUNT_BITS = 24
 _COST_UNIT = 1 << 12
-# Longer pre-tokens walk the vocabulary alone; few share a prefix of this length.
+# Pre-tokens up to this length are taken level by level, longer ones branch by branch: a level of few nodes
+# costs as much as one of many, and a text without blanks has a level per byte.
 _DEEPEST = 64
 _REMEMBERED = 1 << 20
 _FILTER_BITS = 22
 _FAR = np.int64(1) << 62
+_NONE = int(_FAR)
 _WHITE = byte_set(lambda b: b == 0x20 or 0x09 <= b <= 0x0D)
 
 
@@ -54,7 +60,9 @@ class TrieCounter:
     def __init__(self, values: dict[bytes, int]):
         self._values = values
         self._hasher = Hasher()
-        self._walk: dict | None = None
+        self._backward: dict | None = None
+        # Nodes of long pre-tokens scored so far.
+        self.scored = 0
         tokens = list(values)
         data = np.frombuffer(b"".join(tokens), dtype=np.uint8)
         ends = np.cumsum([len(t) for t in tokens])
@@ -81,8 +89,8 @@ class TrieCounter:
         """Tokens of each of the given stretches, which should be distinct."""
         counts = np.zeros(len(starts), dtype=np.int64)
         long = ends - starts > _DEEPEST
-        for i in np.flatnonzero(long):
-            counts[i] = self._count_alone(data[starts[i] : ends[i]].tobytes())
+        if long.any():
+            counts[long] = self._count_by_branches([data[a:b] for a, b in zip(starts[long], ends[long], strict=True)])
         active = np.flatnonzero(~long)
         sums = self._hasher.prefix(data)
         node = np.zeros(len(active), dtype=np.int64)
@@ -113,24 +121,44 @@ class TrieCounter:
             counts[active[done]] = value[node[done]] & ((1 << _COUNT_BITS) - 1)
         return counts
 
-    def _count_alone(self, word: bytes) -> int:
-        if self._walk is None:
-            self._walk = {}
+    def _tokens_backward(self) -> dict:
+        """The vocabulary as a trie of reversed tokens; where a token is whole, its cost is at -1."""
+        if self._backward is None:
+            self._backward = {}
             for token, value in self._values.items():
-                at = self._walk
-                for b in token:
+                at = self._backward
+                for b in reversed(token):
                     at = at.setdefault(b, {})
-                at[-1] = value
-        best = [0] + [int(_FAR)] * len(word)
-        for i in range(len(word)):
-            at, here = self._walk, best[i]
-            for j in range(i, len(word)):
-                at = at.get(word[j])
-                if at is None:
-                    break
-                if -1 in at and here + at[-1] < best[j + 1]:
-                    best[j + 1] = here + at[-1]
-        return best[-1] & ((1 << _COUNT_BITS) - 1)
+                at[-1] = value >> _COUNT_BITS
+        return self._backward
+
+    def _count_by_branches(self, words: list[np.ndarray]) -> np.ndarray:
+        """Tokens of each pre-token; what one shares with the one before it in order is not scored again."""
+        root = self._tokens_backward()
+        counts = np.zeros(len(words), dtype=np.int64)
+        cost, tokens = array("q", [0]), array("q", [0])
+        before = np.zeros(0, dtype=np.uint8)
+        for i in sorted(range(len(words)), key=lambda i: words[i].tobytes()):
+            word = words[i]
+            size = min(len(word), len(before))
+            differ = np.flatnonzero(word[:size] != before[:size])
+            shared = int(differ[0]) if len(differ) else size
+            del cost[shared + 1 :], tokens[shared + 1 :]
+            listed = word.tobytes()
+            for end in range(shared + 1, len(word) + 1):
+                at, begin, least, fewest = root, end, _NONE, 0
+                while begin and (at := at.get(listed[begin - 1])) is not None:
+                    begin -= 1
+                    if -1 in at:
+                        total, number = cost[begin] + at[-1], tokens[begin] + 1
+                        if total < least or (total == least and number < fewest):
+                            least, fewest = total, number
+                cost.append(least)
+                tokens.append(fewest)
+                self.scored += 1
+            counts[i] = tokens[-1]
+            before = word
+        return counts
 
 
 def pre_tokens(s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -65,3 +65,37 @@ def test_a_vocabulary_with_ties():
     counter = trie_counts.TrieCounter(values)
     data = np.frombuffer(b"ababa", np.uint8)
     assert counter.count(data, np.array([0, 0]), np.array([4, 5])).tolist() == [2, 3]
+
+
+def stretches(words):
+    ends = np.cumsum([len(w) for w in words])
+    return np.frombuffer(b"".join(words), np.uint8), ends - [len(w) for w in words], ends
+
+
+def test_long_words_share_their_prefixes():
+    """Each distinct prefix of long pre-tokens is scored once, in whatever order they come."""
+    rng = random.Random(5)
+    stem = "数据处理引擎在许多机器上运行".encode() * 12
+    words = {stem[: rng.randrange(70, len(stem))] + bytes(rng.choice(b"abc\xe4") for _ in range(rng.randrange(1, 40))) for _ in range(60)}
+    words = list(words | {stem, stem[:65], stem[:66]})
+    rng.shuffle(words)
+    counter = trie_counts.TrieCounter(VALUES)
+    assert counter.count(*stretches(words)).tolist() == [best_count(w) for w in words]
+    assert counter.scored == len({w[:k] for w in words for k in range(1, len(w) + 1)})
+
+
+def test_short_and_long_words_agree_on_the_same_bytes():
+    """The two ways through the trie give the same counts."""
+    rng = random.Random(6)
+    words = sorted({bytes(rng.choice(b" aethr-\xe4\xb8") for _ in range(rng.randrange(1, 65))) for _ in range(200)})
+    counter = trie_counts.TrieCounter(VALUES)
+    data, starts, ends = stretches(words)
+    by_branches = counter._count_by_branches([data[a:b] for a, b in zip(starts, ends, strict=True)])
+    assert counter.count(data, starts, ends).tolist() == by_branches.tolist()
+
+
+def test_a_long_text_without_blanks(spark):
+    texts = ["语言模型" * 60_000, "语言模型" * 60_000 + "尾", "a" * 300_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["n_tokens"] for r in trie_counts.token_counts(docs, RANKS).collect()}
+    assert found == {i: best_count(t.encode()) for i, t in enumerate(texts)}
