@@ -7,7 +7,9 @@ leader with an elastic net; a temperature, fitted on documents set aside,
 calibrates the probabilities. Document frequencies count all documents learned from.
 
 Null texts and texts without a letter are ``und`` with score 0; so is every
-text if there is nothing to learn from. The languages are the distinct non-null
+text if there is nothing to learn from. Repeated rows count each; rows of null
+id are learned from all or none, as their ids have one hash, and an empty table
+gives no rows. The languages are the distinct non-null
 values of ``lang`` among the documents learned from; of equal scores the
 alphabetically first wins.
 """

@@ -32,7 +32,8 @@ Counts are taken over all documents learned from.
 
 Probabilities of all known words, the end and the unknown type sum to one.
 Null texts are empty: they hold only an end. Without documents to learn from
-every token is the unknown type, whose probability is one.
+every token is the unknown type, whose probability is one. Repeated rows count
+and are scored each, and an empty table gives no rows.
 """
 
 from __future__ import annotations

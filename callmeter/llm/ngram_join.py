@@ -12,6 +12,10 @@ blocks is one unit of work. A pair is verified on the full n-gram sets, in the
 first band that both share, so that it counts once. Pairs are never written
 out: a unit returns the number of links of each member and a spanning forest
 of its links, from which connected components follow.
+
+A class is named by its least id, null ids last; rows of null id have classes
+and links like others, and repeated rows one result each. An empty table gives
+an empty result.
 """
 
 from __future__ import annotations

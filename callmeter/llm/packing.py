@@ -10,7 +10,8 @@ divided again.
 
 Each task packs its own rows, so nothing is shuffled. Null texts are empty,
 empty texts are the id 0 alone, repeated rows are packed each. Sequence ids
-are unique, and the same again if a task is repeated on the same rows.
+are unique, and the same again if a task is repeated on the same rows. An empty
+table gives no pieces.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ is a mean of weights, whatever the length of the text.
 
 Nulls and empty texts have no features and get the score of the intercept. A
 document with several labels counts as their mean, rounded half up. Without
-labels, or with labels of one kind only, scores follow from the intercept.
+labels, or with labels of one kind only, scores follow from the intercept. An
+empty table gives no rows. A score depends on the text alone, not on the rows
+beside it.
 """
 
 from __future__ import annotations
@@ -35,8 +37,8 @@ _DIGIT = byte_set(lambda b: 48 <= b <= 57)
 _SHAPES = 32
 
 
-def _shapes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    """A number under 8 for the look of each token, and 8 more after white space."""
+def _shapes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, marks: np.ndarray, opens: np.ndarray) -> np.ndarray:
+    """A number under 8 for the look of each token, and 8 more after white space or where a row opens."""
     second = data[np.minimum(starts + 1, ends - 1)]
     first = data[starts]
     capital = _UPPER[first] | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
@@ -45,7 +47,7 @@ def _shapes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, marks: np.nd
     shape = np.where(capital & (size > 1) & _UPPER[data[ends - 1]], 2, shape)
     shape = np.where(_DIGIT[first], 3, shape)
     shape = np.where(marks, 3 + np.minimum(size, 3), shape)
-    glued = np.concatenate([[False], starts[1:] == ends[:-1]])
+    glued = np.concatenate([[False], starts[1:] == ends[:-1]]) & ~opens
     return shape + np.where(glued, 0, 8)
 
 
@@ -64,7 +66,7 @@ def features(s: Slice, hasher: Hasher, bits: int = BITS) -> tuple[np.ndarray, np
     opens[first] = True
     opens = opens[:-1]
     previous = np.where(opens, np.uint64(0), np.roll(hashes, 1))
-    shape = _shapes(s.data, starts, ends, marks) + np.where(hashes == previous, 16, 0)
+    shape = _shapes(s.data, starts, ends, marks, opens) + np.where(hashes == previous, 16, 0)
     before = np.where(opens, _SHAPES, np.roll(shape, 1))
     a, b, c = seeds(3, salt=5)
     stack = np.empty((len(starts), 4), dtype=np.uint64)

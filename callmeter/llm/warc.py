@@ -11,7 +11,8 @@ from a bundle's end, and reads one record by decompressing one frame.
 Of the pages of equal payload that of largest id is the response; null ids
 are smallest. Null html is an empty payload. Of wholly equal pages one is the
 response and the others revisit it; their records share an identifier. A null
-url leaves out the target, and white space in a url is percent-encoded.
+url leaves out the target, and white space in a url is percent-encoded. An
+empty table gives no bundle and no rows.
 """
 
 from __future__ import annotations
