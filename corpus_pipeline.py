@@ -2,7 +2,17 @@
 
 ``run`` writes each stage's result as Parquet to the session's checkpoint
 folder and reads it again for the next stage, so that a lost executor costs
-work of one stage only.
+work of one stage only. These tables are the result's lineage and stay until
+the folder is cleared.
+
+Null and empty texts go with the quality classifier's judgement of an empty
+text, and where it accepts them with the language filter, as they have no
+letter. Rows of null id take part like others. Repeated rows are near
+duplicates of each other, so one of them stays: that of least id, null ids
+last. Any text that stays is packed whole, whatever its length. Extra columns
+are kept up to the last stage. An empty table gives an empty result, and a
+stage without labels, benchmark items or languages to learn from follows its
+operator's definition for that case.
 """
 
 from __future__ import annotations
