@@ -323,8 +323,8 @@ def keep_one_of_each(docs: DataFrame, **settings) -> DataFrame:
     classes = similar_documents(docs, **settings)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     kept = classes.groupBy("class_key").agg(F.min(order).alias("kept"))
-    kept = kept.select(F.col("kept.doc_id").alias("__id"), F.col("kept.text_hash").alias("__hash")).distinct()
-    rows = docs.withColumn("__own", F.xxhash64("text"))
-    same = (rows["__own"] == kept["__hash"]) & rows["doc_id"].eqNullSafe(kept["__id"])
-    found = rows.join(kept, same, "left_semi")
-    return found.dropDuplicates(["__own", "doc_id"]).select(*docs.columns)
+    # A struct of a null id equals another. Both steps deal rows by the same keys, so that the text is shuffled once.
+    kept = kept.select(F.struct("kept.doc_id").alias("__id"), F.col("kept.text_hash").alias("__own")).distinct()
+    rows = docs.withColumns({"__own": F.xxhash64("text"), "__id": F.struct("doc_id")})
+    found = rows.dropDuplicates(["__own", "__id"]).join(kept, ["__own", "__id"], "left_semi")
+    return found.select(*docs.columns)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
+from contextlib import redirect_stdout
+from io import StringIO
 from itertools import combinations
 
 import numpy as np
@@ -134,3 +136,24 @@ def test_a_class_has_the_least_id_of_its_rows(spark):
     rows = [(i, text, None, None, None) for i in (None, 7, 5, None)] + [(None, edited(rng, text, 1), None, None, None), (9, None, None, None, None)]
     assert found(spark, rows) == all_pairs(rows)
     assert {r[1] for r in found(spark, rows)} == {5, 9}
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "10MB"])
+def test_kept_rows_are_dealt_once(spark, broadcast):
+    """One row per id and text of least id, null last, with null ids and repeated rows; no shuffle after the join with what is kept."""
+    text, other = "one two three four five six seven", "a b c d e f g h"
+    rows = [(7, text, None, None, None), (7, text, None, None, None), (8, text, None, None, None), (None, text, None, None, None)]
+    rows += [(None, other, None, None, None)] * 3 + [(None, None, None, None, None)] * 2 + [(0, None, None, None, None), (3, "", None, None, None)]
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, broadcast)
+    try:
+        kept = ngram_join.keep_one_of_each(documents(spark, rows))
+        got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+        with redirect_stdout(StringIO()) as plan:
+            kept.explain()
+    finally:
+        spark.conf.set(limit, before)
+    assert got == sorted([(7, text), (None, other), (None, None), (0, None), (3, "")], key=repr)
+    above, found_, _ = plan.getvalue().partition("LeftSemi")
+    assert found_ and "Exchange" not in above.split("Initial Plan")[0]
